@@ -92,15 +92,15 @@ def exact_quantiles(df: DataFrame, value: str, probs: list[float], groups: list[
     targets = (totals.crossJoin(F.broadcast(ptab))  # |probs| rows: proven small
                .withColumn("_pos", (F.col("_cnt_total") - 1) * F.col("p"))
                .withColumn("_lo", F.floor("_pos")).withColumn("_hi", F.ceil("_pos")))
-    ranks = targets.select(*groups, "p", "_pos", F.explode(F.array(
+    ranks = targets.select(*[F.col(g).alias(f"_g_{g}") for g in groups], "p", "_pos", F.explode(F.array(
         F.struct(F.lit("lo").alias("_k"), F.col("_lo").alias("_r")),
         F.struct(F.lit("hi").alias("_k"), F.col("_hi").alias("_r")))).alias("_t")).select(
-        *groups, "p", "_pos", "_t._k", "_t._r")
-    cond = [(cum[g].eqNullSafe(ranks[g])) for g in groups]
-    cond += [cum["_cnt_incl"] - cum["_cnt"] <= ranks["_r"], ranks["_r"] < cum["_cnt_incl"]]
+        *[f"_g_{g}" for g in groups], "p", "_pos", "_t._k", "_t._r")
+    cum = cum.select(*groups, F.col(value).cast("double").alias("_v"), "_cnt", "_cnt_incl")
+    cond = [F.col(g).eqNullSafe(F.col(f"_g_{g}")) for g in groups]
+    cond += [F.col("_cnt_incl") - F.col("_cnt") <= F.col("_r"), F.col("_r") < F.col("_cnt_incl")]
     right = ranks if groups else F.broadcast(ranks)  # global: 2*|probs| rows
-    hit = cum.join(right, cond).select(*[ranks[g] for g in groups], "p", "_pos", "_k",
-                                       cum[value].cast("double").alias("_v"))
+    hit = cum.join(right, cond).select(*groups, "p", "_pos", "_k", "_v")
     agg = hit.groupBy(*groups, "p").agg(
         F.first("_pos").alias("_pos"),
         F.max(F.when(F.col("_k") == "lo", F.col("_v"))).alias("_vlo"),

@@ -29,6 +29,12 @@ def duck_connect(sf_dir: str):
 def _norm(v):
     if v is None:
         return None
+    try:
+        import pandas as pd
+        if v is pd.NA or v is pd.NaT:
+            return None
+    except Exception:
+        pass
     if isinstance(v, (float, np.floating)):
         f = float(v)
         if math.isnan(f):
@@ -88,7 +94,8 @@ def compare(spark_df, duck_rel) -> dict:
     res["values_match"] = res["columns_match"] and srows == drows
     if res["columns_match"]:
         kinds = {c: (sp[c].dtype.kind, dk[c].dtype.kind) for c in sc}
-        res["dtype_diff"] = {c: k for c, k in kinds.items() if k[0] != k[1]}
+        res["dtype_diff"] = {c: k for c, k in kinds.items()
+                             if k[0] != k[1] and set(k) != {"i", "f"} and "O" not in k}
     if not res["values_match"] and res["columns_match"]:
         sset, dset = set(srows), set(drows)
         res["only_spark"] = [r for r in srows if r not in dset][:3]
