@@ -1,6 +1,6 @@
 """Registered queries: importing this package fills QUERIES and ORACLE."""
 
-from tessera.plans import q_recommend, q_stats  # noqa: F401
+from tessera.plans import q_features, q_recommend, q_stats  # noqa: F401
 from tessera.plans.registry import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]
