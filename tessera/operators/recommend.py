@@ -337,3 +337,98 @@ def search_catalogue(meta: DataFrame, query: str | None, limit: int = CATALOGUE_
         hits = meta.where(F.col("search_title").contains(F.lit(q)))
         return top_k(hits, limit, [F.col("rating_count").desc(), F.col("item_id")])
     return top_k(meta, limit, [F.col("popularity_score").desc(), F.col("item_id")])
+
+
+# --------------------------------------------------------------------------
+# Per-user selections
+# --------------------------------------------------------------------------
+
+SPLIT_CUTOFF = "1997-01-01"
+
+
+def temporal_split(ratings: DataFrame, cutoff: str = SPLIT_CUTOFF) -> tuple[DataFrame, DataFrame]:
+    """Train = rated before ``cutoff``, test = on or after (the evaluation split)."""
+    ts = F.col("rated_at") < F.to_timestamp(F.lit(cutoff))
+    return ratings.where(ts), ratings.where(~ts)
+
+
+def seed_per_user(ratings: DataFrame, liked: int = LIKED_RATING) -> DataFrame:
+    """Each user's best liked item: rating desc, then latest, then smallest id.
+
+    ``max_by`` is a partial aggregate, so a very active user is reduced map-side.
+    """
+    liked_r = ratings.where(F.col("rating") >= liked)
+    key = F.struct(F.col("rating"), F.col("rated_at"), -F.col("item_id"))
+    return liked_r.groupBy("user_id").agg(F.max_by(F.struct("item_id", "rating"), key).alias("_s")).select(
+        "user_id", F.col("_s.item_id").alias("seed_item_id"), F.col("_s.rating").alias("seed_rating"))
+
+
+def ranked_popular(scored: DataFrame, m: int) -> DataFrame:
+    """The first ``m`` items by popularity (score desc, id asc) with their rank.
+
+    ``orderBy().limit(m)`` is a per-partition top-m plus one merge; the rank is
+    a window over those m rows only.
+    """
+    top = top_k(scored, m, [F.col("popularity_score").desc(), F.col("item_id")])
+    return with_rank(top, [F.col("popularity_score").desc(), F.col("item_id")])
+
+
+def popular_unseen(scored: DataFrame, ratings: DataFrame, users: DataFrame, k: int = DEFAULT_TOP_N) -> DataFrame:
+    """For every user, the k most popular items the user has not rated.
+
+    The answer lies within the first k + seen(u) items of the popularity list,
+    so each user expands only that many ranks (linear in the ratings), joins
+    them to the ranked list on rank, drops seen items and keeps k.
+    """
+    seen = ratings.select("user_id", "item_id").distinct()
+    deg = seen.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_seen"))
+    u = users.select("user_id").distinct().join(deg, "user_id", "left").fillna(0, ["n_seen"])
+    m = u.agg(F.max("n_seen")).first()[0] or 0  # one scalar: length of the list to rank
+    pop = ranked_popular(scored, int(m) + k).select("rank", "item_id", "popularity_score")
+    cand = u.select("user_id", F.explode(F.sequence(F.lit(1), F.col("n_seen") + k)).alias("rank"))
+    j = cand.join(pop, "rank").join(seen, ["user_id", "item_id"], "left_anti")
+    w = Window.partitionBy("user_id").orderBy("rank")
+    return (j.withColumn("pos", F.row_number().over(w)).where(F.col("pos") <= k)
+             .select("user_id", F.col("pos").alias("rank"), "item_id", "popularity_score"))
+
+
+def lookup_titles(meta: DataFrame, requests: DataFrame, col: str = "request") -> DataFrame:
+    """Case-insensitive title lookup; unmatched requests get a message."""
+    m = meta.select("item_id", F.lower("clean_title").alias("_key"))
+    r = requests.select(col, F.lower(F.col(col)).alias("_key"))
+    j = r.join(m, "_key", "left")
+    return j.select(col, "item_id", F.when(F.col("item_id").isNull(), F.lit("no item with this title"))
+                    .otherwise(F.lit("found")).alias("status"))
+
+
+def recommend_status(meta: DataFrame, recs: DataFrame, queries: DataFrame) -> DataFrame:
+    """Per query item: unknown (not in catalogue), no_result, or ok."""
+    known = meta.select("item_id", F.lit(True).alias("_known"))
+    has = recs.select("item_id").distinct().withColumn("_has", F.lit(True))
+    q = queries.select("item_id").distinct()
+    return (q.join(known, "item_id", "left").join(has, "item_id", "left")
+            .select("item_id", F.when(F.col("_known").isNull(), "unknown")
+                    .when(F.col("_has").isNull(), "no_result").otherwise("ok").alias("status")))
+
+
+def star_join_check(facts: DataFrame, items: DataFrame, users: DataFrame) -> DataFrame:
+    """Left-join facts to both dimensions and check the row count is unchanged and
+    the dimension keys are unique (J1)."""
+    joined = facts.join(items, "item_id", "left").join(users, "user_id", "left")
+    n_f = facts.agg(F.count(F.lit(1)).alias("n_facts"))
+    n_j = joined.agg(F.count(F.lit(1)).alias("n_joined"))
+    ui = items.agg((F.count(F.lit(1)) == F.count_distinct("item_id")).alias("_ui"))
+    uu = users.agg((F.count(F.lit(1)) == F.count_distinct("user_id")).alias("_uu"))
+    return (n_f.crossJoin(n_j).crossJoin(ui).crossJoin(uu)
+            .select("n_facts", "n_joined", (F.col("_ui") & F.col("_uu")).alias("dim_keys_unique"),
+                    (F.col("n_facts") == F.col("n_joined")).alias("row_count_unchanged")))
+
+
+def run_metadata(meta: DataFrame, ratings: DataFrame, min_ratings: int = CF_MIN_RATINGS) -> DataFrame:
+    """Counts and popularity parameters of a build, one row."""
+    mc = popularity_params(meta)
+    counts = meta.agg(F.count(F.lit(1)).alias("n_items"),
+                      F.count(F.when(F.col("rating_count") >= min_ratings, 1)).alias("n_cf_items"))
+    r = ratings.agg(F.count_distinct("user_id").alias("n_users"), F.count(F.lit(1)).alias("n_ratings"))
+    return r.crossJoin(counts).crossJoin(mc).select(
+        "n_users", "n_items", "n_ratings", "n_cf_items", F.round("m", 6).alias("m"), F.round("C", 6).alias("C"))
