@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -30,6 +29,9 @@ def get_spark(master: str | None = None, shuffle_partitions: int = 8,
         builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if master and master.startswith("local"):
+        # local mode: the driver JVM is the only executor
+        conf["spark.driver.memory"] = "16g"
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
@@ -63,6 +65,3 @@ def cut_lineage(df):
     _checkpoint_root(df.sparkSession)
     return df.checkpoint(eager=True)
 
-
-def is_local_path(path: str) -> bool:
-    return path.startswith("/") or path.startswith("file:") or os.path.exists(path)
