@@ -372,3 +372,57 @@ SELECT (SELECT count(DISTINCT user_id) FROM clean) AS n_users, (SELECT count(*)
 def run_metadata(spark, sf):
     clean = _clean(spark, sf)
     return R.run_metadata(_meta(spark, sf), clean)
+
+
+# The evaluation keeps the reference's CF floor of 20 ratings on the training split.
+EVAL_CF_MIN = 20
+_CF_TRAIN = (CF_SQL[len(CLEAN_SQL) + 1:].replace("FROM clean", "FROM train")
+             .replace("HAVING count(*) >= 30", f"HAVING count(*) >= {EVAL_CF_MIN}"))
+
+
+@query("eval_topk", f"""
+WITH {CLEAN_SQL},
+train AS (SELECT * FROM clean WHERE rated_at < TIMESTAMP '{R.SPLIT_CUTOFF}'),
+test AS (SELECT * FROM clean WHERE rated_at >= TIMESTAMP '{R.SPLIT_CUTOFF}'),
+{_CF_TRAIN}, {GENRES_SQL},
+seeds AS (SELECT user_id, item_id AS seed FROM (
+            SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY rating DESC, rated_at DESC, item_id) AS rn
+            FROM train WHERE rating >= 4) t WHERE rn = 1),
+rel AS (SELECT DISTINCT user_id, item_id FROM test WHERE rating >= 4),
+nrel AS (SELECT user_id, count(*) AS n_rel FROM rel GROUP BY user_id),
+ev AS (SELECT s.user_id, seed, n_rel FROM seeds s JOIN nrel ON s.user_id = nrel.user_id),
+seen AS (SELECT DISTINCT user_id, item_id FROM train),
+tstats AS (SELECT item_id, count(*) AS rc, avg(rating) AS rm FROM train GROUP BY item_id),
+tmeta AS (SELECT i.item_id, coalesce(rc, 0) AS rc, coalesce(rm, 0.0) AS rm FROM items i LEFT JOIN tstats t ON i.item_id = t.item_id),
+tmc AS (SELECT (SELECT quantile_cont(rc, 0.6) FROM tmeta) AS m, (SELECT avg(rm) FROM tmeta WHERE rc > 0) AS c),
+tpop AS (SELECT item_id, CAST(rc AS DOUBLE) / (rc + m) * rm + m / (rc + m) * c AS ps FROM tmeta, tmc),
+poprec AS (SELECT user_id, item_id FROM (
+             SELECT ev.user_id, p.item_id, row_number() OVER (PARTITION BY ev.user_id ORDER BY p.ps DESC, p.item_id) AS rn
+             FROM ev CROSS JOIN tpop p
+             WHERE NOT EXISTS (SELECT 1 FROM seen WHERE seen.user_id = ev.user_id AND seen.item_id = p.item_id)) t
+           WHERE rn <= 10),
+conrec AS (SELECT user_id, j AS item_id FROM (
+             SELECT ev.user_id, csim.j, row_number() OVER (PARTITION BY ev.user_id ORDER BY csim.score DESC, csim.j) AS rn
+             FROM ev JOIN csim ON csim.i = ev.seed
+             WHERE NOT EXISTS (SELECT 1 FROM seen WHERE seen.user_id = ev.user_id AND seen.item_id = csim.j)) t
+           WHERE rn <= 10),
+cfrec AS (SELECT user_id, j AS item_id FROM (
+            SELECT ev.user_id, cfdense.j, row_number() OVER (PARTITION BY ev.user_id ORDER BY cfdense.score DESC, cfdense.j) AS rn
+            FROM ev JOIN cfdense ON cfdense.i = ev.seed
+            WHERE NOT EXISTS (SELECT 1 FROM seen WHERE seen.user_id = ev.user_id AND seen.item_id = cfdense.j)) t
+          WHERE rn <= 10),
+allrec AS (SELECT 'popularity' AS algorithm, user_id, item_id FROM poprec
+           UNION ALL SELECT 'content_based', user_id, item_id FROM conrec
+           UNION ALL SELECT 'item_based_cf', user_id, item_id FROM cfrec),
+ua AS (SELECT 'popularity' AS algorithm, user_id, n_rel FROM ev
+       UNION ALL SELECT 'content_based', user_id, n_rel FROM ev
+       UNION ALL SELECT 'item_based_cf', user_id, n_rel FROM ev WHERE seed IN (SELECT item_id FROM elig)),
+hits AS (SELECT a.algorithm, a.user_id, count(*) AS h FROM allrec a
+         JOIN rel ON rel.user_id = a.user_id AND rel.item_id = a.item_id GROUP BY 1, 2)
+SELECT ua.algorithm, count(*) AS evaluated_users, round(avg(coalesce(h, 0) / 10.0), 6) AS precision_at_k,
+       round(avg(coalesce(h, 0) / n_rel), 6) AS recall_at_k
+FROM ua LEFT JOIN hits ON hits.algorithm = ua.algorithm AND hits.user_id = ua.user_id GROUP BY ua.algorithm""")
+def eval_topk(spark, sf):
+    e = R.eval_topk(view(spark, sf, "items"), _clean(spark, sf), 10, min_ratings=EVAL_CF_MIN)
+    return e.select("algorithm", "evaluated_users", F.round("precision_at_k", 6).alias("precision_at_k"),
+                    F.round("recall_at_k", 6).alias("recall_at_k"))
