@@ -433,3 +433,56 @@ def user_stats(spark, sf):
 def prj_select_dtypes(spark, sf):
     r = view(spark, sf, "rides")
     return r.select(*S.numeric_columns(r))
+
+
+# ---------------------------------------------------------------- E12
+def _findings(df, named: dict):
+    agg = df.agg(*[c.alias(f"_f{i}") for i, c in enumerate(named.values())])
+    rows = F.array(*[F.struct(F.lit(k).alias("finding"), F.col(f"_f{i}").cast("double").alias("value"))
+                     for i, k in enumerate(named)])
+    return agg.select(F.inline(rows))
+
+
+@query("report_findings", """
+SELECT 'fraud_rate_transfer_pct' AS finding, round(avg(isFraud) FILTER (WHERE type = 'TRANSFER') * 100, 6) AS value FROM txn
+UNION ALL SELECT 'fraud_rate_cash_out_pct', round(avg(isFraud) FILTER (WHERE type = 'CASH_OUT') * 100, 6) FROM txn
+UNION ALL SELECT 'fraud_rate_other_pct', round(avg(isFraud) FILTER (WHERE type NOT IN ('TRANSFER', 'CASH_OUT')) * 100, 6) FROM txn
+UNION ALL SELECT 'skew_amount', round(skewness(amount), 6) FROM txn
+UNION ALL SELECT 'skew_log1p_amount', round(skewness(ln(1 + amount)) FILTER (WHERE amount >= 0), 6) FROM txn
+UNION ALL SELECT 'corr_amount_fraud', round(covar_pop(CASE WHEN isFraud IS NOT NULL THEN amount END, CASE WHEN amount IS NOT NULL THEN isFraud END)
+      / (stddev_pop(CASE WHEN isFraud IS NOT NULL THEN amount END) * stddev_pop(CASE WHEN amount IS NOT NULL THEN isFraud END)), 6) FROM txn
+UNION ALL SELECT 'bike_mean_hour_4', round(avg(bike_count) FILTER (WHERE hour = 4), 6) FROM rides
+UNION ALL SELECT 'bike_mean_hour_8', round(avg(bike_count) FILTER (WHERE hour = 8), 6) FROM rides
+UNION ALL SELECT 'bike_mean_hour_18', round(avg(bike_count) FILTER (WHERE hour = 18), 6) FROM rides
+UNION ALL SELECT 'bike_corr_temperature', round(covar_pop(temperature, bike_count) / (stddev_pop(temperature) * stddev_pop(bike_count)), 6) FROM rides
+UNION ALL SELECT 'bike_mean_summer', round(avg(bike_count) FILTER (WHERE season = 'Summer'), 6) FROM rides
+UNION ALL SELECT 'bike_mean_winter', round(avg(bike_count) FILTER (WHERE season = 'Winter'), 6) FROM rides
+UNION ALL SELECT 'bike_mean_precipitation', round(avg(bike_count) FILTER (WHERE rainfall > 0 OR snowfall > 0), 6) FROM rides
+UNION ALL SELECT 'bike_mean_dry', round(avg(bike_count) FILTER (WHERE NOT (rainfall > 0 OR snowfall > 0)), 6) FROM rides""")
+def report_findings(spark, sf):
+    """The numbers quoted in the reports, computed from the data: one aggregate
+    pass per table, unpivoted to (finding, value) (E12)."""
+    t = view(spark, sf, "txn")
+    r = view(spark, sf, "rides")
+    n_amount = F.count("amount").cast("double")
+    amt_pos = F.when(F.col("amount") >= 0, F.log1p("amount"))
+    tf = _findings(t, {
+        "fraud_rate_transfer_pct": F.avg(F.when(F.col("type") == "TRANSFER", F.col("isFraud"))) * 100,
+        "fraud_rate_cash_out_pct": F.avg(F.when(F.col("type") == "CASH_OUT", F.col("isFraud"))) * 100,
+        "fraud_rate_other_pct": F.avg(F.when(~F.col("type").isin("TRANSFER", "CASH_OUT"), F.col("isFraud"))) * 100,
+        "skew_amount": S.unbiased_skew(F.col("amount"), n_amount),
+        "skew_log1p_amount": S.unbiased_skew(amt_pos, F.count(amt_pos).cast("double")),
+        "corr_amount_fraud": S.safe_corr("amount", "isFraud"),
+    })
+    wet = (F.col("rainfall") > 0) | (F.col("snowfall") > 0)
+    rf = _findings(r, {
+        "bike_mean_hour_4": F.avg(F.when(F.col("hour") == 4, F.col("bike_count"))),
+        "bike_mean_hour_8": F.avg(F.when(F.col("hour") == 8, F.col("bike_count"))),
+        "bike_mean_hour_18": F.avg(F.when(F.col("hour") == 18, F.col("bike_count"))),
+        "bike_corr_temperature": S.safe_corr("temperature", "bike_count"),
+        "bike_mean_summer": F.avg(F.when(F.col("season") == "Summer", F.col("bike_count"))),
+        "bike_mean_winter": F.avg(F.when(F.col("season") == "Winter", F.col("bike_count"))),
+        "bike_mean_precipitation": F.avg(F.when(wet, F.col("bike_count"))),
+        "bike_mean_dry": F.avg(F.when(~wet, F.col("bike_count"))),
+    })
+    return tf.unionByName(rf).withColumn("value", r6("value"))
