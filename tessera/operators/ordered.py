@@ -20,6 +20,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.session import cut_lineage
+
 
 def default_buckets(df: DataFrame) -> int:
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
@@ -85,6 +87,9 @@ def exact_quantiles(df: DataFrame, value: str, probs: list[float], groups: list[
     groups = list(groups or [])
     counts = (df.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
                 .groupBy(*groups, value).agg(F.count(F.lit(1)).alias("_cnt")))
+    # The distinct-value table feeds four branches below; materialising it once
+    # means the source is scanned once instead of once per branch.
+    counts = cut_lineage(counts)
     cum = running_totals(counts, value, ["_cnt"], groups, buckets)
     spark = df.sparkSession
     ptab = spark.createDataFrame([(float(p),) for p in probs], "p double")

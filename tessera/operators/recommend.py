@@ -26,6 +26,7 @@ from pyspark.sql import types as T
 from tessera.functions.text import split_title_year_cols
 from tessera.operators.ordered import quantile_row
 from tessera.operators.quality import clean_ratings  # noqa: F401  (re-export)
+from tessera.session import cut_lineage
 
 # Fixed values of the reference recommender.
 POPULARITY_QUANTILE = 0.6
@@ -78,6 +79,9 @@ def popularity_params(meta: DataFrame, quantile: float = POPULARITY_QUANTILE) ->
 
 def bayes_popularity(meta: DataFrame, quantile: float = POPULARITY_QUANTILE) -> DataFrame:
     """v/(v+m)*R + m/(v+m)*C as ``popularity_score`` (R1); (m, C) is one broadcast row."""
+    # catalogue-sized: materialise once so the ratings are aggregated once,
+    # not once per branch (quantile, mean of means, scoring)
+    meta = cut_lineage(meta)
     mc = popularity_params(meta, quantile)
     v = F.col("rating_count").cast("double")
     return (meta.crossJoin(F.broadcast(mc))
@@ -195,6 +199,7 @@ def dense_block_topn(universe: DataFrame, mode: str, pairs: DataFrame | None = N
     both orientations, gives the non-zero scores for ``mode='sparse'``.
     Returns item_id, similar_item_id, score, rank.
     """
+    universe = cut_lineage(universe)  # catalogue-sized; read by the count and the scoring
     if n_items is None:
         n_items = universe.count()  # one scalar to size the blocks
     nb = block_count(n_items, block_size)
