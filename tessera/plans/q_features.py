@@ -413,3 +413,22 @@ ORDER BY rating_count DESC, item_id LIMIT 20""".replace("__META__", __import__(
 def search_catalog(spark, sf):
     meta = R.item_metadata(view(spark, sf, "items"), Q.clean_ratings(view(spark, sf, "ratings")))
     return R.search_catalogue(meta, "Green", 20).select("item_id", "title", "rating_count")
+
+
+@query("clean_txn", f"""
+WITH {CLEAN_TXN_SQL}
+SELECT {TK}, step, type, amount, oldbalanceOrg, oldbalanceDest, isFraud FROM clean_txn""")
+def clean_txn(spark, sf):
+    """Whole-row dedupe, Inf -> null, null drop, negative-amount drop."""
+    c = Q.clean_txn(view(spark, sf, "txn"))
+    return c.select(*TXN_KEYS, "step", "type", "amount", "oldbalanceOrg", "oldbalanceDest", "isFraud")
+
+
+@query("clean_txn_summary", f"""
+WITH {CLEAN_TXN_SQL}
+SELECT (SELECT count(*) FROM txn) AS rows_before, (SELECT count(*) FROM clean_txn) AS rows_after,
+       (SELECT count(*) FROM txn) - (SELECT count(*) FROM clean_txn) AS rows_removed""")
+def clean_txn_summary(spark, sf):
+    """Rows removed by the cleaning job (the reference prints this count)."""
+    t = view(spark, sf, "txn")
+    return Q.clean_summary(t, Q.clean_txn(t))
