@@ -168,12 +168,15 @@ def _block_scorer(mode: str):
             else:
                 S = np.zeros((len(qid), len(cid)))
                 if not pairs_pdf.empty:
+                    # pairs arrive once per unordered pair; fill both orientations
                     qpos = pd.Index(qid)
                     cpos = pd.Index(cid)
-                    ri = qpos.get_indexer(pairs_pdf["i"].to_numpy())
-                    ci = cpos.get_indexer(pairs_pdf["j"].to_numpy())
-                    ok = (ri >= 0) & (ci >= 0)
-                    S[ri[ok], ci[ok]] = pairs_pdf["score"].to_numpy()[ok]
+                    pi, pj = pairs_pdf["i"].to_numpy(), pairs_pdf["j"].to_numpy()
+                    sc = pairs_pdf["score"].to_numpy()
+                    for a, b in ((pi, pj), (pj, pi)):
+                        ri, ci = qpos.get_indexer(a), cpos.get_indexer(b)
+                        ok = (ri >= 0) & (ci >= 0)
+                        S[ri[ok], ci[ok]] = sc[ok]
             same = qid[:, None] == cid[None, :]
             S[same] = -np.inf
             r, cc = _select_top(S, q["n"].to_numpy())
@@ -196,7 +199,7 @@ def dense_block_topn(universe: DataFrame, mode: str, pairs: DataFrame | None = N
 
     ``universe``: item_id, is_query, is_candidate, n (per-query list length),
     and ``genres`` (array) for ``mode='content'``.  ``pairs`` (i, j, score),
-    both orientations, gives the non-zero scores for ``mode='sparse'``.
+    one row per unordered pair, gives the non-zero scores for ``mode='sparse'``.
     Returns item_id, similar_item_id, score, rank.
     """
     universe = cut_lineage(universe)  # catalogue-sized; read by the count and the scoring
@@ -284,9 +287,7 @@ def item_cf_topn(ratings: DataFrame, n: int = DEFAULT_TOP_N, min_ratings: int =
     """Top-n CF neighbours of every eligible item over all eligible items; pairs
     without a common user score 0 and rank above negative pairs (R4)."""
     sims = item_cf_similarity(ratings, min_ratings)
-    pairs = (sims.select(F.col("item_i").alias("i"), F.col("item_j").alias("j"), F.col("similarity").alias("score"))
-             .unionByName(sims.select(F.col("item_j").alias("i"), F.col("item_i").alias("j"),
-                                      F.col("similarity").alias("score"))))
+    pairs = sims.select(F.col("item_i").alias("i"), F.col("item_j").alias("j"), F.col("similarity").alias("score"))
     elig = eligible_items(ratings, min_ratings)
     u = elig.select("item_id", F.lit(True).alias("is_query"), F.lit(True).alias("is_candidate"), F.lit(n).alias("n"))
     return dense_block_topn(u, "sparse", pairs=pairs, block_size=block_size)
@@ -483,9 +484,7 @@ def eval_topk(items: DataFrame, ratings: DataFrame, k: int = DEFAULT_TOP_N, like
 
     elig = eligible_items(train, min_ratings)
     sims = item_cf_similarity(train, min_ratings)
-    pairs = (sims.select(F.col("item_i").alias("i"), F.col("item_j").alias("j"), F.col("similarity").alias("score"))
-             .unionByName(sims.select(F.col("item_j").alias("i"), F.col("item_i").alias("j"),
-                                      F.col("similarity").alias("score"))))
+    pairs = sims.select(F.col("item_i").alias("i"), F.col("item_j").alias("j"), F.col("similarity").alias("score"))
     ue = (elig.join(need, "item_id", "left")
           .select("item_id", F.col("n").isNotNull().alias("is_query"), F.lit(True).alias("is_candidate"),
                   F.coalesce("n", F.lit(0)).alias("n")))

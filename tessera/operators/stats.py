@@ -127,21 +127,35 @@ def safe_corr(a: str, b: str) -> Column:
     return F.try_divide(F.covar_pop(xm, ym), F.stddev_pop(xm) * F.stddev_pop(ym))
 
 
+def _pair_corr(df: DataFrame, pairs: list[tuple[str, str]], names: list[tuple[str, str]]) -> DataFrame:
+    """Correlation per (a, b) pair on the long table (pair, x, y).
+
+    One wide aggregate of k(k-1)/2 correlations has hundreds of buffer fields
+    and falls out of whole-stage codegen; three aggregates grouped by pair stay
+    inside it.
+    """
+    arr = F.array(*[F.struct(F.lit(i).alias("_pair"), F.col(a).cast("double").alias("_x"),
+                             F.col(b).cast("double").alias("_y")) for i, (a, b) in enumerate(pairs)])
+    x, y = F.col("_x"), F.col("_y")
+    xm = F.when(y.isNotNull() & ~F.isnan(y), x)
+    ym = F.when(x.isNotNull() & ~F.isnan(x), y)
+    agg = (df.select(F.inline(arr)).groupBy("_pair")
+           .agg(F.try_divide(F.covar_pop(xm, ym), F.stddev_pop(xm) * F.stddev_pop(ym)).alias("corr")))
+    spark = df.sparkSession
+    labels = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(names)], "_pair int, col_a string, col_b string")
+    return agg.join(F.broadcast(labels), "_pair").select("col_a", "col_b", "corr")  # one row per pair
+
+
 def corr_pairs(df: DataFrame, cols: list[str]) -> DataFrame:
-    """(col_a, col_b, corr) for every pair a before b, from one aggregate."""
+    """(col_a, col_b, corr) for every pair a before b, one pass over the data."""
     pairs = list(itertools.combinations(cols, 2))
-    agg = df.agg(*[safe_corr(a, b).alias(f"_c{i}") for i, (a, b) in enumerate(pairs)])
-    rows = F.array(*[F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), F.col(f"_c{i}").alias("corr"))
-                     for i, (a, b) in enumerate(pairs)])
-    return agg.select(F.inline(rows))
+    return _pair_corr(df, pairs, pairs)
 
 
 def corr_with_target(df: DataFrame, cols: list[str], target: str) -> DataFrame:
     """Correlation of every column with the target, as rows (A14, target column)."""
-    agg = df.agg(*[safe_corr(c, target).alias(f"_c{i}") for i, c in enumerate(cols)])
-    rows = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"_c{i}").alias("corr"))
-                     for i, c in enumerate(cols)])
-    return agg.select(F.inline(rows))
+    out = _pair_corr(df, [(c, target) for c in cols], [(c, target) for c in cols])
+    return out.select(F.col("col_a").alias("column_name"), "corr")
 
 
 def high_corr_pairs(pairs: DataFrame, thresholds: list[float], inclusive: bool = False) -> DataFrame:
