@@ -264,7 +264,9 @@ def item_cf_similarity(ratings: DataFrame, min_ratings: int = CF_MIN_RATINGS, sa
     """
     elig = eligible_items(ratings, min_ratings)
     r = ratings.select("user_id", "item_id", "rating").join(elig, "item_id", "left_semi")
-    c = center_ratings(r).select("user_id", "item_id", "centered")
+    # three narrow columns, read by the norms and by both sides of the self join:
+    # written once instead of re-deriving the cleaned ratings per branch
+    c = cut_lineage(center_ratings(r).select("user_id", "item_id", "centered"))
     norms = c.groupBy("item_id").agg(F.sqrt(F.sum(F.col("centered") * F.col("centered"))).alias("norm"))
     nb = salt_blocks
     blk = F.pmod(F.xxhash64("item_id"), F.lit(nb)).cast("int")

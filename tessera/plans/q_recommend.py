@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tessera.operators import recommend as R
 from tessera.operators.quality import clean_ratings
 from tessera.plans.registry import query
+from tessera.session import cut_lineage
 from tessera.sources.fixtures import view
 
 # DuckDB text shared by several oracles: the cleaned ratings (keep the latest
@@ -162,7 +163,9 @@ FROM shared JOIN meta m ON m.item_id = shared.j"""
 
 @query("recommend_hybrid", HYBRID_SQL)
 def recommend_hybrid(spark, sf):
-    return R.recommend_hybrid(_meta(spark, sf), _clean(spark, sf), 10, R.CF_MIN_RATINGS)
+    clean = cut_lineage(_clean(spark, sf))  # read by metadata, eligibility and CF
+    meta = R.item_metadata(view(spark, sf, "items"), clean)
+    return R.recommend_hybrid(meta, clean, 10, R.CF_MIN_RATINGS)
 
 
 @query("common_genres", f"""
@@ -221,7 +224,7 @@ cand AS (SELECT u.user_id, s.item_id, s.popularity_score,
          WHERE NOT EXISTS (SELECT 1 FROM seen WHERE seen.user_id = u.user_id AND seen.item_id = s.item_id))
 SELECT user_id, CAST(rnk AS INT) AS rank, item_id, round(popularity_score, 6) AS popularity_score FROM cand WHERE rnk <= 10""")
 def popular_unseen(spark, sf):
-    clean = _clean(spark, sf)
+    clean = cut_lineage(_clean(spark, sf))  # read by popularity, seen items and users
     scored = R.bayes_popularity(R.item_metadata(view(spark, sf, "items"), clean))
     out = R.popular_unseen(scored, clean, clean.select("user_id"), 10)
     return out.select("user_id", F.col("rank").cast("int"), "item_id", F.round("popularity_score", 6).alias("popularity_score"))
@@ -423,6 +426,7 @@ SELECT ua.algorithm, count(*) AS evaluated_users, round(avg(coalesce(h, 0) / 10.
        round(avg(coalesce(h, 0) / n_rel), 6) AS recall_at_k
 FROM ua LEFT JOIN hits ON hits.algorithm = ua.algorithm AND hits.user_id = ua.user_id GROUP BY ua.algorithm""")
 def eval_topk(spark, sf):
-    e = R.eval_topk(view(spark, sf, "items"), _clean(spark, sf), 10, min_ratings=EVAL_CF_MIN)
+    clean = cut_lineage(_clean(spark, sf))  # both splits feed several branches
+    e = R.eval_topk(view(spark, sf, "items"), clean, 10, min_ratings=EVAL_CF_MIN)
     return e.select("algorithm", "evaluated_users", F.round("precision_at_k", 6).alias("precision_at_k"),
                     F.round("recall_at_k", 6).alias("recall_at_k"))
