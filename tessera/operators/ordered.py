@@ -38,14 +38,38 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str
     return left.join(r, cond, how).drop(*[f"_r_{k}" for k in keys])
 
 
+# A group with at most this many distinct values is small enough for one task
+# (a window, or one percentile buffer); the size is checked on the materialised
+# distinct-value counts before that plan is chosen.
+SMALL_GROUP_ROWS = 1_000_000
+
+
+def _running_totals_small(counts: DataFrame, value: str, sums: list[str], groups: list[str]) -> DataFrame:
+    w = Window.partitionBy(*groups) if groups else Window.partitionBy()
+    wo = w.orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    return counts.select(*counts.columns, *[F.sum(s).over(wo).alias(f"{s}_incl") for s in sums],
+                         *[F.sum(s).over(w).alias(f"{s}_total") for s in sums])
+
+
+def largest_group(counts: DataFrame, groups: list[str]) -> int:
+    """Rows of the largest group of a (materialised) counts table: one scalar."""
+    if not groups:
+        return counts.count()
+    return counts.groupBy(*groups).count().agg(F.max("count")).first()[0] or 0
+
+
 def running_totals(counts: DataFrame, value: str, sums: list[str], groups: list[str] | None = None,
-                   buckets: int | None = None) -> DataFrame:
+                   buckets: int | None = None, group_rows: int | None = None) -> DataFrame:
     """Add ``<s>_incl`` (inclusive running sum in ascending ``value`` order) and
     ``<s>_total`` per group for each column in ``sums``.
 
     ``counts`` must have one row per ``(groups, value)``; ``value`` non-null.
+    When ``group_rows`` (the largest group's row count) is known and small, a
+    window per group does it in one stage; otherwise the bucketed plan runs.
     """
     groups = list(groups or [])
+    if group_rows is not None and group_rows <= SMALL_GROUP_ROWS and not buckets:
+        return _running_totals_small(counts, value, sums, groups)
     b = buckets or default_buckets(counts)
     probs = [i / b for i in range(1, b)]
     bounds = counts.groupBy(*groups).agg(
@@ -90,6 +114,13 @@ def exact_quantiles(df: DataFrame, value: str, probs: list[float], groups: list[
     # The distinct-value table feeds four branches below; materialising it once
     # means the source is scanned once instead of once per branch.
     counts = cut_lineage(counts)
+    group_rows = largest_group(counts, groups)
+    if group_rows <= SMALL_GROUP_ROWS and not buckets:
+        # checked size: every group's distinct values fit one aggregation buffer
+        pct = F.percentile(F.col(value).cast("double"), [float(p) for p in probs], F.col("_cnt"))
+        arr = F.arrays_zip(F.array(*[F.lit(float(p)) for p in probs]).alias("p"), pct.alias("q"))
+        return (counts.groupBy(*groups).agg(arr.alias("_pq"))
+                .select(*groups, F.inline("_pq")).select(*groups, "p", "q"))
     cum = running_totals(counts, value, ["_cnt"], groups, buckets)
     spark = df.sparkSession
     ptab = spark.createDataFrame([(float(p),) for p in probs], "p double")

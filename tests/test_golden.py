@@ -73,9 +73,11 @@ def test_exact_quantiles_match_numpy(spark):
     vals = [float(rnd.randint(0, 50)) for _ in range(500)] + [rnd.random() for _ in range(300)]
     df = spark.createDataFrame([(v, i % 3) for i, v in enumerate(vals)], "x double, g int")
     probs = [0.0, 0.05, 0.25, 0.5, 0.6, 0.95, 1.0]
-    q = {r.p: r.q for r in exact_quantiles(df, "x", probs, buckets=7).collect()}
+    q = {r.p: r.q for r in exact_quantiles(df, "x", probs, buckets=7).collect()}  # bucketed plan
+    q_small = {r.p: r.q for r in exact_quantiles(df, "x", probs).collect()}  # checked-size plan
     for p in probs:
         assert math.isclose(q[p], float(np.quantile(vals, p)), rel_tol=1e-12, abs_tol=1e-12)
+        assert math.isclose(q_small[p], float(np.quantile(vals, p)), rel_tol=1e-12, abs_tol=1e-12)
     qg = {(r.g, r.p): r.q for r in exact_quantiles(df, "x", probs, ["g"], buckets=5).collect()}
     for g in range(3):
         sub = [v for i, v in enumerate(vals) if i % 3 == g]
