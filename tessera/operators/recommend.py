@@ -110,23 +110,32 @@ _TOPN_SCHEMA = T.StructType([
     T.StructField("score", T.DoubleType())])
 
 
-def _select_top(S: np.ndarray, n_per_row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Row-wise best ``n`` cells by (score desc, column asc); -inf cells are excluded.
+def _select_top_fixed(S: np.ndarray, n: int) -> np.ndarray:
+    """Boolean mask of each row's best ``n`` cells by (score desc, column asc).
 
-    Columns are already sorted by id, so a stable sort on -score keeps id order
-    among ties.
+    Vectorised: the n-th largest value per row splits cells into strictly
+    greater (all taken) and ties (taken left to right, i.e. by smaller id,
+    since columns are sorted by id).  -inf cells are never taken.
     """
-    order = np.argsort(-S, axis=1, kind="stable")
-    rows, cols = [], []
-    valid_counts = np.isfinite(S).sum(axis=1)
-    for r in range(S.shape[0]):
-        take = int(min(n_per_row[r], valid_counts[r]))
-        if take > 0:
-            rows.append(np.full(take, r))
-            cols.append(order[r, :take])
-    if not rows:
-        return np.array([], dtype=int), np.array([], dtype=int)
-    return np.concatenate(rows), np.concatenate(cols)
+    m, k = S.shape
+    finite = np.isfinite(S)
+    if n >= k:
+        return finite
+    kth = -np.partition(-S, n - 1, axis=1)[:, n - 1]
+    gt = (S > kth[:, None]) & finite
+    need = n - gt.sum(axis=1)
+    eq = (S == kth[:, None]) & finite
+    return gt | (eq & (np.cumsum(eq, axis=1) <= need[:, None]))
+
+
+def _select_top(S: np.ndarray, n_per_row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row, column) indices of each row's best ``n_per_row[r]`` cells."""
+    mask = np.zeros(S.shape, dtype=bool)
+    for n in np.unique(n_per_row):
+        rows = np.flatnonzero(n_per_row == n)
+        if n > 0:
+            mask[rows] = _select_top_fixed(S[rows], int(n))
+    return np.nonzero(mask)
 
 
 def _genre_matrix(lists: list, vocab: dict) -> np.ndarray:
