@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.operators.ordered import running_totals
+from tessera.operators.ordered import largest_group, running_totals
+from tessera.session import cut_lineage
 
 
 def hash_key(cols: list[str], seed: int) -> Column:
@@ -102,8 +103,9 @@ def stratified_split(df: DataFrame, label: str, key_cols: list[str], test_fracti
     running counts, so one huge class is spread over many tasks.
     """
     h = df.withColumn("_h", hash_key(key_cols, seed))
-    counts = h.groupBy(label, "_h").agg(F.count(F.lit(1)).alias("_c"))
-    cum = running_totals(counts, "_h", ["_c"], [label])
+    # read by several branches of the running totals: materialise once
+    counts = cut_lineage(h.groupBy(label, "_h").agg(F.count(F.lit(1)).alias("_c")))
+    cum = running_totals(counts, "_h", ["_c"], [label], group_rows=largest_group(counts, [label]))
     # rows sharing a hash (duplicate keys) are ordered by the key columns
     w = Window.partitionBy(label, "_h").orderBy(*key_cols)
     h = h.withColumn("_tie", F.row_number().over(w))

@@ -45,8 +45,10 @@ def _checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
-        # Only reached in local runs and tests: a cluster names a shared
-        # folder in spark.checkpoint.dir and we never invent one there.
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster "
+                               "(checkpoints and scratch tables are written there)")
+        # local runs and tests only: one JVM, so a local folder is shared
         root = tempfile.mkdtemp(prefix="tessera-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     spark.sparkContext.setCheckpointDir(root)
