@@ -250,9 +250,11 @@ def content_topn(meta: DataFrame, n: int = DEFAULT_TOP_N, min_candidate_ratings:
 # Item-based collaborative filtering
 # --------------------------------------------------------------------------
 
-def eligible_items(ratings: DataFrame, min_ratings: int = CF_MIN_RATINGS) -> DataFrame:
-    return (ratings.groupBy("item_id").agg(F.count(F.lit(1)).alias("rating_count"))
-            .where(F.col("rating_count") >= min_ratings).select("item_id"))
+def eligible_items(ratings: DataFrame, min_ratings: int = CF_MIN_RATINGS, materialise: bool = False) -> DataFrame:
+    """Items with at least ``min_ratings`` ratings (catalogue-sized)."""
+    e = (ratings.groupBy("item_id").agg(F.count(F.lit(1)).alias("rating_count"))
+         .where(F.col("rating_count") >= min_ratings).select("item_id"))
+    return cut_lineage(e) if materialise else e
 
 
 def center_ratings(ratings: DataFrame) -> DataFrame:
@@ -262,26 +264,37 @@ def center_ratings(ratings: DataFrame) -> DataFrame:
     return ratings.join(um, "user_id").withColumn("centered", F.col("rating") - F.col("user_mean"))
 
 
-def item_cf_similarity(ratings: DataFrame, min_ratings: int = CF_MIN_RATINGS, salt_blocks: int = 4) -> DataFrame:
+# A user with more eligible ratings than this has their co-rating pairs split
+# over several join keys (checked per user from the ratings themselves).
+CF_PAIRS_USER_LIMIT = 2000
+CF_MAX_SALT = 32
+
+
+def item_cf_similarity(ratings: DataFrame, min_ratings: int = CF_MIN_RATINGS,
+                       user_limit: int = CF_PAIRS_USER_LIMIT, max_salt: int = CF_MAX_SALT,
+                       elig: DataFrame | None = None) -> DataFrame:
     """Cosine similarity of user-centred rating vectors for co-rated eligible items,
     one row per pair with ``item_i < item_j`` (R3, J5, W5, J7).
 
-    The co-rating self join is keyed by (user, item block i, item block j): each
-    rating is copied to the block pairs that contain its block, so a user with
-    a third of all ratings is split over ``salt_blocks``^2 join keys, and the
-    per-pair products are partially aggregated right after the join.
+    The co-rating self join is keyed by (user, item block a, item block b).  A
+    user with d ratings gets s = ceil(d / user_limit) item blocks (1 for almost
+    everyone, at most ``max_salt``); each of their ratings is copied to the s
+    block pairs that contain its block, so a user holding a third of all
+    ratings is split over s(s+1)/2 join keys while ordinary users are not
+    copied at all.  Products are partially aggregated right after the join.
     """
-    elig = eligible_items(ratings, min_ratings)
+    if elig is None:
+        elig = eligible_items(ratings, min_ratings)
     r = ratings.select("user_id", "item_id", "rating").join(elig, "item_id", "left_semi")
     # three narrow columns, read by the norms and by both sides of the self join:
     # written once instead of re-deriving the cleaned ratings per branch
     c = cut_lineage(center_ratings(r).select("user_id", "item_id", "centered"))
     norms = c.groupBy("item_id").agg(F.sqrt(F.sum(F.col("centered") * F.col("centered"))).alias("norm"))
-    nb = salt_blocks
-    blk = F.pmod(F.xxhash64("item_id"), F.lit(nb)).cast("int")
-    cb = c.withColumn("blk", blk)
+    deg = c.groupBy("user_id").agg(F.least(F.ceil(F.count(F.lit(1)) / user_limit), F.lit(max_salt))
+                                   .cast("int").alias("salt"))
+    cb = c.join(deg, "user_id").withColumn("blk", F.pmod(F.xxhash64("item_id"), F.col("salt")).cast("int"))
     left = cb.select("user_id", F.col("item_id").alias("a"), F.col("centered").alias("ca"),
-                     F.col("blk").alias("ba"), F.explode(F.sequence("blk", F.lit(nb - 1))).alias("bb"))
+                     F.col("blk").alias("ba"), F.explode(F.sequence("blk", F.col("salt") - 1)).alias("bb"))
     right = cb.select("user_id", F.col("item_id").alias("b"), F.col("centered").alias("cb"),
                       F.col("blk").alias("bb"), F.explode(F.sequence(F.lit(0), "blk")).alias("ba"))
     j = left.join(right, ["user_id", "ba", "bb"]).where((F.col("ba") < F.col("bb")) | (F.col("a") < F.col("b")))
@@ -297,9 +310,9 @@ def item_cf_topn(ratings: DataFrame, n: int = DEFAULT_TOP_N, min_ratings: int =
                  block_size: int = 2048) -> DataFrame:
     """Top-n CF neighbours of every eligible item over all eligible items; pairs
     without a common user score 0 and rank above negative pairs (R4)."""
-    sims = item_cf_similarity(ratings, min_ratings)
+    elig = eligible_items(ratings, min_ratings, materialise=True)  # read twice below
+    sims = item_cf_similarity(ratings, min_ratings, elig=elig)
     pairs = sims.select(F.col("item_i").alias("i"), F.col("item_j").alias("j"), F.col("similarity").alias("score"))
-    elig = eligible_items(ratings, min_ratings)
     u = elig.select("item_id", F.lit(True).alias("is_query"), F.lit(True).alias("is_candidate"), F.lit(n).alias("n"))
     return dense_block_topn(u, "sparse", pairs=pairs, block_size=block_size)
 
@@ -326,7 +339,7 @@ def recommend_hybrid(meta: DataFrame, ratings: DataFrame, n: int = DEFAULT_TOP_N
     """For every catalogue item: CF neighbours if the item is CF-eligible, else
     content neighbours over the whole catalogue (R5, R7)."""
     cf = item_cf_topn(ratings, n, min_ratings, block_size).withColumn("algorithm", F.lit("item_based_cf"))
-    elig = eligible_items(ratings, min_ratings)
+    elig = eligible_items(ratings, min_ratings, materialise=True)
     u = (meta.join(elig.withColumn("_e", F.lit(True)), "item_id", "left")
          .select("item_id", "genres", F.col("_e").isNull().alias("is_query"),
                  F.lit(True).alias("is_candidate"), F.lit(n).alias("n")))
@@ -493,8 +506,8 @@ def eval_topk(items: DataFrame, ratings: DataFrame, k: int = DEFAULT_TOP_N, like
                  F.coalesce("n", F.lit(0)).alias("n")))
     content = _per_user_topk(users, dense_block_topn(u, "content", block_size=block_size), seen, k)
 
-    elig = eligible_items(train, min_ratings)
-    sims = item_cf_similarity(train, min_ratings)
+    elig = eligible_items(train, min_ratings, materialise=True)
+    sims = item_cf_similarity(train, min_ratings, elig=elig)
     pairs = sims.select(F.col("item_i").alias("i"), F.col("item_j").alias("j"), F.col("similarity").alias("score"))
     ue = (elig.join(need, "item_id", "left")
           .select("item_id", F.col("n").isNotNull().alias("is_query"), F.lit(True).alias("is_candidate"),

@@ -135,7 +135,8 @@ def item_cf_similarity(spark, sf):
 
 @query("item_cf_topn", f"WITH {CF_SQL}\n{_topn_sql('cfdense')}")
 def item_cf_topn(spark, sf):
-    return _topn_out(R.item_cf_topn(_clean(spark, sf), 10, R.CF_MIN_RATINGS))
+    clean = cut_lineage(_clean(spark, sf))  # read by eligibility and by the centred ratings
+    return _topn_out(R.item_cf_topn(clean, 10, R.CF_MIN_RATINGS))
 
 
 HYBRID_SQL = f"""WITH {META_SQL}, {GENRES_SQL}, {CF_SQL.replace(CLEAN_SQL + ',', '')},

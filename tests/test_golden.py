@@ -169,3 +169,14 @@ def test_stream_scoring_equals_batch(spark):
     assert streamed.count() == batch.count() == req.count()
     assert streamed.exceptAll(batch.select(*streamed.columns)).count() == 0
     assert set(REQUEST_COLS) >= set(TXN_KEYS)
+
+
+def test_item_cf_salted_equals_unsalted(spark):
+    """Splitting heavy users over block-pair keys does not change any similarity."""
+    from tests.conftest import SF_SMALL
+    from tessera.sources.fixtures import view
+    c = R.clean_ratings(view(spark, SF_SMALL, "ratings"))
+    a = {(r.item_i, r.item_j): r.similarity for r in R.item_cf_similarity(c, 5).collect()}
+    b = {(r.item_i, r.item_j): r.similarity for r in R.item_cf_similarity(c, 5, user_limit=2).collect()}
+    assert set(a) == set(b) and len(a) > 0
+    assert max(abs(a[k] - b[k]) for k in a) < 1e-12
