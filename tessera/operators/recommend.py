@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.functions.text import split_title_year_cols
-from tessera.operators.ordered import quantile_row
+from tessera.operators.ordered import largest_group, quantile_row, running_totals
 from tessera.operators.quality import clean_ratings  # noqa: F401  (re-export)
 from tessera.session import cut_lineage
 
@@ -416,10 +416,29 @@ def popular_unseen(scored: DataFrame, ratings: DataFrame, users: DataFrame, k: i
     m = u.agg(F.max("n_seen")).first()[0] or 0  # one scalar: length of the list to rank
     pop = ranked_popular(scored, int(m) + k).select("rank", "item_id", "popularity_score")
     cand = u.select("user_id", F.explode(F.sequence(F.lit(1), F.col("n_seen") + k)).alias("rank"))
-    j = cand.join(pop, "rank").join(seen, ["user_id", "item_id"], "left_anti")
-    w = Window.partitionBy("user_id").orderBy("rank")
-    return (j.withColumn("pos", F.row_number().over(w)).where(F.col("pos") <= k)
-             .select("user_id", F.col("pos").alias("rank"), "item_id", "popularity_score"))
+    picked = first_k_unexcluded(cand.join(pop.select("rank", "item_id"), "rank"), seen, k)
+    return picked.join(pop.select("item_id", "popularity_score"), "item_id").select(
+        "user_id", "rank", "item_id", "popularity_score")
+
+
+def first_k_unexcluded(cands: DataFrame, excluded: DataFrame, k: int) -> DataFrame:
+    """Per user, the first ``k`` candidates by ``rank`` whose item is not excluded.
+
+    ``cands``: (user_id, rank, item_id), one row per (user, rank).  A candidate
+    at rank r is kept when it is not excluded and r minus the excluded count up
+    to r is at most k.  That count is a per-user running total computed by
+    :func:`running_totals`, which falls back to bucketed ranks when a user's
+    candidate list is too long for one task, so a user with a huge history
+    is not ranked in a single window.
+    """
+    flagged = (cands.join(excluded.select("user_id", "item_id").distinct().withColumn("_x", F.lit(1)),
+                          ["user_id", "item_id"], "left")
+               .select("user_id", "rank", "item_id", F.coalesce("_x", F.lit(0)).alias("_x")))
+    flagged = cut_lineage(flagged)  # read by the size check and the running totals
+    cum = running_totals(flagged, "rank", ["_x"], ["user_id"],
+                         group_rows=largest_group(flagged, ["user_id"]))
+    pos = F.col("rank") - F.col("_x_incl")
+    return cum.where((F.col("_x") == 0) & (pos <= k)).select("user_id", pos.alias("rank"), "item_id")
 
 
 def lookup_titles(meta: DataFrame, requests: DataFrame, col: str = "request") -> DataFrame:
@@ -470,12 +489,10 @@ def run_metadata(meta: DataFrame, ratings: DataFrame, min_ratings: int = CF_MIN_
 
 def _per_user_topk(users: DataFrame, lists: DataFrame, seen: DataFrame, k: int) -> DataFrame:
     """Each user's seed list minus the user's seen items, first k by list rank."""
-    j = (users.select("user_id", F.col("seed_item_id").alias("item_id"))
-         .join(lists.select("item_id", "similar_item_id", "rank"), "item_id")
-         .select("user_id", F.col("similar_item_id").alias("item_id"), "rank")
-         .join(seen, ["user_id", "item_id"], "left_anti"))
-    w = Window.partitionBy("user_id").orderBy("rank")
-    return j.withColumn("_pos", F.row_number().over(w)).where(F.col("_pos") <= k).select("user_id", "item_id")
+    cands = (users.select("user_id", F.col("seed_item_id").alias("item_id"))
+             .join(lists.select("item_id", "similar_item_id", "rank"), "item_id")
+             .select("user_id", "rank", F.col("similar_item_id").alias("item_id")))
+    return first_k_unexcluded(cands, seen, k).select("user_id", "item_id")
 
 
 def eval_topk(items: DataFrame, ratings: DataFrame, k: int = DEFAULT_TOP_N, liked: int = LIKED_RATING,
