@@ -378,7 +378,11 @@ SPLIT_CUTOFF = "1998-01-01"
 
 def temporal_split(ratings: DataFrame, cutoff: str = SPLIT_CUTOFF) -> tuple[DataFrame, DataFrame]:
     """Train = rated before ``cutoff``, test = on or after (the evaluation split)."""
-    ts = F.col("rated_at") < F.to_timestamp(F.lit(cutoff))
+    # a wall-clock cutoff: compared without any session time zone when the
+    # column is a local timestamp (TIMESTAMP_NTZ), as the test data's is
+    lit = F.to_timestamp_ntz(F.lit(cutoff))
+    col = F.col("rated_at")
+    ts = col < (lit if isinstance(ratings.schema["rated_at"].dataType, T.TimestampNTZType) else lit.cast("timestamp"))
     return ratings.where(ts), ratings.where(~ts)
 
 
