@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import itertools
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -97,9 +97,23 @@ def moments(df: DataFrame, cols: list[str]) -> DataFrame:
         unbiased_skew(F.col("value"), n).alias("skewness"), unbiased_kurt(F.col("value"), n).alias("kurtosis"))
 
 
-def quantiles(df: DataFrame, cols: list[str], probs: list[float]) -> DataFrame:
-    """(column_name, p, q): exact linear-interpolated quantiles."""
-    return exact_quantiles(long_numeric(df, cols), "value", probs, ["column_name"])
+def quantiles(df: DataFrame, cols: list[str], probs: list[float], method: str = "exact",
+              accuracy: int = 10000) -> DataFrame:
+    """(column_name, p, q): linear-interpolated quantiles.
+
+    ``method='exact'`` matches pandas / DuckDB ``quantile_cont``;
+    ``method='approx'`` is ``percentile_approx`` (a bounded sketch per column,
+    one pass, rank error about 1/accuracy) for when an estimate is enough.
+    """
+    long = long_numeric(df, cols)
+    if method == "exact":
+        return exact_quantiles(long, "value", probs, ["column_name"])
+    if method != "approx":
+        raise ValueError(f"unknown method {method!r}")
+    arr = F.arrays_zip(F.array(*[F.lit(float(p)) for p in probs]).alias("p"),
+                       F.percentile_approx("value", [float(p) for p in probs], accuracy).alias("q"))
+    return (long.where(~F.isnan("value")).groupBy("column_name").agg(arr.alias("_pq"))
+            .select("column_name", F.inline("_pq")))
 
 
 def iqr_outliers(df: DataFrame, cols: list[str], k: float = 1.5) -> DataFrame:

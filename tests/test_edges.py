@@ -69,3 +69,15 @@ def test_safe_ratio_and_bins_edges(spark):
                     X.right_closed_bins(F.col("h"), [-1, 5, 11, 17, 23], ["D", "M", "A", "E"]).alias("b")).collect()
     assert [r.r for r in out] == [0.0, 10.0, 0.0, 1.5]
     assert [r.b for r in out] == ["D", "D", "M", "E"]
+
+
+def test_resolve_path_and_approx_quantiles(spark, tmp_path):
+    import pytest
+    from tessera.sources.tables import resolve_path
+    existing = str(tmp_path)
+    assert resolve_path(spark, [existing + "/nope", existing]) == existing
+    with pytest.raises(FileNotFoundError):
+        resolve_path(spark, [existing + "/a", existing + "/b"])
+    df = spark.range(1000).select(F.col("id").cast("double").alias("x"))
+    q = {r.p: r.q for r in S.quantiles(df, ["x"], [0.5], method="approx").collect()}
+    assert abs(q[0.5] - 499.5) <= 2
