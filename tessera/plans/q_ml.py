@@ -266,8 +266,8 @@ def ml_logreg(spark, sf):
 
 
 # ---------------------------------------------------------------- evaluation of a fitted ranking
-@query("eval_roc_auc_model")
-def eval_roc_auc_model(spark, sf):
+@query("eval_roc_curve_model")
+def eval_roc_curve_model(spark, sf):
     """ROC curve of a fitted model's scores (E5 on M18 output)."""
     train, test = _fraud_split(spark, sf)
     model = M.fraud_pipeline(M.rf_classifier("isFraud", "weight")).fit(train)
