@@ -12,6 +12,7 @@ from tessera.operators import stats as S
 from tessera.operators.sampling import align_to_schema, first_per_class, min_positives_check, scenario_filter
 from tessera.plans.q_stats import TITLE_CTE, r6
 from tessera.plans.registry import query
+from tessera.session import cut_lineage
 from tessera.sources.fixtures import view
 
 TXN_KEYS = ["txn_order", "txn_line", "txn_part", "txn_supp"]
@@ -52,7 +53,8 @@ def _fraud_out(df):
 WITH {CLEAN_TXN_SQL}, {FRAUD_BASE_SQL.format(keys=TK, src='clean_txn')}
 SELECT {TK}, type, isFraud, {FRAUD_FEATURE_SQL} FROM base, th""")
 def feat_fraud_all(spark, sf):
-    t = FE.with_hour(Q.clean_txn(view(spark, sf, "txn")))
+    # fit and transform both read the cleaned table: clean (join + dedupe) once
+    t = cut_lineage(FE.with_hour(Q.clean_txn(view(spark, sf, "txn"))))
     model = FE.FraudFeatureEngineer().fit(t)
     return _fraud_out(model.transform(t))
 
