@@ -431,3 +431,23 @@ def eval_topk(spark, sf):
     e = R.eval_topk(view(spark, sf, "items"), clean, 10, min_ratings=EVAL_CF_MIN)
     return e.select("algorithm", "evaluated_users", F.round("precision_at_k", 6).alias("precision_at_k"),
                     F.round("recall_at_k", 6).alias("recall_at_k"))
+
+
+@query("run_metadata_json", f"""
+WITH {META_SQL}
+SELECT (SELECT count(DISTINCT user_id) FROM clean) AS n_users, (SELECT count(*) FROM meta) AS n_items,
+       (SELECT count(*) FROM clean) AS n_ratings,
+       (SELECT count(*) FROM meta WHERE rating_count >= 30) AS n_cf_items,
+       round(m, 6) AS m, round(c, 6) AS C FROM mc""")
+def run_metadata_json(spark, sf):
+    """Run metadata as a nested one-row document written as JSON and read back."""
+    from tessera.session import scratch_dir
+    from tessera.sources import files as FS
+    flat = R.run_metadata(_meta(spark, sf), _clean(spark, sf))
+    doc = flat.select(F.struct("n_users", "n_items", "n_ratings", "n_cf_items").alias("counts"),
+                      F.struct(F.lit(R.POPULARITY_QUANTILE).alias("quantile"), "m", "C").alias("popularity"),
+                      F.struct(F.lit(R.CF_MIN_RATINGS).alias("cf_min_ratings"),
+                               F.lit(R.DEFAULT_TOP_N).alias("top_n")).alias("parameters"))
+    path = FS.write_json(doc.coalesce(1), scratch_dir(spark, "run-metadata"))
+    back = spark.read.schema(doc.schema).json(path)
+    return back.select("counts.*", "popularity.m", "popularity.C")
