@@ -101,19 +101,29 @@ def running_totals(counts: DataFrame, value: str, sums: list[str], groups: list[
         *[F.col(f"{s}_total") for s in sums])
 
 
+def distinct_counts(df: DataFrame, value: str, groups: list[str] | None = None) -> DataFrame:
+    """(groups..., value, _cnt) for non-null, non-NaN values, materialised once.
+
+    Several statistics read this table (quantiles, moments, min / max), so the
+    source is scanned once instead of once per statistic.
+    """
+    groups = list(groups or [])
+    counts = (df.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
+                .groupBy(*groups, value).agg(F.count(F.lit(1)).alias("_cnt")))
+    return cut_lineage(counts)
+
+
 def exact_quantiles(df: DataFrame, value: str, probs: list[float], groups: list[str] | None = None,
-                    buckets: int | None = None) -> DataFrame:
+                    buckets: int | None = None, counts: DataFrame | None = None) -> DataFrame:
     """Linear-interpolated quantiles (pandas / ``quantile_cont`` definition).
 
     Returns ``groups..., p, q``.  Exact at any scale: no group's values are
-    gathered into one task or one aggregation buffer.
+    gathered into one task or one aggregation buffer beyond a checked size.
+    ``counts`` may be a :func:`distinct_counts` table built by the caller.
     """
     groups = list(groups or [])
-    counts = (df.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
-                .groupBy(*groups, value).agg(F.count(F.lit(1)).alias("_cnt")))
-    # The distinct-value table feeds four branches below; materialising it once
-    # means the source is scanned once instead of once per branch.
-    counts = cut_lineage(counts)
+    if counts is None:
+        counts = distinct_counts(df, value, groups)
     group_rows = largest_group(counts, groups)
     if group_rows <= SMALL_GROUP_ROWS and not buckets:
         # checked size: every group's distinct values fit one aggregation buffer
@@ -122,7 +132,7 @@ def exact_quantiles(df: DataFrame, value: str, probs: list[float], groups: list[
         return (counts.groupBy(*groups).agg(arr.alias("_pq"))
                 .select(*groups, F.inline("_pq")).select(*groups, "p", "q"))
     cum = running_totals(counts, value, ["_cnt"], groups, buckets)
-    spark = df.sparkSession
+    spark = counts.sparkSession
     ptab = spark.createDataFrame([(float(p),) for p in probs], "p double")
     totals = counts.groupBy(*groups).agg(F.sum("_cnt").alias("_cnt_total"))
     targets = (totals.crossJoin(F.broadcast(ptab))  # |probs| rows: proven small

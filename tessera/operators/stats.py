@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.operators.ordered import exact_quantiles, join_null_safe
+from tessera.operators.ordered import distinct_counts, exact_quantiles, join_null_safe
 
 
 def long_numeric(df: DataFrame, cols: list[str], ids: list[str] | None = None) -> DataFrame:
@@ -54,14 +54,22 @@ def value_counts(df: DataFrame, col: str) -> DataFrame:
 
 
 def describe_numeric(df: DataFrame, cols: list[str], groups: list[str] | None = None) -> DataFrame:
-    """count, mean, std (n-1), min, 25/50/75 % (exact, linear), max per column."""
+    """count, mean, std (n-1), min, 25/50/75 % (exact, linear), max per column.
+
+    Everything comes from one materialised (column, value, count) table, so
+    the source is scanned once; moments are weighted two-pass sums over the
+    distinct values.
+    """
     groups = list(groups or [])
-    long = long_numeric(df, cols, groups).where(F.col("value").isNotNull() & ~F.isnan("value"))
     keys = groups + ["column_name"]
-    base = long.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"), F.max("value").alias("max"))
-    q = exact_quantiles(long, "value", [0.25, 0.5, 0.75], keys)
+    counts = distinct_counts(long_numeric(df, cols, groups), "value", keys)
+    c = F.col("_cnt")
+    first = counts.groupBy(*keys).agg(F.sum(c).alias("count"), (F.sum(F.col("value") * c) / F.sum(c)).alias("mean"),
+                                      F.min("value").alias("min"), F.max("value").alias("max"))
+    dev = join_null_safe(counts, first.select(*keys, "mean", "count"), keys)
+    ss = dev.groupBy(*keys).agg(F.sum(c * (F.col("value") - F.col("mean")) * (F.col("value") - F.col("mean"))).alias("_ss"))
+    base = join_null_safe(first, ss, keys).withColumn("std", F.sqrt(F.try_divide(F.col("_ss"), F.col("count") - 1)))
+    q = exact_quantiles(None, "value", [0.25, 0.5, 0.75], keys, counts=counts)
     qw = q.groupBy(*keys).agg(*[F.max(F.when(F.col("p") == p, F.col("q"))).alias(n)
                                 for p, n in [(0.25, "q25"), (0.5, "q50"), (0.75, "q75")]])
     return join_null_safe(base, qw, keys, "left").select(*keys, "count", "mean", "std", "min", "q25", "q50", "q75", "max")
