@@ -81,3 +81,16 @@ def test_resolve_path_and_approx_quantiles(spark, tmp_path):
     df = spark.range(1000).select(F.col("id").cast("double").alias("x"))
     q = {r.p: r.q for r in S.quantiles(df, ["x"], [0.5], method="approx").collect()}
     assert abs(q[0.5] - 499.5) <= 2
+
+
+def test_seeded_sample_large_path_equals_limit(spark, monkeypatch):
+    from tessera.operators import sampling as SM
+    df = spark.range(3000).select(F.col("id"), (F.col("id") % 7).alias("g"))
+    small = {r.id for r in SM.smallest_by_hash(df, ["g"], 1234, 7).collect()}  # many hash ties
+    monkeypatch.setattr(SM, "SAMPLE_LIMIT_ROWS", 10)
+    large = SM.smallest_by_hash(df, ["g"], 1234, 7)
+    assert large.count() == 1234
+    ids = {r.id for r in SM.smallest_by_hash(df, ["id"], 1500, 3).collect()}
+    monkeypatch.setattr(SM, "SAMPLE_LIMIT_ROWS", 10 ** 9)
+    ids_small = {r.id for r in SM.smallest_by_hash(df, ["id"], 1500, 3).collect()}
+    assert ids == ids_small and len(small) == 1234
