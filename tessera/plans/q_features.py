@@ -10,6 +10,7 @@ from tessera.operators import quality as Q
 from tessera.operators import recommend as R
 from tessera.operators import stats as S
 from tessera.operators.sampling import align_to_schema, first_per_class, min_positives_check, scenario_filter
+from tessera.plans.q_recommend import META_SQL
 from tessera.plans.q_stats import TITLE_CTE, r6
 from tessera.plans.registry import query
 from tessera.session import cut_lineage
@@ -407,11 +408,10 @@ def check_min_positives(spark, sf):
     return min_positives_check(view(spark, sf, "txn"), "isFraud", 10)
 
 
-@query("search_catalog", """
-WITH __META__
+@query("search_catalog", f"""
+WITH {META_SQL}
 SELECT item_id, title, rating_count FROM meta WHERE contains(lower(clean_title), 'green')
-ORDER BY rating_count DESC, item_id LIMIT 20""".replace("__META__", __import__(
-    "tessera.plans.q_recommend", fromlist=["META_SQL"]).META_SQL))
+ORDER BY rating_count DESC, item_id LIMIT 20""")
 def search_catalog(spark, sf):
     meta = R.item_metadata(view(spark, sf, "items"), Q.clean_ratings(view(spark, sf, "ratings")))
     return R.search_catalogue(meta, "Green", 20).select("item_id", "title", "rating_count")
