@@ -410,11 +410,11 @@ def check_min_positives(spark, sf):
 
 @query("search_catalog", f"""
 WITH {META_SQL}
-SELECT item_id, title, rating_count FROM meta WHERE contains(lower(clean_title), 'green')
+SELECT item_id, title, rating_count FROM meta WHERE contains(lower(clean_title), 'gear')
 ORDER BY rating_count DESC, item_id LIMIT 20""")
 def search_catalog(spark, sf):
     meta = R.item_metadata(view(spark, sf, "items"), Q.clean_ratings(view(spark, sf, "ratings")))
-    return R.search_catalogue(meta, "Green", 20).select("item_id", "title", "rating_count")
+    return R.search_catalogue(meta, " Gear ", 20).select("item_id", "title", "rating_count")
 
 
 @query("clean_txn", f"""
