@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.operators.ordered import running_totals
+from tessera.session import cut_lineage
 
 
 def regression_metrics(df: DataFrame, actual: str, predicted: str) -> DataFrame:
@@ -89,8 +90,14 @@ def score_counts(df: DataFrame, label: str, score: str) -> DataFrame:
 
 
 def curve(df: DataFrame, label: str, score: str) -> DataFrame:
-    """Per distinct score s: tp, fp at threshold ``score >= s`` and totals."""
-    rt = running_totals(score_counts(df, label, score), "score", ["pos", "neg"])
+    """Per distinct score s: tp, fp at threshold ``score >= s`` and totals.
+
+    The distinct-score table is materialised once (the running totals read it
+    from several branches), and its size picks the one-window or the bucketed
+    plan.
+    """
+    counts = cut_lineage(score_counts(df, label, score))
+    rt = running_totals(counts, "score", ["pos", "neg"], group_rows=counts.count())
     return rt.select("score", "pos", "neg",
                      (F.col("pos_total") - F.col("pos_incl") + F.col("pos")).alias("tp"),
                      (F.col("neg_total") - F.col("neg_incl") + F.col("neg")).alias("fp"),
