@@ -259,24 +259,29 @@ def argmax_row(df: DataFrame, value: str, tie: str, cols: list[str]) -> DataFram
 def histogram(df: DataFrame, col: str, bins: int, groups: list[str] | None = None,
               log1p: bool = False) -> DataFrame:
     """Equal-width bins between min and max, last bin closed (A22).  All bins are
-    listed; empty bins have count 0."""
+    listed; empty bins have count 0.
+
+    The source is read once: rows collapse to distinct (groups, value) counts,
+    and the range, the binning and the group list all come from that table.
+    """
     groups = list(groups or [])
     x = F.log1p(F.col(col)) if log1p else F.col(col).cast("double")
-    d = df.select(*groups, x.alias("_x")).where(F.col("_x").isNotNull() & ~F.isnan("_x"))
-    rng = d.agg(F.min("_x").alias("lo"), F.max("_x").alias("hi"))
+    d = df.select(*groups, x.alias("_x"))
+    counts = distinct_counts(d, "_x", groups)
+    rng = counts.agg(F.min("_x").alias("lo"), F.max("_x").alias("hi"))
     width = (F.col("hi") - F.col("lo")) / bins
     idx = F.when(F.col("hi") == F.col("lo"), F.lit(0)).otherwise(
         F.least(F.floor((F.col("_x") - F.col("lo")) / width), F.lit(bins - 1))).cast("int")
-    counts = (d.crossJoin(F.broadcast(rng))  # one row
-              .groupBy(*groups, idx.alias("bin")).agg(F.count(F.lit(1)).alias("count")))
+    binned = (counts.crossJoin(F.broadcast(rng))  # one row
+              .groupBy(*groups, idx.alias("bin")).agg(F.sum("_cnt").alias("count")))
     grid = rng.select("lo", "hi", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
     if groups:
-        grid = d.select(*groups).distinct().crossJoin(F.broadcast(grid))  # groups x bins
-    out = join_null_safe(grid, counts, groups + ["bin"], "left")
+        grid = counts.select(*groups).distinct().crossJoin(F.broadcast(grid))  # groups x bins
+    out = join_null_safe(grid, binned, groups + ["bin"], "left")
     w = (F.col("hi") - F.col("lo")) / bins
     return out.select(*groups, "bin", (F.col("lo") + F.col("bin") * w).alias("bin_start"),
                       (F.col("lo") + (F.col("bin") + 1) * w).alias("bin_end"),
-                      F.coalesce("count", F.lit(0)).alias("count"))
+                      F.coalesce("count", F.lit(0)).cast("long").alias("count"))
 
 
 def boxplot(df: DataFrame, col: str, group: str, k: float = 1.5) -> DataFrame:
