@@ -479,6 +479,7 @@ def star_join_check(facts: DataFrame, items: DataFrame, users: DataFrame) -> Dat
 
 def run_metadata(meta: DataFrame, ratings: DataFrame, min_ratings: int = CF_MIN_RATINGS) -> DataFrame:
     """Counts and popularity parameters of a build, one row."""
+    meta = cut_lineage(meta)  # catalogue-sized; read by three aggregates
     mc = popularity_params(meta)
     counts = meta.agg(F.count(F.lit(1)).alias("n_items"),
                       F.count(F.when(F.col("rating_count") >= min_ratings, 1)).alias("n_cf_items"))
