@@ -239,8 +239,9 @@ SELECT q.item_id, CASE WHEN q.item_id NOT IN (SELECT p_partkey FROM part) THEN '
 FROM q""")
 def recommend_unknown(spark, sf):
     from tessera.sources.tables import table
-    meta = _meta(spark, sf)
-    recs = R.item_cf_topn(_clean(spark, sf), 10, R.CF_MIN_RATINGS)
+    clean = cut_lineage(_clean(spark, sf))  # read by the metadata and the CF lists
+    meta = R.item_metadata(view(spark, sf, "items"), clean)
+    recs = R.item_cf_topn(clean, 10, R.CF_MIN_RATINGS)
     q = table(spark, sf, "lineitem").select(F.col("l_partkey").alias("item_id"))
     return R.recommend_status(meta, recs, q)
 
