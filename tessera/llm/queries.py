@@ -3,15 +3,19 @@
 from __future__ import annotations
 
 from tessera.llm.decontaminate import op8_decontamination
+from tessera.llm.language_id import op6_language_id
 from tessera.llm.license_scan import license_sql, op1_license_scan
 from tessera.llm.mixing import op4_mixing
 from tessera.llm.near_dedup import op9_near_dedup
+from tessera.llm.secret_scan import op3_secret_scan
 from tessera.llm.sharding import op2_sharding
 
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op2_sharding": op2_sharding,
+    "op3_secret_scan": op3_secret_scan,
     "op4_mixing": op4_mixing,
+    "op6_language_id": op6_language_id,
     "op8_decontamination": op8_decontamination,
     "op9_near_dedup": op9_near_dedup,
 }
