@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tessera.llm.decontaminate import op8_decontamination
+from tessera.llm.html_extract import op5_html_extraction
 from tessera.llm.language_id import op6_language_id
 from tessera.llm.license_scan import license_sql, op1_license_scan
 from tessera.llm.mixing import op4_mixing
@@ -15,6 +16,7 @@ QUERIES = {
     "op2_sharding": op2_sharding,
     "op3_secret_scan": op3_secret_scan,
     "op4_mixing": op4_mixing,
+    "op5_html_extraction": op5_html_extraction,
     "op6_language_id": op6_language_id,
     "op8_decontamination": op8_decontamination,
     "op9_near_dedup": op9_near_dedup,
