@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tessera.llm.bm25 import op10_bm25_search
 from tessera.llm.decontaminate import op8_decontamination
 from tessera.llm.html_extract import op5_html_extraction
 from tessera.llm.language_id import op6_language_id
@@ -20,5 +21,6 @@ QUERIES = {
     "op6_language_id": op6_language_id,
     "op8_decontamination": op8_decontamination,
     "op9_near_dedup": op9_near_dedup,
+    "op10_bm25_search": op10_bm25_search,
 }
 ORACLE = {"op1_license_scan": license_sql()}
