@@ -7,6 +7,7 @@ from tessera.llm.decontaminate import op8_decontamination
 from tessera.llm.html_extract import op5_html_extraction
 from tessera.llm.language_id import op6_language_id
 from tessera.llm.license_scan import license_sql, op1_license_scan
+from tessera.llm.lm_score import op7_lm_scoring
 from tessera.llm.mixing import op4_mixing
 from tessera.llm.near_dedup import op9_near_dedup
 from tessera.llm.secret_scan import op3_secret_scan
@@ -19,6 +20,7 @@ QUERIES = {
     "op4_mixing": op4_mixing,
     "op5_html_extraction": op5_html_extraction,
     "op6_language_id": op6_language_id,
+    "op7_lm_scoring": op7_lm_scoring,
     "op8_decontamination": op8_decontamination,
     "op9_near_dedup": op9_near_dedup,
     "op10_bm25_search": op10_bm25_search,
