@@ -25,4 +25,13 @@ QUERIES = {
     "op9_near_dedup": op9_near_dedup,
     "op10_bm25_search": op10_bm25_search,
 }
+
+
+def pipeline(spark, sf_dir):
+    """The whole corpus pipeline (corpus_pipeline.py at the top of the repository)."""
+    import corpus_pipeline
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+QUERIES["pipeline"] = pipeline
 ORACLE = {"op1_license_scan": license_sql()}
