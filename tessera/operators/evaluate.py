@@ -97,7 +97,7 @@ def curve(df: DataFrame, label: str, score: str) -> DataFrame:
     plan.
     """
     counts = cut_lineage(score_counts(df, label, score))
-    rt = running_totals(counts, "score", ["pos", "neg"], group_rows=counts.count())
+    rt = running_totals(counts, "score", ["pos", "neg"])
     return rt.select("score", "pos", "neg",
                      (F.col("pos_total") - F.col("pos_incl") + F.col("pos")).alias("tp"),
                      (F.col("neg_total") - F.col("neg_incl") + F.col("neg")).alias("fp"),

@@ -1,18 +1,16 @@
 """Order-dependent aggregates without a single-task window.
 
-A window with no ``partitionBy`` moves every row into one task.  Running
-totals over a global order (ROC curves, average precision, exact quantiles)
-are instead computed in three distributed steps:
-
-1. collapse rows to distinct ``(group, value)`` counts (map-side combined);
-2. cut each group's value range into ``buckets`` ranges using approximate
-   quantile boundaries, sum each bucket (a tiny table) and prefix-sum the
-   bucket totals;
-3. prefix-sum inside each bucket with a window partitioned by
-   ``(group, bucket)`` and add the bucket offset.
-
-Every task sees about 1/buckets of a group's distinct values, so one hot
-group (a third of all rows) is still spread over ``buckets`` tasks.
+A window with no ``partitionBy`` moves every row into one task.  Running totals and ranks
+over an order (ROC curves, average precision, exact quantiles, popularity ranks) are
+instead computed in three distributed steps, one plan at every size:
+
+1. sort the rows into range partitions by ``(groups, value)`` and write them with the
+   number of their partition;
+2. sum every (group, partition) and prefix-sum those few sums;
+3. prefix-sum inside each (group, partition) and add the offset.
+
+Ranges follow the data, so a group with a third of all rows spreads over a third of the
+partitions, and no group is joined or gathered by its key.
 """
 
 from __future__ import annotations
@@ -23,11 +21,6 @@ from pyspark.sql import functions as F
 from tessera.session import cut_lineage
 
 
-def default_buckets(df: DataFrame) -> int:
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    return max(8, min(n, 512))
-
-
 def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
     """Equi-join on ``keys`` where null matches null (group keys may be null)."""
     if not keys:
@@ -38,69 +31,46 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str
     return left.join(r, cond, how).drop(*[f"_r_{k}" for k in keys])
 
 
-# A group with at most this many distinct values is small enough for one task
-# (a window, or one percentile buffer); the size is checked on the materialised
-# distinct-value counts before that plan is chosen.
-SMALL_GROUP_ROWS = 1_000_000
-
+def range_parts(df: DataFrame, *order) -> DataFrame:
+    """``df`` sorted into range partitions, written, with the partition's number as ``_part``."""
+    return cut_lineage(df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()))
 
-def _running_totals_small(counts: DataFrame, value: str, sums: list[str], groups: list[str]) -> DataFrame:
-    w = Window.partitionBy(*groups) if groups else Window.partitionBy()
-    wo = w.orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    return counts.select(*counts.columns, *[F.sum(s).over(wo).alias(f"{s}_incl") for s in sums],
-                         *[F.sum(s).over(w).alias(f"{s}_total") for s in sums])
 
-
-def largest_group(counts: DataFrame, groups: list[str]) -> int:
-    """Rows of the largest group of a (materialised) counts table: one scalar."""
-    if not groups:
-        return counts.count()
-    return counts.groupBy(*groups).count().agg(F.max("count")).first()[0] or 0
-
-
-def running_totals(counts: DataFrame, value: str, sums: list[str], groups: list[str] | None = None,
-                   buckets: int | None = None, group_rows: int | None = None) -> DataFrame:
+def running_totals(counts: DataFrame, value: str, sums: list[str], groups: list[str] | None = None) -> DataFrame:
     """Add ``<s>_incl`` (inclusive running sum in ascending ``value`` order) and
     ``<s>_total`` per group for each column in ``sums``.
 
     ``counts`` must have one row per ``(groups, value)``; ``value`` non-null.
-    When ``group_rows`` (the largest group's row count) is known and small, a
-    window per group does it in one stage; otherwise the bucketed plan runs.
     """
     groups = list(groups or [])
-    if group_rows is not None and group_rows <= SMALL_GROUP_ROWS and not buckets:
-        return _running_totals_small(counts, value, sums, groups)
-    b = buckets or default_buckets(counts)
-    probs = [i / b for i in range(1, b)]
-    bounds = counts.groupBy(*groups).agg(
-        F.percentile_approx(F.col(value).cast("double"), probs, 10000).alias("_bounds"))
-    if groups:
-        keyed = join_null_safe(counts, bounds, groups)
-    else:
-        keyed = counts.crossJoin(F.broadcast(bounds))  # one row: a proven size bound
-    keyed = keyed.withColumn(
-        "_bucket", F.size(F.filter("_bounds", lambda x: x < F.col(value).cast("double")))).drop("_bounds")
-    per_bucket = keyed.groupBy(*groups, "_bucket").agg(*[F.sum(s).alias(f"_bt_{s}") for s in sums])
-    wb = Window.partitionBy(*groups).orderBy("_bucket") if groups else Window.orderBy("_bucket")
-    wg = Window.partitionBy(*groups) if groups else Window.partitionBy()
-    # groups x buckets rows: small, so the un-partitioned window here is harmless
-    offsets = per_bucket.select(
-        *groups, "_bucket",
-        *[(F.sum(f"_bt_{s}").over(wb.rowsBetween(Window.unboundedPreceding, 0)) - F.col(f"_bt_{s}"))
-          .alias(f"_off_{s}") for s in sums],
-        *[F.sum(f"_bt_{s}").over(wg).alias(f"{s}_total") for s in sums])
-    wi = Window.partitionBy(*groups, "_bucket").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    inner = keyed.select("*", *[F.sum(s).over(wi).alias(f"_in_{s}") for s in sums])
-    if groups:
-        out = join_null_safe(inner, offsets, groups + ["_bucket"])
-    else:
-        out = inner.join(F.broadcast(offsets), ["_bucket"])  # at most `buckets` rows
-    return out.select(
-        *[c for c in counts.columns],
+    parts = range_parts(counts, *groups, value)
+    per_part = parts.groupBy(*groups, "_part").agg(*[F.sum(s).alias(f"_pt_{s}") for s in sums])
+    # one row per group and partition it touches: at most groups + partitions rows
+    wg = Window.partitionBy(*groups)
+    wp = wg.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = per_part.select(
+        *groups, "_part",
+        *[F.coalesce(F.sum(f"_pt_{s}").over(wp), F.lit(0)).alias(f"_off_{s}") for s in sums],
+        *[F.sum(f"_pt_{s}").over(wg).alias(f"{s}_total") for s in sums])
+    wi = Window.partitionBy(*groups, "_part").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    inner = parts.select("*", *[F.sum(s).over(wi).alias(f"_in_{s}") for s in sums])
+    return join_null_safe(inner, offsets, [*groups, "_part"]).select(
+        *counts.columns,
         *[(F.col(f"_off_{s}") + F.col(f"_in_{s}")).alias(f"{s}_incl") for s in sums],
         *[F.col(f"{s}_total") for s in sums])
 
 
+def global_rank(df: DataFrame, order: list, name: str = "rank") -> DataFrame:
+    """Add the 1-based position of every row in a global order (ties in any order)."""
+    parts = range_parts(df, *order)
+    sizes = parts.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    # one row per partition
+    before = F.sum("_n").over(Window.partitionBy().orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = sizes.select("_part", F.coalesce(before, F.lit(0)).alias("_off"))
+    inner = parts.withColumn("_in", F.row_number().over(Window.partitionBy("_part").orderBy(*order)))
+    return inner.join(offsets, "_part").select(*df.columns, (F.col("_off") + F.col("_in")).alias(name))
+
+
 def distinct_counts(df: DataFrame, value: str, groups: list[str] | None = None) -> DataFrame:
     """(groups..., value, _cnt) for non-null, non-NaN values, materialised once.
 
@@ -114,45 +84,28 @@ def distinct_counts(df: DataFrame, value: str, groups: list[str] | None = None)
 
 
 def exact_quantiles(df: DataFrame, value: str, probs: list[float], groups: list[str] | None = None,
-                    buckets: int | None = None, counts: DataFrame | None = None) -> DataFrame:
+                    counts: DataFrame | None = None) -> DataFrame:
     """Linear-interpolated quantiles (pandas / ``quantile_cont`` definition).
 
-    Returns ``groups..., p, q``.  Exact at any scale: no group's values are
-    gathered into one task or one aggregation buffer beyond a checked size.
-    ``counts`` may be a :func:`distinct_counts` table built by the caller.
+    Returns ``groups..., p, q``.  Exact at any scale: the two ranks around each position are
+    picked from the running counts by a map-side combined aggregate, so no group's values
+    are gathered.  ``counts`` may be a :func:`distinct_counts` table built by the caller.
     """
     groups = list(groups or [])
     if counts is None:
         counts = distinct_counts(df, value, groups)
-    group_rows = largest_group(counts, groups)
-    if group_rows <= SMALL_GROUP_ROWS and not buckets:
-        # checked size: every group's distinct values fit one aggregation buffer
-        pct = F.percentile(F.col(value).cast("double"), [float(p) for p in probs], F.col("_cnt"))
-        arr = F.arrays_zip(F.array(*[F.lit(float(p)) for p in probs]).alias("p"), pct.alias("q"))
-        return (counts.groupBy(*groups).agg(arr.alias("_pq"))
-                .select(*groups, F.inline("_pq")).select(*groups, "p", "q"))
-    cum = running_totals(counts, value, ["_cnt"], groups, buckets)
-    spark = counts.sparkSession
-    ptab = spark.createDataFrame([(float(p),) for p in probs], "p double")
-    totals = counts.groupBy(*groups).agg(F.sum("_cnt").alias("_cnt_total"))
-    targets = (totals.crossJoin(F.broadcast(ptab))  # |probs| rows: proven small
-               .withColumn("_pos", (F.col("_cnt_total") - 1) * F.col("p"))
-               .withColumn("_lo", F.floor("_pos")).withColumn("_hi", F.ceil("_pos")))
-    ranks = targets.select(*[F.col(g).alias(f"_g_{g}") for g in groups], "p", "_pos", F.explode(F.array(
-        F.struct(F.lit("lo").alias("_k"), F.col("_lo").alias("_r")),
-        F.struct(F.lit("hi").alias("_k"), F.col("_hi").alias("_r")))).alias("_t")).select(
-        *[f"_g_{g}" for g in groups], "p", "_pos", "_t._k", "_t._r")
-    cum = cum.select(*groups, F.col(value).cast("double").alias("_v"), "_cnt", "_cnt_incl")
-    cond = [F.col(g).eqNullSafe(F.col(f"_g_{g}")) for g in groups]
-    cond += [F.col("_cnt_incl") - F.col("_cnt") <= F.col("_r"), F.col("_r") < F.col("_cnt_incl")]
-    right = ranks if groups else F.broadcast(ranks)  # global: 2*|probs| rows
-    hit = cum.join(right, cond).select(*groups, "p", "_pos", "_k", "_v")
-    agg = hit.groupBy(*groups, "p").agg(
-        F.first("_pos").alias("_pos"),
-        F.max(F.when(F.col("_k") == "lo", F.col("_v"))).alias("_vlo"),
-        F.max(F.when(F.col("_k") == "hi", F.col("_v"))).alias("_vhi"))
-    frac = F.col("_pos") - F.floor("_pos")
-    return agg.select(*groups, "p", (F.col("_vlo") + frac * (F.col("_vhi") - F.col("_vlo"))).alias("q"))
+    cum = running_totals(counts, value, ["_cnt"], groups)
+    v, upto = F.col(value).cast("double"), F.col("_cnt_incl")
+    picks = []
+    for k, p in enumerate(probs):
+        pos = (F.col("_cnt_total") - 1) * F.lit(float(p))
+        for side, at in (("lo", F.floor(pos)), ("hi", F.ceil(pos))):
+            picks.append(F.max(F.when((upto - F.col("_cnt") <= at) & (at < upto), v)).alias(f"_{side}{k}"))
+        picks.append(F.max(pos - F.floor(pos)).alias(f"_f{k}"))
+    row = cum.groupBy(*groups).agg(*picks, F.count(F.lit(1)).alias("_rows")).where("_rows > 0")
+    out = F.array(*[F.struct(F.lit(float(p)).alias("p"), (F.col(f"_lo{k}") + F.col(f"_f{k}") * (F.col(f"_hi{k}") - F.col(f"_lo{k}"))).alias("q"))
+                    for k, p in enumerate(probs)])
+    return row.select(*groups, F.inline(out))
 
 
 def quantile_row(df: DataFrame, value: str, probs: list[float], names: list[str]) -> DataFrame:

@@ -69,10 +69,9 @@ def duplicate_members(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.join(dup_keys, keys, "left_semi")
 
 
-def clean_ratings(ratings: DataFrame) -> DataFrame:
-    """Drop repeated (user, item) ratings keeping the latest, then keep 1..5."""
-    dedup = keep_last(ratings, ["user_id", "item_id"],
-                      ["rated_at", "l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice", "rating"])
+def clean_ratings(ratings: DataFrame, order: list[str] | None = None) -> DataFrame:
+    """Drop repeated (user, item) ratings keeping the last by ``order`` (default: latest, then highest), then keep 1..5."""
+    dedup = keep_last(ratings, ["user_id", "item_id"], order or ["rated_at", "rating"])
     return dedup.where(F.col("rating").between(1, 5))
 
 

@@ -3,28 +3,21 @@ hybrid fallback, catalogue search, and offline precision / recall at K.
 
 R1-R11, J2-J9, W1, W2, W5, E10.
 
-Similarity top-N is computed by *dense block scoring*: the item catalogue is
-cut into blocks of at most ``block_size`` items; each pair of blocks is one
-``cogroup(...).applyInPandas`` task that scores every (query, candidate) cell
-with NumPy and keeps the best ``n`` per query row (ties: smaller id).  Partial
-lists are merged with a window over at most ``n * blocks`` rows per item.
-Because every cell is scored, zero-similarity candidates fill short lists
-exactly like the dense reference matrix, and no pair list per genre or per
-user is ever materialised.
+Similarity top-N needs no item x item matrix.  Content: items with equal genre sets
+form one class, classes meet through an inverted index on genres, and a class takes
+only the first few items of each neighbour.  Item CF: the pairs with a common user are the
+candidates.  Lists that stay short are filled with zero-similarity items in id order,
+as in a dense matrix, from the first ids of the catalogue.
 """
 
 from __future__ import annotations
 
-import math
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.functions.text import split_title_year_cols
-from tessera.operators.ordered import largest_group, quantile_row, running_totals
+from tessera.operators.ordered import global_rank, quantile_row
 from tessera.operators.quality import clean_ratings  # noqa: F401  (re-export)
 from tessera.session import cut_lineage
 
@@ -37,9 +30,10 @@ CATALOGUE_LIMIT_MAX = 200
 LIKED_RATING = 4
 CONTENT_MIN_RATINGS = 10
 POPULAR_MIN_RATINGS = 30
-# The reference uses 20 on MovieLens; the stand-in ratings (14-49 per item at
-# sf0.01) need 30 so that both branches of the hybrid are exercised.
-CF_MIN_RATINGS = 30
+CF_MIN_RATINGS = 20
+SCORE_DIGITS, BASIC_SCORE_DIGITS = 4, 3
+# Ranks handed out at a time when a user's candidates are expanded.
+RANK_CHUNK = 1024
 
 
 def check_limit(n: int, lo: int = 1, hi: int = CATALOGUE_LIMIT_MAX) -> int:
@@ -102,148 +96,55 @@ def with_rank(df: DataFrame, order: list, name: str = "rank") -> DataFrame:
 
 
 # --------------------------------------------------------------------------
-# Dense block top-N
+# Content similarity
 # --------------------------------------------------------------------------
 
-_TOPN_SCHEMA = T.StructType([
-    T.StructField("item_id", T.LongType()), T.StructField("similar_item_id", T.LongType()),
-    T.StructField("score", T.DoubleType())])
-
+def content_lists(items: DataFrame, need: DataFrame) -> DataFrame:
+    """Genre-cosine neighbours: item_id, similar_item_id, score, rank, self excluded.
 
-def _select_top_fixed(S: np.ndarray, n: int) -> np.ndarray:
-    """Boolean mask of each row's best ``n`` cells by (score desc, column asc).
-
-    Vectorised: the n-th largest value per row splits cells into strictly
-    greater (all taken) and ties (taken left to right, i.e. by smaller id,
-    since columns are sorted by id).  -inf cells are never taken.
-    """
-    m, k = S.shape
-    finite = np.isfinite(S)
-    if n >= k:
-        return finite
-    kth = -np.partition(-S, n - 1, axis=1)[:, n - 1]
-    gt = (S > kth[:, None]) & finite
-    need = n - gt.sum(axis=1)
-    eq = (S == kth[:, None]) & finite
-    return gt | (eq & (np.cumsum(eq, axis=1) <= need[:, None]))
-
-
-def _select_top(S: np.ndarray, n_per_row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(row, column) indices of each row's best ``n_per_row[r]`` cells."""
-    mask = np.zeros(S.shape, dtype=bool)
-    for n in np.unique(n_per_row):
-        rows = np.flatnonzero(n_per_row == n)
-        if n > 0:
-            mask[rows] = _select_top_fixed(S[rows], int(n))
-    return np.nonzero(mask)
-
-
-def _genre_matrix(lists: list, vocab: dict) -> np.ndarray:
-    M = np.zeros((len(lists), len(vocab)), dtype=np.float64)
-    for r, gl in enumerate(lists):
-        if gl is not None:
-            for g in gl:
-                M[r, vocab[g]] = 1.0
-    return M
-
-
-def _block_scorer(mode: str):
-    def fn(key, items_pdf: pd.DataFrame, pairs_pdf: pd.DataFrame) -> pd.DataFrame:
-        ba, bb = int(key[0]), int(key[1])
-        out = []
-        sides = [(ba, bb)] if ba == bb else [(ba, bb), (bb, ba)]
-        vocab = None
-        if mode == "content":
-            vocab = {}
-            for gl in items_pdf["genres"]:
-                if gl is not None:
-                    for g in gl:
-                        vocab.setdefault(g, len(vocab))
-        for qb, cb in sides:
-            q = items_pdf[(items_pdf["blk"] == qb) & items_pdf["is_query"]].sort_values("item_id")
-            c = items_pdf[(items_pdf["blk"] == cb) & items_pdf["is_candidate"]].sort_values("item_id")
-            if q.empty or c.empty:
-                continue
-            qid = q["item_id"].to_numpy()
-            cid = c["item_id"].to_numpy()
-            if mode == "content":
-                A = _genre_matrix(list(q["genres"]), vocab)
-                Bm = _genre_matrix(list(c["genres"]), vocab)
-                inter = A @ Bm.T
-                na = A.sum(axis=1)
-                nb = Bm.sum(axis=1)
-                denom = np.sqrt(np.outer(na, nb))
-                S = np.divide(inter, denom, out=np.zeros_like(inter), where=denom > 0)
-            else:
-                S = np.zeros((len(qid), len(cid)))
-                if not pairs_pdf.empty:
-                    # pairs arrive once per unordered pair; fill both orientations
-                    qpos = pd.Index(qid)
-                    cpos = pd.Index(cid)
-                    pi, pj = pairs_pdf["i"].to_numpy(), pairs_pdf["j"].to_numpy()
-                    sc = pairs_pdf["score"].to_numpy()
-                    for a, b in ((pi, pj), (pj, pi)):
-                        ri, ci = qpos.get_indexer(a), cpos.get_indexer(b)
-                        ok = (ri >= 0) & (ci >= 0)
-                        S[ri[ok], ci[ok]] = sc[ok]
-            same = qid[:, None] == cid[None, :]
-            S[same] = -np.inf
-            r, cc = _select_top(S, q["n"].to_numpy())
-            out.append(pd.DataFrame({"item_id": qid[r], "similar_item_id": cid[cc], "score": S[r, cc]}))
-        if not out:
-            return pd.DataFrame({"item_id": pd.Series(dtype="int64"),
-                                 "similar_item_id": pd.Series(dtype="int64"),
-                                 "score": pd.Series(dtype="float64")})
-        return pd.concat(out, ignore_index=True)
-    return fn
-
-
-def block_count(n_items: int, block_size: int) -> int:
-    return max(1, math.ceil(n_items / block_size))
-
-
-def dense_block_topn(universe: DataFrame, mode: str, pairs: DataFrame | None = None,
-                     block_size: int = 2048, n_items: int | None = None) -> DataFrame:
-    """Top-n candidates per query item over *all* candidates, zeros included.
-
-    ``universe``: item_id, is_query, is_candidate, n (per-query list length),
-    and ``genres`` (array) for ``mode='content'``.  ``pairs`` (i, j, score),
-    one row per unordered pair, gives the non-zero scores for ``mode='sparse'``.
-    Returns item_id, similar_item_id, score, rank.
+    ``items``: item_id, genres, is_candidate.  ``need``: item_id, n (its list length).
+    Ties go to the smaller id; zero scores fill a list up.
     """
-    universe = cut_lineage(universe)  # catalogue-sized; read by the count and the scoring
-    if n_items is None:
-        n_items = universe.count()  # one scalar to size the blocks
-    nb = block_count(n_items, block_size)
-    blk = F.pmod(F.xxhash64("item_id"), F.lit(nb)).cast("int")
-    cols = ["item_id", "is_query", "is_candidate", "n"] + (["genres"] if mode == "content" else [])
-    u = universe.select(*cols).withColumn("blk", blk)
-    # each item joins every block pair containing its block (nb copies)
-    others = F.sequence(F.lit(0), F.lit(nb - 1))
-    u = u.withColumn("_o", F.explode(others)).select(
-        *cols, "blk", F.least("blk", "_o").alias("ba"), F.greatest("blk", "_o").alias("bb"))
-    if pairs is None:
-        spark = universe.sparkSession
-        p = spark.createDataFrame([], "i long, j long, score double, ba int, bb int")
-    else:
-        bi = F.pmod(F.xxhash64(F.col("i")), F.lit(nb)).cast("int")
-        bj = F.pmod(F.xxhash64(F.col("j")), F.lit(nb)).cast("int")
-        p = pairs.select("i", "j", "score", F.least(bi, bj).alias("ba"), F.greatest(bi, bj).alias("bb"))
-    part = (u.groupBy("ba", "bb").cogroup(p.groupBy("ba", "bb"))
-            .applyInPandas(_block_scorer(mode), _TOPN_SCHEMA))
-    w = Window.partitionBy("item_id").orderBy(F.col("score").desc(), F.col("similar_item_id"))
-    ranked = part.withColumn("rank", F.row_number().over(w))
-    lengths = universe.where("is_query").select("item_id", "n")
-    return ranked.join(lengths, "item_id").where(F.col("rank") <= F.col("n")).drop("n")
-
-
-def content_topn(meta: DataFrame, n: int = DEFAULT_TOP_N, min_candidate_ratings: int = 0,
-                 block_size: int = 2048) -> DataFrame:
+    sets = F.array_sort(F.coalesce("genres", F.array().cast("array<string>")))
+    keyed = cut_lineage(items.select("item_id", sets.alias("gs"), "is_candidate").withColumn("gk", F.array_join("gs", "\x01")))
+    want = cut_lineage(need.join(keyed.select("item_id", "gk"), "item_id"))
+    need_class = want.groupBy("gk").agg((F.max("n") + 1).cast("long").alias("m"))  # one more for the item itself
+    most = need_class.agg(F.max("m")).first()[0] or 0
+    in_class = F.row_number().over(Window.partitionBy("gk").orderBy("item_id"))
+    members = cut_lineage(keyed.where("is_candidate").select("gk", "item_id", in_class.alias("pos")).where(F.col("pos") <= most))
+
+    flat = keyed.select("gk", "gs").distinct().select("gk", F.size("gs").alias("size"), F.explode("gs").alias("g"))
+    asking = flat.join(need_class, "gk").select(F.col("gk").alias("q"), "m", F.col("size").alias("nq"), "g")
+    offered = flat.join(members.select("gk").distinct(), "gk").select(F.col("gk").alias("c"), F.col("size").alias("nc"), "g")
+    scored = (asking.join(offered, "g").groupBy("q", "m", "nq", "c", "nc").agg(F.count(F.lit(1)).alias("k"))
+              .select("q", "m", "c", (F.col("k") / F.sqrt((F.col("nq") * F.col("nc")).cast("double"))).alias("score")))
+    rows = scored.join(members.select(F.col("gk").alias("c"), F.col("item_id").alias("similar_item_id"), "pos"), "c").where("pos <= m")
+    best = F.row_number().over(Window.partitionBy("q").orderBy(F.col("score").desc(), "similar_item_id"))
+    ranked = cut_lineage(rows.withColumn("rank", best).where((F.col("rank") <= most) & (F.col("rank") <= F.col("m")))
+                         .select("q", "similar_item_id", "score", "rank"))
+
+    # of the first m ids at most `found` have a score, so they hold the zeros that are missing
+    found = ranked.groupBy("q").agg(F.count(F.lit(1)).alias("found"))
+    short = (need_class.withColumnRenamed("gk", "q").join(found, "q", "left").fillna(0, ["found"]).where("found < m")
+             .select("q", "m", "found", F.explode(F.sequence(F.lit(1).cast("long"), "m")).alias("pos")))
+    by_id = global_rank(keyed.where("is_candidate").select(F.col("item_id").alias("similar_item_id")), [F.col("similar_item_id")], "pos")
+    zeros = short.join(by_id, "pos").join(ranked.select("q", "similar_item_id"), ["q", "similar_item_id"], "left_anti")
+    nth = F.row_number().over(Window.partitionBy("q").orderBy("similar_item_id"))
+    zeros = zeros.select("q", "similar_item_id", F.lit(0.0).alias("score"), (F.col("found") + nth).cast("int").alias("rank"), "m").where("rank <= m").drop("m")
+
+    lists = cut_lineage(ranked.unionByName(zeros)).withColumnRenamed("q", "gk")
+    own = (want.select("item_id", "gk").join(lists.select("gk", F.col("similar_item_id").alias("item_id"), F.col("rank").alias("own")), ["gk", "item_id"])
+           .select("item_id", "own"))
+    place = F.col("rank") - F.coalesce((F.col("own") < F.col("rank")).cast("int"), F.lit(0))
+    return (want.join(own, "item_id", "left").join(lists, "gk").where("similar_item_id <> item_id").withColumn("rank", place)
+            .where("rank <= n").select("item_id", "similar_item_id", "score", "rank"))
+
+
+def content_topn(meta: DataFrame, n: int = DEFAULT_TOP_N, min_candidate_ratings: int = 0) -> DataFrame:
     """Genre-cosine top-n for every item, self excluded (R2 / J8; R9 with a floor)."""
-    u = meta.select("item_id", "genres", F.lit(True).alias("is_query"),
-                    (F.col("rating_count") >= min_candidate_ratings).alias("is_candidate"),
-                    F.lit(n).alias("n"))
-    return dense_block_topn(u, "content", block_size=block_size)
+    check_limit(n, hi=TOP_N_MAX)
+    items = meta.select("item_id", "genres", (F.col("rating_count") >= min_candidate_ratings).alias("is_candidate"))
+    return content_lists(items, meta.select("item_id", F.lit(n).alias("n")))
 
 
 # --------------------------------------------------------------------------
@@ -267,18 +168,17 @@ def center_ratings(ratings: DataFrame) -> DataFrame:
 # A user with more eligible ratings than this has their co-rating pairs split
 # over several join keys (checked per user from the ratings themselves).
 CF_PAIRS_USER_LIMIT = 2000
-CF_MAX_SALT = 32
 
 
 def item_cf_similarity(ratings: DataFrame, min_ratings: int = CF_MIN_RATINGS,
-                       user_limit: int = CF_PAIRS_USER_LIMIT, max_salt: int = CF_MAX_SALT,
+                       user_limit: int = CF_PAIRS_USER_LIMIT,
                        elig: DataFrame | None = None) -> DataFrame:
     """Cosine similarity of user-centred rating vectors for co-rated eligible items,
     one row per pair with ``item_i < item_j`` (R3, J5, W5, J7).
 
     The co-rating self join is keyed by (user, item block a, item block b).  A
     user with d ratings gets s = ceil(d / user_limit) item blocks (1 for almost
-    everyone, at most ``max_salt``); each of their ratings is copied to the s
+    everyone); each of their ratings is copied to the s
     block pairs that contain its block, so a user holding a third of all
     ratings is split over s(s+1)/2 join keys while ordinary users are not
     copied at all.  Products are partially aggregated right after the join.
@@ -290,8 +190,7 @@ def item_cf_similarity(ratings: DataFrame, min_ratings: int = CF_MIN_RATINGS,
     # written once instead of re-deriving the cleaned ratings per branch
     c = cut_lineage(center_ratings(r).select("user_id", "item_id", "centered"))
     norms = c.groupBy("item_id").agg(F.sqrt(F.sum(F.col("centered") * F.col("centered"))).alias("norm"))
-    deg = c.groupBy("user_id").agg(F.least(F.ceil(F.count(F.lit(1)) / user_limit), F.lit(max_salt))
-                                   .cast("int").alias("salt"))
+    deg = c.groupBy("user_id").agg(F.ceil(F.count(F.lit(1)) / user_limit).cast("int").alias("salt"))
     cb = c.join(deg, "user_id").withColumn("blk", F.pmod(F.xxhash64("item_id"), F.col("salt")).cast("int"))
     left = cb.select("user_id", F.col("item_id").alias("a"), F.col("centered").alias("ca"),
                      F.col("blk").alias("ba"), F.explode(F.sequence("blk", F.col("salt") - 1)).alias("bb"))
@@ -306,15 +205,35 @@ def item_cf_similarity(ratings: DataFrame, min_ratings: int = CF_MIN_RATINGS,
     return dots.join(ni, "item_i").join(nj, "item_j").select("item_i", "item_j", sim.alias("similarity"))
 
 
-def item_cf_topn(ratings: DataFrame, n: int = DEFAULT_TOP_N, min_ratings: int = CF_MIN_RATINGS,
-                 block_size: int = 2048) -> DataFrame:
-    """Top-n CF neighbours of every eligible item over all eligible items; pairs
-    without a common user score 0 and rank above negative pairs (R4)."""
-    elig = eligible_items(ratings, min_ratings, materialise=True)  # read twice below
-    sims = item_cf_similarity(ratings, min_ratings, elig=elig)
-    pairs = sims.select(F.col("item_i").alias("i"), F.col("item_j").alias("j"), F.col("similarity").alias("score"))
-    u = elig.select("item_id", F.lit(True).alias("is_query"), F.lit(True).alias("is_candidate"), F.lit(n).alias("n"))
-    return dense_block_topn(u, "sparse", pairs=pairs, block_size=block_size)
+def cf_lists(elig: DataFrame, sims: DataFrame, need: DataFrame) -> DataFrame:
+    """CF neighbours over all eligible items: item_id, similar_item_id, score, rank.
+
+    ``need``: item_id, n (its list length).  Pairs without a common user score 0 and rank,
+    in id order, above negative pairs.  The work is linear in the pairs and the lists.
+    """
+    one = sims.where("similarity <> 0").select("item_i", "item_j", F.col("similarity").alias("score"))
+    both = cut_lineage(one.union(one.select("item_j", "item_i", "score")).toDF("item_id", "similar_item_id", "score").join(need, "item_id"))
+    most = need.agg(F.max("n")).first()[0] or 0
+    have = both.groupBy("item_id").agg(F.count(F.lit(1)).alias("pairs"), F.sum((F.col("score") > 0).cast("long")).alias("above"))
+    short = need.join(have, "item_id", "left").fillna(0, ["pairs", "above"]).where("above < n")
+    # of the first n + pairs + 1 ids at most `pairs` have a score and one is the item itself
+    tries = _chunked_ranks(short, "item_id", F.col("n") + F.col("pairs") + 1, ["n"])
+    by_id = global_rank(elig.select(F.col("item_id").alias("similar_item_id")), [F.col("similar_item_id")])
+    zeros = (tries.join(by_id, "rank").where("similar_item_id <> item_id")
+             .join(both.select("item_id", "similar_item_id"), ["item_id", "similar_item_id"], "left_anti")
+             .withColumn("nth", F.row_number().over(Window.partitionBy("item_id").orderBy("similar_item_id")))
+             .where((F.col("nth") <= most) & (F.col("nth") <= F.col("n"))).select("item_id", "similar_item_id", F.lit(0.0).alias("score"), "n"))
+    best = F.row_number().over(Window.partitionBy("item_id").orderBy(F.col("score").desc(), "similar_item_id"))
+    rows = both.select("item_id", "similar_item_id", "score", "n").unionByName(zeros).withColumn("rank", best)
+    return rows.where((F.col("rank") <= most) & (F.col("rank") <= F.col("n"))).drop("n")
+
+
+def item_cf_topn(ratings: DataFrame, n: int = DEFAULT_TOP_N, min_ratings: int = CF_MIN_RATINGS, elig: DataFrame | None = None) -> DataFrame:
+    """Top-n CF neighbours of every eligible item over all eligible items."""
+    check_limit(n, hi=TOP_N_MAX)
+    if elig is None:
+        elig = eligible_items(ratings, min_ratings, materialise=True)  # read twice below
+    return cf_lists(elig, item_cf_similarity(ratings, min_ratings, elig=elig), elig.select("item_id", F.lit(n).alias("n")))
 
 
 def common_genres(cand: str = "cand_genres", base: str = "base_genres") -> F.Column:
@@ -335,15 +254,15 @@ def recommendation_reason(algorithm: F.Column, shared: F.Column) -> F.Column:
 
 
 def recommend_hybrid(meta: DataFrame, ratings: DataFrame, n: int = DEFAULT_TOP_N,
-                     min_ratings: int = CF_MIN_RATINGS, block_size: int = 2048) -> DataFrame:
+                     min_ratings: int = CF_MIN_RATINGS, digits: int = SCORE_DIGITS) -> DataFrame:
     """For every catalogue item: CF neighbours if the item is CF-eligible, else
     content neighbours over the whole catalogue (R5, R7)."""
-    cf = item_cf_topn(ratings, n, min_ratings, block_size).withColumn("algorithm", F.lit("item_based_cf"))
+    check_limit(n, hi=TOP_N_MAX)
     elig = eligible_items(ratings, min_ratings, materialise=True)
-    u = (meta.join(elig.withColumn("_e", F.lit(True)), "item_id", "left")
-         .select("item_id", "genres", F.col("_e").isNull().alias("is_query"),
-                 F.lit(True).alias("is_candidate"), F.lit(n).alias("n")))
-    content = dense_block_topn(u, "content", block_size=block_size).withColumn("algorithm", F.lit("content_based"))
+    cf = item_cf_topn(ratings, n, min_ratings, elig).withColumn("algorithm", F.lit("item_based_cf"))
+    rest = meta.select("item_id", F.lit(n).alias("n")).join(elig, "item_id", "left_anti")
+    items = meta.select("item_id", "genres", F.lit(True).alias("is_candidate"))
+    content = content_lists(items, rest).withColumn("algorithm", F.lit("content_based"))
     recs = cf.unionByName(content)
     base = meta.select("item_id", F.col("genres").alias("base_genres"))
     cand = meta.select(F.col("item_id").alias("similar_item_id"), F.col("title").alias("similar_title"),
@@ -352,7 +271,7 @@ def recommend_hybrid(meta: DataFrame, ratings: DataFrame, n: int = DEFAULT_TOP_N
     shared = common_genres()
     return (recs.join(base, "item_id").join(cand, "similar_item_id")
             .select("item_id", "algorithm", "rank", "similar_item_id", "similar_title", "release_year",
-                    F.round("score", 4).alias("similarity_score"),
+                    F.col("cand_genres").alias("genres"), F.round("score", digits).alias("similarity_score"),
                     F.round("rating_mean", 2).alias("average_rating"), "rating_count",
                     shared.alias("common_genres"),
                     recommendation_reason(F.col("algorithm"), shared).alias("recommendation_reason")))
@@ -373,10 +292,15 @@ def search_catalogue(meta: DataFrame, query: str | None, limit: int = CATALOGUE_
 # Per-user selections
 # --------------------------------------------------------------------------
 
-SPLIT_CUTOFF = "1998-01-01"
+def _chunked_ranks(df: DataFrame, key: str, upto, keep: list[str]) -> DataFrame:
+    """(key, keep..., rank) for rank = 1..upto, expanded ``RANK_CHUNK`` ranks at a time so no row holds a long array."""
+    chunks = df.select(key, *keep, upto.cast("long").alias("_upto")).where("_upto > 0").withColumn(
+        "_c", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_upto") - 1) / RANK_CHUNK))))
+    first = F.col("_c") * RANK_CHUNK + 1
+    return chunks.select(key, *keep, F.explode(F.sequence(first, F.least(F.col("_upto"), first + RANK_CHUNK - 1))).alias("rank"))
 
 
-def temporal_split(ratings: DataFrame, cutoff: str = SPLIT_CUTOFF) -> tuple[DataFrame, DataFrame]:
+def temporal_split(ratings: DataFrame, cutoff: str) -> tuple[DataFrame, DataFrame]:
     """Train = rated before ``cutoff``, test = on or after (the evaluation split)."""
     # a wall-clock cutoff: compared without any session time zone when the
     # column is a local timestamp (TIMESTAMP_NTZ), as the test data's is
@@ -397,52 +321,33 @@ def seed_per_user(ratings: DataFrame, liked: int = LIKED_RATING) -> DataFrame:
         "user_id", F.col("_s.item_id").alias("seed_item_id"), F.col("_s.rating").alias("seed_rating"))
 
 
-def ranked_popular(scored: DataFrame, m: int) -> DataFrame:
-    """The first ``m`` items by popularity (score desc, id asc) with their rank.
-
-    ``orderBy().limit(m)`` is a per-partition top-m plus one merge; the rank is
-    a window over those m rows only.
-    """
-    top = top_k(scored, m, [F.col("popularity_score").desc(), F.col("item_id")])
-    return with_rank(top, [F.col("popularity_score").desc(), F.col("item_id")])
-
-
 def popular_unseen(scored: DataFrame, ratings: DataFrame, users: DataFrame, k: int = DEFAULT_TOP_N) -> DataFrame:
     """For every user, the k most popular items the user has not rated.
 
-    The answer lies within the first k + seen(u) items of the popularity list,
-    so each user expands only that many ranks (linear in the ratings), joins
-    them to the ranked list on rank, drops seen items and keeps k.
+    The answer lies within the first k + seen(u) items of the popularity list, so each
+    user expands only that many ranks (linear in the ratings).  All users need the head of
+    the list: its ``RANK_CHUNK`` rows are broadcast.  The few ranks beyond it are joined.
     """
     seen = ratings.select("user_id", "item_id").distinct()
     deg = seen.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_seen"))
     u = users.select("user_id").distinct().join(deg, "user_id", "left").fillna(0, ["n_seen"])
-    m = u.agg(F.max("n_seen")).first()[0] or 0  # one scalar: length of the list to rank
-    pop = ranked_popular(scored, int(m) + k).select("rank", "item_id", "popularity_score")
-    cand = u.select("user_id", F.explode(F.sequence(F.lit(1), F.col("n_seen") + k)).alias("rank"))
-    picked = first_k_unexcluded(cand.join(pop.select("rank", "item_id"), "rank"), seen, k)
-    return picked.join(pop.select("item_id", "popularity_score"), "item_id").select(
-        "user_id", "rank", "item_id", "popularity_score")
+    pop = cut_lineage(global_rank(scored.select("item_id", "popularity_score"), [F.col("popularity_score").desc(), F.col("item_id")]))
+    ranks = _chunked_ranks(u, "user_id", F.col("n_seen") + k, [])
+    head = ranks.where(F.col("rank") <= RANK_CHUNK).join(F.broadcast(pop.where(F.col("rank") <= RANK_CHUNK)), "rank")
+    tail = ranks.where(F.col("rank") > RANK_CHUNK).join(pop.where(F.col("rank") > RANK_CHUNK), "rank")
+    cands = head.unionByName(tail)
+    return first_k_unexcluded(cands, seen, k).select("user_id", "rank", "item_id", "popularity_score")
 
 
 def first_k_unexcluded(cands: DataFrame, excluded: DataFrame, k: int) -> DataFrame:
-    """Per user, the first ``k`` candidates by ``rank`` whose item is not excluded.
-
-    ``cands``: (user_id, rank, item_id), one row per (user, rank).  A candidate
-    at rank r is kept when it is not excluded and r minus the excluded count up
-    to r is at most k.  That count is a per-user running total computed by
-    :func:`running_totals`, which falls back to bucketed ranks when a user's
-    candidate list is too long for one task, so a user with a huge history
-    is not ranked in a single window.
+    """Per user, the first ``k`` candidates by ``rank`` whose item is not excluded, ranked anew.
+
+    ``cands``: (user_id, rank, item_id, ...).  The limit on the window's rank is applied in
+    every task before the shuffle, so a user with a huge history sends k rows from each.
     """
-    flagged = (cands.join(excluded.select("user_id", "item_id").distinct().withColumn("_x", F.lit(1)),
-                          ["user_id", "item_id"], "left")
-               .select("user_id", "rank", "item_id", F.coalesce("_x", F.lit(0)).alias("_x")))
-    flagged = cut_lineage(flagged)  # read by the size check and the running totals
-    cum = running_totals(flagged, "rank", ["_x"], ["user_id"],
-                         group_rows=largest_group(flagged, ["user_id"]))
-    pos = F.col("rank") - F.col("_x_incl")
-    return cum.where((F.col("_x") == 0) & (pos <= k)).select("user_id", pos.alias("rank"), "item_id")
+    left = cands.join(excluded.select("user_id", "item_id").distinct(), ["user_id", "item_id"], "left_anti")
+    nth = F.row_number().over(Window.partitionBy("user_id").orderBy("rank"))
+    return left.withColumn("_nth", nth).where(F.col("_nth") <= k).drop("rank").withColumnRenamed("_nth", "rank")
 
 
 def lookup_titles(meta: DataFrame, requests: DataFrame, col: str = "request") -> DataFrame:
@@ -493,22 +398,25 @@ def run_metadata(meta: DataFrame, ratings: DataFrame, min_ratings: int = CF_MIN_
 # --------------------------------------------------------------------------
 
 def _per_user_topk(users: DataFrame, lists: DataFrame, seen: DataFrame, k: int) -> DataFrame:
-    """Each user's seed list minus the user's seen items, first k by list rank."""
-    cands = (users.select("user_id", F.col("seed_item_id").alias("item_id"))
-             .join(lists.select("item_id", "similar_item_id", "rank"), "item_id")
+    """Each user's seed list minus the user's seen items, first k by list rank.
+
+    A user takes only as much of the list as their own history can exclude.
+    """
+    cands = (users.select("user_id", F.col("seed_item_id").alias("item_id"), "n_seen").join(lists, "item_id")
+             .where(F.col("rank") <= F.col("n_seen") + k)
              .select("user_id", "rank", F.col("similar_item_id").alias("item_id")))
     return first_k_unexcluded(cands, seen, k).select("user_id", "item_id")
 
 
 def eval_topk(items: DataFrame, ratings: DataFrame, k: int = DEFAULT_TOP_N, liked: int = LIKED_RATING,
-              min_ratings: int = CF_MIN_RATINGS, cutoff: str = SPLIT_CUTOFF, block_size: int = 2048) -> DataFrame:
+              min_ratings: int = CF_MIN_RATINGS, *, cutoff: str) -> DataFrame:
     """Precision@k and recall@k of popularity, content and item-CF recommenders.
 
     Train / test is a temporal split.  Each evaluated user (a liked training
     item to seed from and at least one liked test item) gets k items that are
     not in the training ratings: popularity from the training split, or the
     neighbours of the seed.  Every seed's list is long enough to survive the
-    removal of its users' seen items (k + the largest seen count among them).
+    removal of its users' seen items, and a user reads only as much of it as needed.
     CF scores only users whose seed is CF-eligible on the training split.
     """
     train, test = temporal_split(ratings, cutoff)
@@ -517,25 +425,19 @@ def eval_topk(items: DataFrame, ratings: DataFrame, k: int = DEFAULT_TOP_N, like
     n_rel = rel.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_rel"))
     seen = train.select("user_id", "item_id").distinct()
     n_seen = seen.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_seen"))
-    users = seeds.join(n_rel, "user_id").join(n_seen, "user_id")
+    users = cut_lineage(seeds.join(n_rel, "user_id").join(n_seen, "user_id"))  # read by every branch
 
     meta = item_metadata(items, train)
     pop = popular_unseen(bayes_popularity(meta), train, users, k).select("user_id", "item_id")
 
     need = users.groupBy(F.col("seed_item_id").alias("item_id")).agg((F.max("n_seen") + k).alias("n"))
-    u = (meta.select("item_id", "genres").join(need, "item_id", "left")
-         .select("item_id", "genres", F.col("n").isNotNull().alias("is_query"), F.lit(True).alias("is_candidate"),
-                 F.coalesce("n", F.lit(0)).alias("n")))
-    content = _per_user_topk(users, dense_block_topn(u, "content", block_size=block_size), seen, k)
+    everything = meta.select("item_id", "genres", F.lit(True).alias("is_candidate"))
+    content = _per_user_topk(users, content_lists(everything, need), seen, k)
 
     elig = eligible_items(train, min_ratings, materialise=True)
     sims = item_cf_similarity(train, min_ratings, elig=elig)
-    pairs = sims.select(F.col("item_i").alias("i"), F.col("item_j").alias("j"), F.col("similarity").alias("score"))
-    ue = (elig.join(need, "item_id", "left")
-          .select("item_id", F.col("n").isNotNull().alias("is_query"), F.lit(True).alias("is_candidate"),
-                  F.coalesce("n", F.lit(0)).alias("n")))
     cf_users = users.join(elig.select(F.col("item_id").alias("seed_item_id")), "seed_item_id", "left_semi")
-    cf = _per_user_topk(cf_users, dense_block_topn(ue, "sparse", pairs=pairs, block_size=block_size), seen, k)
+    cf = _per_user_topk(cf_users, cf_lists(elig, sims, need.join(elig, "item_id", "left_semi")), seen, k)
 
     recs = (pop.withColumn("algorithm", F.lit("popularity"))
             .unionByName(content.withColumn("algorithm", F.lit("content_based")))

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.operators.ordered import largest_group, running_totals
+from tessera.operators.ordered import running_totals
 from tessera.session import cut_lineage
 
 
@@ -105,7 +105,7 @@ def stratified_split(df: DataFrame, label: str, key_cols: list[str], test_fracti
     h = df.withColumn("_h", hash_key(key_cols, seed))
     # read by several branches of the running totals: materialise once
     counts = cut_lineage(h.groupBy(label, "_h").agg(F.count(F.lit(1)).alias("_c")))
-    cum = running_totals(counts, "_h", ["_c"], [label], group_rows=largest_group(counts, [label]))
+    cum = running_totals(counts, "_h", ["_c"], [label])
     # rows sharing a hash (duplicate keys) are ordered by the key columns
     w = Window.partitionBy(label, "_h").orderBy(*key_cols)
     h = h.withColumn("_tie", F.row_number().over(w))
@@ -115,32 +115,24 @@ def stratified_split(df: DataFrame, label: str, key_cols: list[str], test_fracti
         "_h", "_c", "_c_incl", "_c_total", "_tie")
 
 
-# Up to this many rows, a seeded sample is an ordered limit (per-partition top-n
-# plus one merge of n rows per partition); larger samples use a hash cut-off.
-SAMPLE_LIMIT_ROWS = 100_000
-
-
 def smallest_by_hash(df: DataFrame, key_cols: list[str], n: int, seed: int = 42) -> DataFrame:
     """The ``n`` rows with the smallest seeded hash (ties by key): a seeded sample
     without replacement, exact for any n.
 
-    Small n: ``orderBy().limit()``.  Large n: the n-th smallest hash is found
-    from distributed running counts of distinct hashes, then rows below it are
-    kept by a filter, plus the first rows of the boundary hash.
+    The n-th smallest hash is found from distributed running counts of distinct
+    hashes; rows below it are kept by a filter, plus the first rows of the boundary hash.
     """
     h = df.withColumn("_h", hash_key(key_cols, seed))
-    if n <= SAMPLE_LIMIT_ROWS:
-        return h.orderBy("_h", *key_cols).limit(n).drop("_h")
     counts = cut_lineage(h.groupBy("_h").agg(F.count(F.lit(1)).alias("_c")))
-    cum = running_totals(counts, "_h", ["_c"], group_rows=counts.count())
+    cum = running_totals(counts, "_h", ["_c"])
     cut = cum.where(F.col("_c_incl") >= n).agg(F.min_by(F.struct("_h", (F.lit(n) - F.col("_c_incl") + F.col("_c"))
-                                                                 .alias("_take")), F.col("_h")).alias("_b"))
-    cut = F.broadcast(cut.select("_b._h", "_b._take").withColumnRenamed("_h", "_cut"))  # one row
-    below = h.crossJoin(cut).where(F.col("_h") < F.col("_cut")).drop("_h", "_cut", "_take")
-    edge = h.crossJoin(cut).where(F.col("_h") == F.col("_cut"))
+                                                                 .alias("_take")), F.col("_h")).alias("_b")).first()["_b"]
+    if cut is None:  # fewer than n rows
+        return df
+    below = h.where(F.col("_h") < F.lit(cut["_h"])).drop("_h")
     w = Window.partitionBy("_h").orderBy(*key_cols)  # only rows sharing the boundary hash
-    edge = edge.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= F.col("_take")).drop(
-        "_h", "_cut", "_take", "_r")
+    edge = (h.where(F.col("_h") == F.lit(cut["_h"])).withColumn("_r", F.row_number().over(w))
+            .where(F.col("_r") <= F.lit(cut["_take"])).drop("_h", "_r"))
     return below.unionByName(edge)
 
 

@@ -14,7 +14,7 @@ from tessera.plans.q_recommend import META_SQL
 from tessera.plans.q_stats import TITLE_CTE, r6
 from tessera.plans.registry import query
 from tessera.session import cut_lineage
-from tessera.sources.fixtures import view
+from tessera.sources.fixtures import RATING_ORDER, view
 
 TXN_KEYS = ["txn_order", "txn_line", "txn_part", "txn_supp"]
 TK = ", ".join(TXN_KEYS)
@@ -413,7 +413,7 @@ WITH {META_SQL}
 SELECT item_id, title, rating_count FROM meta WHERE contains(lower(clean_title), 'gear')
 ORDER BY rating_count DESC, item_id LIMIT 20""")
 def search_catalog(spark, sf):
-    meta = R.item_metadata(view(spark, sf, "items"), Q.clean_ratings(view(spark, sf, "ratings")))
+    meta = R.item_metadata(view(spark, sf, "items"), Q.clean_ratings(view(spark, sf, "ratings"), RATING_ORDER))
     return R.search_catalogue(meta, " Gear ", 20).select("item_id", "title", "rating_count")
 
 

@@ -8,7 +8,12 @@ from tessera.operators import recommend as R
 from tessera.operators.quality import clean_ratings
 from tessera.plans.registry import query
 from tessera.session import cut_lineage
-from tessera.sources.fixtures import view
+from tessera.sources.fixtures import RATING_ORDER, view
+
+# The stand-in ratings (14-49 per item at sf0.01) need a floor of 30, above the library's 20, so
+# that both branches of the hybrid occur; train and test are split in time.
+HYBRID_MIN = 30
+SPLIT_CUTOFF = "1998-01-01"
 
 # DuckDB text shared by several oracles: the cleaned ratings (keep the latest
 # rating per (user, item), ratings 1..5) and the item metadata.
@@ -40,7 +45,7 @@ scored AS (
 
 
 def _meta(spark, sf):
-    return R.item_metadata(view(spark, sf, "items"), clean_ratings(view(spark, sf, "ratings")))
+    return R.item_metadata(view(spark, sf, "items"), clean_ratings(view(spark, sf, "ratings"), RATING_ORDER))
 
 
 def popularity_bayes(spark, sf):
@@ -99,7 +104,7 @@ def _topn_out(df):
 
 
 def _clean(spark, sf):
-    return clean_ratings(view(spark, sf, "ratings"))
+    return clean_ratings(view(spark, sf, "ratings"), RATING_ORDER)
 
 
 # ---------------------------------------------------------------- R1-R11
@@ -129,14 +134,14 @@ def content_similar_min_count(spark, sf):
 WITH {CF_SQL}
 SELECT item_i, item_j, round(similarity, 6) AS similarity FROM sim""")
 def item_cf_similarity(spark, sf):
-    s = R.item_cf_similarity(_clean(spark, sf), R.CF_MIN_RATINGS)
+    s = R.item_cf_similarity(_clean(spark, sf), HYBRID_MIN)
     return s.select("item_i", "item_j", F.round("similarity", 6).alias("similarity"))
 
 
 @query("item_cf_topn", f"WITH {CF_SQL}\n{_topn_sql('cfdense')}")
 def item_cf_topn(spark, sf):
     clean = cut_lineage(_clean(spark, sf))  # read by eligibility and by the centred ratings
-    return _topn_out(R.item_cf_topn(clean, 10, R.CF_MIN_RATINGS))
+    return _topn_out(R.item_cf_topn(clean, 10, HYBRID_MIN))
 
 
 HYBRID_SQL = f"""WITH {META_SQL}, {GENRES_SQL}, {CF_SQL.replace(CLEAN_SQL + ',', '')},
@@ -148,10 +153,10 @@ recs AS (
     SELECT i, j, score, row_number() OVER (PARTITION BY i ORDER BY score DESC, j) AS rnk FROM csim
     WHERE i NOT IN (SELECT item_id FROM elig)) t WHERE rnk <= 10),
 shared AS (
-  SELECT recs.*, list_filter(cg.genres, lambda g: list_contains(bg.genres, g)) AS common
+  SELECT recs.*, cg.genres AS cgen, list_filter(cg.genres, lambda g: list_contains(bg.genres, g)) AS common
   FROM recs JOIN ig bg ON bg.item_id = recs.i JOIN ig cg ON cg.item_id = recs.j)
 SELECT shared.i AS item_id, algorithm, CAST(rnk AS INT) AS rank, j AS similar_item_id, m.title AS similar_title,
-       m.release_year, round(score, 4) AS similarity_score, round(m.rating_mean, 2) AS average_rating, m.rating_count,
+       m.release_year, cgen AS genres, round(score, 4) AS similarity_score, round(m.rating_mean, 2) AS average_rating, m.rating_count,
        common AS common_genres,
        CASE WHEN algorithm = 'item_based_cf' THEN
               CASE WHEN len(common) > 0 THEN 'Users who liked this item also rated these highly (shared genres: '
@@ -166,7 +171,24 @@ FROM shared JOIN meta m ON m.item_id = shared.j"""
 def recommend_hybrid(spark, sf):
     clean = cut_lineage(_clean(spark, sf))  # read by metadata, eligibility and CF
     meta = R.item_metadata(view(spark, sf, "items"), clean)
-    return R.recommend_hybrid(meta, clean, 10, R.CF_MIN_RATINGS)
+    return R.recommend_hybrid(meta, clean, 10, HYBRID_MIN)
+
+
+@query("recommend_basic", HYBRID_SQL.replace("round(score, 4)", "round(score, 3)"))
+def recommend_basic(spark, sf):
+    """The basic service's row: scores with three digits."""
+    clean = cut_lineage(_clean(spark, sf))
+    return R.recommend_hybrid(R.item_metadata(view(spark, sf, "items"), clean), clean, 10, HYBRID_MIN, R.BASIC_SCORE_DIGITS)
+
+
+@query("catalog_popular", f"""
+WITH {META_SQL}
+SELECT item_id, title, rating_count, round(popularity_score, 6) AS popularity_score FROM scored
+ORDER BY popularity_score DESC, item_id LIMIT 20""")
+def catalog_popular(spark, sf):
+    """The catalogue list without a search: most popular first."""
+    top = R.search_catalogue(R.bayes_popularity(_meta(spark, sf)), None)
+    return top.select("item_id", "title", "rating_count", F.round("popularity_score", 6).alias("popularity_score"))
 
 
 @query("common_genres", f"""
@@ -231,19 +253,19 @@ def popular_unseen(spark, sf):
     return out.select("user_id", F.col("rank").cast("int"), "item_id", F.round("popularity_score", 6).alias("popularity_score"))
 
 
-@query("recommend_unknown", f"""
-WITH {CF_SQL},
-q AS (SELECT DISTINCT l_partkey AS item_id FROM lineitem)
+@query("recommend_unknown", """
+WITH q AS (SELECT l_partkey AS item_id FROM lineitem UNION SELECT l_orderkey FROM lineitem)
 SELECT q.item_id, CASE WHEN q.item_id NOT IN (SELECT p_partkey FROM part) THEN 'unknown'
-                       WHEN q.item_id NOT IN (SELECT item_id FROM elig) THEN 'no_result' ELSE 'ok' END AS status
+                       WHEN (SELECT count(*) FROM part) < 2 THEN 'no_result' ELSE 'ok' END AS status
 FROM q""")
 def recommend_unknown(spark, sf):
+    """Status of requests by the hybrid's lists: items below the CF floor fall back to content; order keys serve as foreign ids."""
     from tessera.sources.tables import table
     clean = cut_lineage(_clean(spark, sf))  # read by the metadata and the CF lists
     meta = R.item_metadata(view(spark, sf, "items"), clean)
-    recs = R.item_cf_topn(clean, 10, R.CF_MIN_RATINGS)
-    q = table(spark, sf, "lineitem").select(F.col("l_partkey").alias("item_id"))
-    return R.recommend_status(meta, recs, q)
+    li = table(spark, sf, "lineitem")
+    q = li.select(F.col("l_partkey").alias("item_id")).union(li.select("l_orderkey"))
+    return R.recommend_status(meta, R.recommend_hybrid(meta, clean, 10, HYBRID_MIN), q)
 
 
 @query("lookup_title", f"""
@@ -300,11 +322,11 @@ def semi_eligible(spark, sf):
 @query("anti_seen", f"""
 WITH {CLEAN_SQL}
 SELECT user_id, item_id, rating FROM clean t
-WHERE rated_at >= TIMESTAMP '{R.SPLIT_CUTOFF}'
-  AND NOT EXISTS (SELECT 1 FROM clean s WHERE s.rated_at < TIMESTAMP '{R.SPLIT_CUTOFF}'
+WHERE rated_at >= TIMESTAMP '{SPLIT_CUTOFF}'
+  AND NOT EXISTS (SELECT 1 FROM clean s WHERE s.rated_at < TIMESTAMP '{SPLIT_CUTOFF}'
                   AND s.user_id = t.user_id AND s.item_id = t.item_id)""")
 def anti_seen(spark, sf):
-    train, test = R.temporal_split(_clean(spark, sf))
+    train, test = R.temporal_split(_clean(spark, sf), SPLIT_CUTOFF)
     return test.select("user_id", "item_id", "rating").join(train.select("user_id", "item_id"),
                                                             ["user_id", "item_id"], "left_anti")
 
@@ -337,11 +359,11 @@ def set_union(spark, sf):
 
 
 @query("set_intersect", f"""
-SELECT user_id, item_id FROM ratings WHERE rated_at < TIMESTAMP '{R.SPLIT_CUTOFF}'
+SELECT user_id, item_id FROM ratings WHERE rated_at < TIMESTAMP '{SPLIT_CUTOFF}'
 INTERSECT
-SELECT user_id, item_id FROM ratings WHERE rated_at >= TIMESTAMP '{R.SPLIT_CUTOFF}'""")
+SELECT user_id, item_id FROM ratings WHERE rated_at >= TIMESTAMP '{SPLIT_CUTOFF}'""")
 def set_intersect(spark, sf):
-    train, test = R.temporal_split(view(spark, sf, "ratings"))
+    train, test = R.temporal_split(view(spark, sf, "ratings"), SPLIT_CUTOFF)
     return train.select("user_id", "item_id").intersect(test.select("user_id", "item_id"))
 
 
@@ -376,7 +398,7 @@ SELECT (SELECT count(DISTINCT user_id) FROM clean) AS n_users, (SELECT count(*)
        round(m, 6) AS m, round(c, 6) AS C FROM mc""")
 def run_metadata(spark, sf):
     clean = _clean(spark, sf)
-    return R.run_metadata(_meta(spark, sf), clean)
+    return R.run_metadata(_meta(spark, sf), clean, HYBRID_MIN)
 
 
 # The evaluation keeps the reference's CF floor of 20 ratings on the training split.
@@ -387,8 +409,8 @@ _CF_TRAIN = (CF_SQL[len(CLEAN_SQL) + 1:].replace("FROM clean", "FROM train")
 
 @query("eval_topk", f"""
 WITH {CLEAN_SQL},
-train AS (SELECT * FROM clean WHERE rated_at < TIMESTAMP '{R.SPLIT_CUTOFF}'),
-test AS (SELECT * FROM clean WHERE rated_at >= TIMESTAMP '{R.SPLIT_CUTOFF}'),
+train AS (SELECT * FROM clean WHERE rated_at < TIMESTAMP '{SPLIT_CUTOFF}'),
+test AS (SELECT * FROM clean WHERE rated_at >= TIMESTAMP '{SPLIT_CUTOFF}'),
 {_CF_TRAIN}, {GENRES_SQL},
 seeds AS (SELECT user_id, item_id AS seed FROM (
             SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY rating DESC, rated_at DESC, item_id) AS rn
@@ -429,7 +451,7 @@ SELECT ua.algorithm, count(*) AS evaluated_users, round(avg(coalesce(h, 0) / 10.
 FROM ua LEFT JOIN hits ON hits.algorithm = ua.algorithm AND hits.user_id = ua.user_id GROUP BY ua.algorithm""")
 def eval_topk(spark, sf):
     clean = cut_lineage(_clean(spark, sf))  # both splits feed several branches
-    e = R.eval_topk(view(spark, sf, "items"), clean, 10, min_ratings=EVAL_CF_MIN)
+    e = R.eval_topk(view(spark, sf, "items"), clean, 10, min_ratings=EVAL_CF_MIN, cutoff=SPLIT_CUTOFF)
     return e.select("algorithm", "evaluated_users", F.round("precision_at_k", 6).alias("precision_at_k"),
                     F.round("recall_at_k", 6).alias("recall_at_k"))
 
@@ -444,10 +466,10 @@ def run_metadata_json(spark, sf):
     """Run metadata as a nested one-row document written as JSON and read back."""
     from tessera.session import scratch_dir
     from tessera.sources import files as FS
-    flat = R.run_metadata(_meta(spark, sf), _clean(spark, sf))
+    flat = R.run_metadata(_meta(spark, sf), _clean(spark, sf), HYBRID_MIN)
     doc = flat.select(F.struct("n_users", "n_items", "n_ratings", "n_cf_items").alias("counts"),
                       F.struct(F.lit(R.POPULARITY_QUANTILE).alias("quantile"), "m", "C").alias("popularity"),
-                      F.struct(F.lit(R.CF_MIN_RATINGS).alias("cf_min_ratings"),
+                      F.struct(F.lit(HYBRID_MIN).alias("cf_min_ratings"),
                                F.lit(R.DEFAULT_TOP_N).alias("top_n")).alias("parameters"))
     path = FS.write_json(doc.coalesce(1), scratch_dir(spark, "run-metadata"))
     back = spark.read.schema(doc.schema).json(path)

@@ -11,7 +11,7 @@ from tessera.plans.q_recommend import CF_SQL
 from tessera.plans.registry import query
 from tessera.session import scratch_dir
 from tessera.sources import files as FS
-from tessera.sources.fixtures import view
+from tessera.sources.fixtures import RATING_ORDER, view
 from tessera.sources.tables import table
 
 CHURN_SCHEMA = ("customer_id long, age int, offer string, contract string, monthly_charge double, "
@@ -106,7 +106,7 @@ WITH {CF_SQL}
 SELECT item_i, item_j, round(similarity, 6) AS similarity FROM sim""")
 def sim_table_roundtrip(spark, sf):
     """Item similarity saved as Parquet partitioned by a hash of item_i, loaded back."""
-    sims = R.item_cf_similarity(Q.clean_ratings(view(spark, sf, "ratings")), R.CF_MIN_RATINGS)
-    path = FS.write_parquet_partitioned(sims, scratch_dir(spark, "item-sim"), "item_i", 16)
+    sims = R.item_cf_similarity(Q.clean_ratings(view(spark, sf, "ratings"), RATING_ORDER), 30)
+    path = FS.write_parquet_partitioned(sims, scratch_dir(spark, "item-sim"), "item_i")
     back = spark.read.parquet(path)
     return back.select("item_i", "item_j", F.round("similarity", 6).alias("similarity"))

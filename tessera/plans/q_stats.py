@@ -10,7 +10,7 @@ from tessera.operators import recommend as R
 from tessera.operators import stats as S
 from tessera.plans.registry import query
 from tessera.plans.q_recommend import CLEAN_SQL, META_SQL
-from tessera.sources.fixtures import view
+from tessera.sources.fixtures import RATING_ORDER, view
 
 RIDE_NUM = ["bike_count", "temperature", "humidity", "wind_speed", "visibility",
             "dew_point", "rainfall", "snowfall"]
@@ -104,7 +104,7 @@ WITH c AS (SELECT *, row_number() OVER (PARTITION BY user_id, item_id
 SELECT user_id, item_id, rating, rated_at, l_orderkey, l_linenumber, l_suppkey, l_extendedprice
 FROM c WHERE rn = 1 AND rating BETWEEN 1 AND 5""")
 def clean_ratings_q(spark, sf):
-    return Q.clean_ratings(view(spark, sf, "ratings"))
+    return Q.clean_ratings(view(spark, sf, "ratings"), RATING_ORDER)
 
 
 @query("dq_duplicate_members", """
@@ -312,7 +312,7 @@ def fill_group_median(spark, sf):
 WITH {META_SQL}
 SELECT item_id, title, rating_count FROM meta ORDER BY rating_count DESC, item_id LIMIT 1""")
 def agg_argmax(spark, sf):
-    meta = R.item_metadata(view(spark, sf, "items"), Q.clean_ratings(view(spark, sf, "ratings")))
+    meta = R.item_metadata(view(spark, sf, "items"), Q.clean_ratings(view(spark, sf, "ratings"), RATING_ORDER))
     return S.argmax_row(meta, "rating_count", "item_id", ["item_id", "title", "rating_count"])
 
 
@@ -387,7 +387,7 @@ SELECT count(*) AS n_ratings, count(DISTINCT user_id) AS n_users, count(DISTINCT
        round(count(*) / (count(DISTINCT user_id) * count(DISTINCT item_id)), 9) AS fill_ratio
 FROM clean""")
 def stat_sparsity(spark, sf):
-    s = S.sparsity(Q.clean_ratings(view(spark, sf, "ratings")))
+    s = S.sparsity(Q.clean_ratings(view(spark, sf, "ratings"), RATING_ORDER))
     return s.withColumn("fill_ratio", F.round("fill_ratio", 9))
 
 
@@ -404,7 +404,7 @@ def agg_genre_counts(spark, sf):
 WITH {META_SQL}
 SELECT release_year, count(*) AS count FROM meta GROUP BY release_year""")
 def agg_year_counts(spark, sf):
-    meta = R.item_metadata(view(spark, sf, "items"), Q.clean_ratings(view(spark, sf, "ratings")))
+    meta = R.item_metadata(view(spark, sf, "items"), Q.clean_ratings(view(spark, sf, "ratings"), RATING_ORDER))
     return meta.groupBy("release_year").agg(F.count(F.lit(1)).alias("count"))
 
 
@@ -425,7 +425,7 @@ def agg_conditional_means(spark, sf):
 WITH {CLEAN_SQL}
 SELECT user_id, count(*) AS n_ratings, round(avg(rating), 6) AS mean_rating FROM clean GROUP BY user_id""")
 def user_stats(spark, sf):
-    c = Q.clean_ratings(view(spark, sf, "ratings"))
+    c = Q.clean_ratings(view(spark, sf, "ratings"), RATING_ORDER)
     return c.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_ratings"), r6(F.avg("rating")).alias("mean_rating"))
 
 

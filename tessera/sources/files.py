@@ -50,10 +50,20 @@ def write_json(df: DataFrame, path: str) -> str:
     return path
 
 
-def write_parquet_partitioned(df: DataFrame, path: str, key: str, buckets: int) -> str:
-    """Parquet partitioned by a hash bucket of ``key`` (S12): readers of one key
-    prune to one folder, and files stay bounded per bucket."""
+def write_parquet_partitioned(df: DataFrame, path: str, key: str, rows_per_file: int = 1_000_000) -> str:
+    """Parquet partitioned by a hash bucket of ``key`` (S12): readers of one key prune to
+    one folder.
+
+    The number of buckets follows the number of rows, and a bucket with a hot key is
+    written by several tasks.
+    """
     from pyspark.sql import functions as F
+
+    from tessera.session import cut_lineage
+    df = cut_lineage(df)
+    buckets = max(1, -(-df.count() // rows_per_file))
     out = df.withColumn("_bucket", F.pmod(F.xxhash64(key), F.lit(buckets)))
-    out.repartition("_bucket").write.mode("overwrite").partitionBy("_bucket").parquet(path)
+    largest = out.groupBy("_bucket").count().agg(F.max("count")).first()[0] or 0
+    split = F.pmod(F.xxhash64(*df.columns), F.lit(max(1, -(-largest // rows_per_file))))
+    out.repartition("_bucket", split).write.mode("overwrite").partitionBy("_bucket").parquet(path)
     return path

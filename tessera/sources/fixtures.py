@@ -15,6 +15,10 @@ from pyspark.sql import functions as F
 from tessera.sources.tables import table
 
 
+#: Order in which a repeated rating replaces an earlier one; unique within (user, item).
+RATING_ORDER = ["rated_at", "l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice", "rating"]
+
+
 def ratings(spark: SparkSession, sf: str) -> DataFrame:
     li = table(spark, sf, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_suppkey",
                                               "l_quantity", "l_extendedprice")

@@ -83,24 +83,75 @@ def test_resolve_path_and_approx_quantiles(spark, tmp_path):
     assert abs(q[0.5] - 499.5) <= 2
 
 
-def test_seeded_sample_large_path_equals_limit(spark, monkeypatch):
+def test_seeded_sample_is_the_smallest_hashes(spark):
     from tessera.operators import sampling as SM
     df = spark.range(3000).select(F.col("id"), (F.col("id") % 7).alias("g"))
-    small = {r.id for r in SM.smallest_by_hash(df, ["g"], 1234, 7).collect()}  # many hash ties
-    monkeypatch.setattr(SM, "SAMPLE_LIMIT_ROWS", 10)
-    large = SM.smallest_by_hash(df, ["g"], 1234, 7)
-    assert large.count() == 1234
+    assert SM.smallest_by_hash(df, ["g"], 1234, 7).count() == 1234  # many hash ties
     ids = {r.id for r in SM.smallest_by_hash(df, ["id"], 1500, 3).collect()}
-    monkeypatch.setattr(SM, "SAMPLE_LIMIT_ROWS", 10 ** 9)
-    ids_small = {r.id for r in SM.smallest_by_hash(df, ["id"], 1500, 3).collect()}
-    assert ids == ids_small and len(small) == 1234
+    assert ids == {r.id for r in df.orderBy(SM.hash_key(["id"], 3), "id").limit(1500).collect()}
+    assert SM.smallest_by_hash(df, ["id"], 5000, 3).count() == 3000
 
 
-def test_first_k_unexcluded_both_plans(spark, monkeypatch):
-    """Per-user first-k after exclusions equals brute force, on the one-window
-    plan and on the bucketed plan."""
-    import random
+def test_running_totals_of_a_large_group(spark):
+    """One group with most rows spreads over several range partitions."""
     from tessera.operators import ordered as O
+    df = spark.range(20000).select(F.when(F.col("id") < 19000, "big").when(F.col("id") < 19900, "small").alias("g"), F.col("id").alias("v"),
+                                   (F.col("id") % 5).alias("n")).repartition(8)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # the rows are too few to fill partitions
+    try:
+        parts = O.range_parts(df, "g", "v")
+        got = O.running_totals(df, "v", ["n"], ["g"])
+        ranks = O.global_rank(df, [F.col("v").desc()])
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert parts.where("g = 'big'").select("_part").distinct().count() > 1
+    bad = got.where((F.col("g") == "big") & (F.col("n_incl") != F.expr("(v div 5) * 10 + (v % 5) * (v % 5 + 1) div 2")))
+    assert got.count() == 20000 and bad.count() == 0
+    assert {r.g: r.t for r in got.groupBy("g").agg(F.max("n_total").alias("t")).collect()} == {"big": 38000, "small": 1800, None: 200}
+    assert ranks.where(F.col("rank") != 20000 - F.col("v")).count() == 0
+
+
+def test_user_who_has_seen_almost_everything(spark, monkeypatch):
+    """Popular unseen items of a heavy user, with few ranks handed out at a time."""
+    from tessera.operators import recommend as R
+    monkeypatch.setattr(R, "RANK_CHUNK", 7)
+    scored = spark.range(200).select(F.col("id").alias("item_id"), (F.col("id") % 50).cast("double").alias("popularity_score"))
+    order = sorted(range(200), key=lambda i: (-(i % 50), i))
+    seen = [(1, i) for i in order[:197]] + [(2, order[0]), (2, order[3])]
+    ratings = spark.createDataFrame(seen, "user_id int, item_id long")
+    users = spark.createDataFrame([(1,), (2,), (3,)], "user_id int")
+    out = {}
+    for r in R.popular_unseen(scored, ratings, users, 5).collect():
+        out.setdefault(r.user_id, {})[r["rank"]] = r.item_id
+    assert [out[1][k] for k in sorted(out[1])] == order[197:]
+    assert [out[2][k] for k in range(1, 6)] == [order[k] for k in (1, 2, 4, 5, 6)]
+    assert [out[3][k] for k in range(1, 6)] == order[:5]
+
+
+def test_cf_lists_equal_the_dense_matrix(spark):
+    import random
+
+    from tessera.operators import recommend as R
+    rnd = random.Random(4)
+    n, score = 30, {}
+    for i in range(n):
+        for j in rnd.sample(range(i + 1, n), min(n - i - 1, rnd.choice([0, 1, 8]))):
+            score[i, j] = rnd.choice([-0.5, -0.25, 0.0, 0.25, 0.5])
+    elig = spark.range(n).select(F.col("id").alias("item_id"))
+    sims = spark.createDataFrame([(i, j, s) for (i, j), s in score.items()], "item_i long, item_j long, similarity double")
+    need = elig.select("item_id", (F.col("item_id") % 29 + 1).cast("int").alias("n"))
+    got = {}
+    for r in R.cf_lists(elig, sims, need).collect():
+        got.setdefault(r.item_id, {})[r["rank"]] = (r.similar_item_id, r.score)
+    for i in range(n):
+        dense = sorted(((-score.get((min(i, j), max(i, j)), 0.0), j) for j in range(n) if j != i))[:i % 29 + 1]
+        assert [got[i][k + 1] for k in range(len(dense))] == [(j, -s) for s, j in dense] and len(got[i]) == len(dense)
+
+
+def test_first_k_unexcluded(spark):
+    """Per user first-k after exclusions equals brute force."""
+    import random
+
     from tessera.operators import recommend as R
     rnd = random.Random(9)
     cands, excl = [], []
@@ -122,5 +173,3 @@ def test_first_k_unexcluded_both_plans(spark, monkeypatch):
         return {u: [it for _, it in sorted(v)] for u, v in out.items()}
 
     assert got() == want
-    monkeypatch.setattr(O, "SMALL_GROUP_ROWS", 3)  # force the bucketed ranks
-    assert got() == want

@@ -73,12 +73,10 @@ def test_exact_quantiles_match_numpy(spark):
     vals = [float(rnd.randint(0, 50)) for _ in range(500)] + [rnd.random() for _ in range(300)]
     df = spark.createDataFrame([(v, i % 3) for i, v in enumerate(vals)], "x double, g int")
     probs = [0.0, 0.05, 0.25, 0.5, 0.6, 0.95, 1.0]
-    q = {r.p: r.q for r in exact_quantiles(df, "x", probs, buckets=7).collect()}  # bucketed plan
-    q_small = {r.p: r.q for r in exact_quantiles(df, "x", probs).collect()}  # checked-size plan
+    q = {r.p: r.q for r in exact_quantiles(df, "x", probs).collect()}
     for p in probs:
         assert math.isclose(q[p], float(np.quantile(vals, p)), rel_tol=1e-12, abs_tol=1e-12)
-        assert math.isclose(q_small[p], float(np.quantile(vals, p)), rel_tol=1e-12, abs_tol=1e-12)
-    qg = {(r.g, r.p): r.q for r in exact_quantiles(df, "x", probs, ["g"], buckets=5).collect()}
+    qg = {(r.g, r.p): r.q for r in exact_quantiles(df, "x", probs, ["g"]).collect()}
     for g in range(3):
         sub = [v for i, v in enumerate(vals) if i % 3 == g]
         for p in probs:
@@ -135,7 +133,7 @@ def test_content_topn_matches_bruteforce(spark):
     items = [(i, "|".join(rnd.sample(vocab, rnd.randint(0, 3)))) for i in range(1, 60)]
     meta = spark.createDataFrame(items, "item_id long, genres string").select(
         "item_id", R.genre_array().alias("genres"), F.lit(0).alias("rating_count"))
-    got = {(r.item_id, r.rank): (r.similar_item_id, r.score) for r in R.content_topn(meta, 5, block_size=16).collect()}
+    got = {(r.item_id, r.rank): (r.similar_item_id, r.score) for r in R.content_topn(meta, 5).collect()}
     sets = {i: set(g.split("|")) - {""} for i, g in items}
     for i in sets:
         cands = []
@@ -174,8 +172,8 @@ def test_stream_scoring_equals_batch(spark):
 def test_item_cf_salted_equals_unsalted(spark):
     """Splitting heavy users over block-pair keys does not change any similarity."""
     from tests.conftest import SF_SMALL
-    from tessera.sources.fixtures import view
-    c = R.clean_ratings(view(spark, SF_SMALL, "ratings"))
+    from tessera.sources.fixtures import RATING_ORDER, view
+    c = R.clean_ratings(view(spark, SF_SMALL, "ratings"), RATING_ORDER)
     a = {(r.item_i, r.item_j): r.similarity for r in R.item_cf_similarity(c, 5).collect()}
     b = {(r.item_i, r.item_j): r.similarity for r in R.item_cf_similarity(c, 5, user_limit=2).collect()}
     assert set(a) == set(b) and len(a) > 0
