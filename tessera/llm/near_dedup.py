@@ -6,11 +6,13 @@ of the first non-empty bin in an order of its own (optimal densification).  Band
 give bucket keys.
 
 Documents with equal shingle sets form one class, represented by the smallest id, so copies
-never meet as pairs.  In a bucket, members are compared with centres (a star), not with
-each other: first with the smallest member.  Then components are formed from the links found,
-and buckets that still hold several components get further centres, until every member of
-such a bucket has been one.  So each pair of a bucket is compared unless a chain of links
-already joins it.  A pair whose signatures rule out the threshold by a wide margin, or whose
+never meet as pairs.  In a bucket, members are compared with hubs (a star), not with each
+other.  A member's degree is the sum of the sizes of its buckets, so the text closest to all others of a
+group, such as the one they were copied from, has the largest degree and is the first hub.
+Components are formed from the links found; buckets that still hold several components get ``HUBS``
+more hubs, first of all members, then of those outside the first hub's component.  So the pairs
+grow with the members of the buckets, not with their square, and buckets of up to ``HUBS`` + 1 members
+are compared in full.  A pair whose signatures rule out the threshold by five standard errors, or whose
 set sizes do, is not a link; all other pairs are confirmed on their full sets.
 
 Defined cases: documents without words have an empty set and are linked with nothing; fewer
@@ -34,7 +36,7 @@ from tessera.sources.tables import table
 
 BINS = 128
 SHINGLE, MIN_PERCENT, ROWS = 3, 85, 5
-CENTRES = 16  # per bucket and round, after the first round
+HUBS = 8  # per bucket in each round after the first
 NODE_BITS = 1 << 24
 STAND_IN = 1 << 62
 
@@ -134,14 +136,15 @@ def _node_sets(docs: DataFrame, nodes: DataFrame, size: int) -> DataFrame:
 
 def _confirmed(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) that are links."""
-    least = percent / 100 - 0.15
+    share = percent / 100
 
     def may_link(batches):
         for batch in batches:
             col = {name: batch.column(name) for name in ("na", "nb")}
             small = np.minimum(*(c.to_numpy() for c in col.values()))
             a, b = (np.frombuffer(b"".join(batch.column(name).to_pylist()), "<u2").reshape(-1, BINS) for name in ("siga", "sigb"))
-            keep = ((a == b).mean(axis=1) >= least) | (small < 2 * BINS)
+            error = np.sqrt(share * (1 - share) / np.maximum(np.minimum(small, BINS) / 2, 1))  # filled bins repeat values: half count
+            keep = (a == b).mean(axis=1) >= share - 5 * error
             yield pa.RecordBatch.from_arrays([batch.column(name).filter(pa.array(keep)) for name in ("a", "b")], names=["a", "b"])
 
     def link(batches):
@@ -168,7 +171,11 @@ def components(edges: DataFrame) -> DataFrame:
     Each step points nodes at the smallest neighbour; the number of steps grows with the
     logarithm of the longest chain.  The neighbours of a node are never gathered.
     """
+    def mark(d):
+        return d.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b"))).first()
+
     now = stored(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
+    was = mark(now)
     while True:
         both = now.union(now.select("b", "a"))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
@@ -176,10 +183,9 @@ def components(edges: DataFrame) -> DataFrame:
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).union(low.select("a", F.col("m").alias("b")))
         after = stored(small.where("a <> b").distinct(), "links")
-        mark = lambda d: d.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b"))).first()
-        if mark(after) == mark(now):
+        if (mark_after := mark(after)) == was:
             return after.select(F.col("a").alias("id"), F.col("b").alias("comp")).union(after.select(F.col("b").alias("id"), "b").distinct())
-        now = after
+        now, was = after, mark_after
 
 
 def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = MIN_PERCENT, rows: int = ROWS) -> DataFrame:
@@ -189,28 +195,32 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = MIN_PER
                .select("n", "h1", "h2", F.col("r.id").alias("id"), F.col("r.bands").alias("bands"), F.col("r.sig").alias("sig")))
     classes = stored(classes, "dedup-classes")
     keyed = classes.select("id", F.explode("bands").alias("key"))
-    shared = keyed.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high").select("key", "low")
-    members = stored(keyed.join(shared, "key"), "dedup-buckets")
-    nodes = stored(members.select("id").distinct(), "dedup-nodes")
+    shared = keyed.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high"), F.count(F.lit(1)).alias("size"))
+    found = stored(keyed.join(shared.where("low < high").select("key", "size"), "key"), "dedup-buckets")
+    degree = stored(found.groupBy("id").agg(F.sum("size").alias("degree")), "dedup-nodes")
+    nodes = degree.select("id")
     sets = stored(_node_sets(docs, nodes, size), "dedup-node-sets")
-    known = classes.select("id", "n", "sig").join(nodes, "id", "left_semi")
+    known = stored(classes.select("id", "n", "sig").join(nodes, "id", "left_semi"), "dedup-signatures")
+
+    def hubs(members: DataFrame, number: int) -> DataFrame:
+        nth = F.row_number().over(Window.partitionBy("key").orderBy(F.desc("degree"), "id"))
+        return members.withColumn("nth", nth).where(F.col("nth") <= number).drop("nth")
 
-    # several texts under one id are one node
-    edges = stored(_confirmed(members.where("id <> low").select(F.col("low").alias("a"), F.col("id").alias("b")).distinct(), known, sets, percent), "dedup-links")
+    members = found.select("key", "id").join(degree, "id")
+    first = hubs(members, 1).select("key", F.col("id").alias("hub"))
+    members = stored(members.join(first, "key"), "dedup-members")
+    pairs = members.where("id <> hub").select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct()
+    edges = stored(_confirmed(pairs, known, sets, percent), "dedup-links")
     comp = components(edges)
-    open_ = members.where("id <> low").select("key", "id")
-    while True:
-        labelled = open_.join(comp, "id", "left").select("key", "id", F.coalesce("comp", "id").alias("comp"))
-        mixed = labelled.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x < y").select("key")
-        open_ = stored(labelled.join(mixed, "key", "left_semi"), "dedup-open")
-        if open_.isEmpty():
-            break
-        nth = F.row_number().over(Window.partitionBy("key").orderBy("id"))
-        centres = stored(open_.withColumn("nth", nth).where(F.col("nth") <= CENTRES).select("key", F.col("id").alias("a"), F.col("comp").alias("comp_a")), "dedup-centres")
-        pairs = open_.join(centres, "key").where("id > a and comp <> comp_a").select("a", F.col("id").alias("b")).distinct()
+    for turn in ("all", "others"):
+        labelled = members.join(comp, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
+        mixed = labelled.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y"),
+                                            F.max(F.when(F.col("id") == F.col("hub"), F.col("comp"))).alias("hub_comp")).where("x < y").select("key", "hub_comp")
+        open_ = stored(labelled.join(mixed, "key"), "dedup-open")
+        chosen = hubs(open_.where("id <> hub" if turn == "all" else "comp <> hub_comp"), HUBS).select("key", F.col("id").alias("own"), F.col("comp").alias("own_comp"))
+        pairs = open_.join(chosen, "key").where("id <> own and comp <> own_comp").select(F.least("id", "own").alias("a"), F.greatest("id", "own").alias("b")).distinct()
         edges = stored(edges.union(_confirmed(pairs, known, sets, percent)).distinct(), "dedup-links")
         comp = components(edges)
-        open_ = open_.select("key", "id").join(centres.select("key", F.col("a").alias("id")), ["key", "id"], "left_anti")
 
     class_comp = classes.select("n", "h1", "h2", F.col("id").alias("rep")).join(comp.select(F.col("id").alias("rep"), "comp"), "rep", "left").select(
         "n", "h1", "h2", F.coalesce("comp", "rep").alias("comp"))

@@ -104,11 +104,28 @@ def test_chain_through_buckets_without_a_shared_centre(spark):
     assert [got[i] for i in ids] == want
 
 
-def test_many_centres(spark, monkeypatch):
-    monkeypatch.setattr(near_dedup, "CENTRES", 2)
+def test_small_buckets_are_compared_in_full(spark):
+    """Groups that share most words, each of three links, in common buckets."""
     rng = random.Random(4)
     common = [f"c{i}" for i in range(120)]
-    texts = [" ".join(common + [f"u{g}_{i}" for i in range(30)] + ([f"v{k}"] if k else [])) for g in range(8) for k in range(3)]
+    texts = [" ".join(common + [f"u{g}_{i}" for i in range(30)] + ([f"v{k}"] if k else [])) for g in range(3) for k in range(3)]
+    ids = list(range(len(texts)))
+    rng.shuffle(ids)
+    want, _ = brute_components(texts, ids)
+    got = {r.doc_id: r.component_id for r in near_dedup.near_duplicates(table(spark, texts, ids)).collect()}
+    assert [got[i] for i in ids] == want
+
+
+def test_large_group_of_near_copies(spark):
+    """Copies with a few changed words link to their source, not to each other."""
+    rng = random.Random(12)
+    base = [f"w{rng.random()}" for _ in range(150)]
+    texts = [" ".join(base)]
+    for _ in range(250):
+        copy = list(base)
+        for _ in range(rng.randint(1, 4)):
+            copy[rng.randrange(150)] = f"x{rng.random()}"
+        texts.append(" ".join(copy))
     ids = list(range(len(texts)))
     rng.shuffle(ids)
     want, _ = brute_components(texts, ids)
