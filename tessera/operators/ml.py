@@ -9,17 +9,22 @@ from __future__ import annotations
 
 import time
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark import keyword_only
+from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LogisticRegression,
                                        RandomForestClassifier)
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.regression import DecisionTreeRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.functions.expr import no_nan
 from tessera.operators import evaluate as E
 from tessera.operators.features import FRAUD_CATEGORICAL_FEATURES, FRAUD_NUMERIC_FEATURES, FraudFeatureEngineer
+from tessera.operators.stats import column_medians, column_modes
 
 
 def one_hot_stages(cols: list[str]) -> list:
@@ -56,9 +61,56 @@ def standardize(df: DataFrame, cols: list[str], keep: list[str]) -> DataFrame:
     return j.select(*keep, *[F.try_divide(F.col(c) - F.col(f"_m_{c}"), F.col(f"_s_{c}")).alias(c) for c in cols])
 
 
+class _PreParams(Params):
+    numericCols = Param(Params._dummy(), "numericCols", "columns to impute by the median and scale", typeConverter=TypeConverters.toListString)
+    textCols = Param(Params._dummy(), "textCols", "columns to impute by the most frequent value", typeConverter=TypeConverters.toListString)
+    medians = Param(Params._dummy(), "medians", "fitted medians", typeConverter=TypeConverters.toListFloat)
+    means = Param(Params._dummy(), "means", "fitted means after imputing", typeConverter=TypeConverters.toListFloat)
+    scales = Param(Params._dummy(), "scales", "fitted population standard deviations (1 for a constant column)", typeConverter=TypeConverters.toListFloat)
+    modes = Param(Params._dummy(), "modes", "fitted most frequent values", typeConverter=TypeConverters.toListString)
+
+
+class PreprocessorModel(Model, _PreParams, DefaultParamsReadable, DefaultParamsWritable):
+    """Fitted imputer and scaler: the training rows' statistics, applied to any rows."""
+
+    @keyword_only
+    def __init__(self, numericCols=None, textCols=None, medians=None, means=None, scales=None, modes=None):
+        super().__init__()
+        self._set(**self._input_kwargs)
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        get = lambda p: self.getOrDefault(p)
+        new = {c: (F.coalesce(no_nan(c), F.lit(med)) - F.lit(mean)) / F.lit(scale)
+               for c, med, mean, scale in zip(get(self.numericCols), get(self.medians), get(self.means), get(self.scales), strict=True)}
+        new |= {c: F.coalesce(F.col(c), F.lit(mode)) for c, mode in zip(get(self.textCols), get(self.modes), strict=True)}
+        return df.withColumns(new)
+
+
+class Preprocessor(Estimator, _PreParams, DefaultParamsReadable, DefaultParamsWritable):
+    """Impute numbers by the exact median and text by the mode, then scale numbers by mean and
+    population std (M3-M5).  A few scalars per column are all that fitting brings to the driver."""
+
+    @keyword_only
+    def __init__(self, numericCols=None, textCols=None):
+        super().__init__()
+        self._set(**self._input_kwargs)
+
+    def _fit(self, df: DataFrame) -> PreprocessorModel:
+        num, text = self.getOrDefault(self.numericCols), self.getOrDefault(self.textCols)
+        med = column_medians(df, num).first() if num else {}
+        medians = [float(med[c] or 0.0) for c in num]
+        filled = [F.coalesce(no_nan(c), F.lit(m)) for c, m in zip(num, medians, strict=True)]
+        stats = df.agg(F.count(F.lit(1)), *[F.avg(x) for x in filled], *[F.stddev_pop(x) for x in filled]).first()
+        modes = column_modes(df, text).first() if text else {}
+        k = len(num)
+        return PreprocessorModel(numericCols=num, textCols=text, medians=medians, means=[float(x or 0.0) for x in stats[1:k + 1]],
+                                 scales=[float(x or 1.0) for x in stats[k + 1:]], modes=[modes[c] or "" for c in text])
+
+
 def fraud_pipeline(classifier) -> Pipeline:
-    """Feature engineer -> one-hot -> assembler -> classifier (M6, M7)."""
-    stages = [FraudFeatureEngineer()] + one_hot_stages(FRAUD_CATEGORICAL_FEATURES)
+    """Feature engineer -> impute and scale -> one-hot -> assembler -> classifier (M6, M7)."""
+    fitted = Preprocessor(numericCols=FRAUD_NUMERIC_FEATURES, textCols=FRAUD_CATEGORICAL_FEATURES)
+    stages = [FraudFeatureEngineer(), fitted] + one_hot_stages(FRAUD_CATEGORICAL_FEATURES)
     assembler = VectorAssembler(inputCols=FRAUD_NUMERIC_FEATURES + [f"{c}__ohe" for c in FRAUD_CATEGORICAL_FEATURES],
                                 outputCol="features")
     return Pipeline(stages=stages + [assembler, classifier])

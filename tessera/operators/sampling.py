@@ -1,7 +1,8 @@
 """Row selection, splits and sampling.
 
-Randomness is a seeded ``xxhash64`` of the row key, so draws are stable
-under any partitioning and survive task retries (``randomSplit`` is not).
+Randomness is a seeded hash of the row key (60 bits of its MD5, which any engine can
+repeat), so draws are stable under any partitioning and survive task retries
+(``randomSplit`` is not).
 """
 
 from __future__ import annotations
@@ -14,7 +15,8 @@ from tessera.session import cut_lineage
 
 
 def hash_key(cols: list[str], seed: int) -> Column:
-    return F.xxhash64(F.lit(seed), *[F.col(c) for c in cols])
+    text = F.concat_ws("|", F.lit(str(seed)), *[F.col(c).cast("string") for c in cols])
+    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long")
 
 
 def unit_hash(cols: list[str], seed: int) -> Column:

@@ -149,23 +149,23 @@ def safe_corr(a: str, b: str) -> Column:
     return F.try_divide(F.covar_pop(xm, ym), F.stddev_pop(xm) * F.stddev_pop(ym))
 
 
+PAIR_BATCH = 12
+
+
 def _pair_corr(df: DataFrame, pairs: list[tuple[str, str]], names: list[tuple[str, str]]) -> DataFrame:
-    """Correlation per (a, b) pair on the long table (pair, x, y).
+    """Correlation per (a, b) pair, rows null in either left out.
 
-    One wide aggregate of k(k-1)/2 correlations has hundreds of buffer fields
-    and falls out of whole-stage codegen; three aggregates grouped by pair stay
-    inside it.
+    Rows are never copied: each pair is an aggregate over the row as it is, ``PAIR_BATCH`` pairs to a
+    pass, so the aggregation buffer stays small enough for whole-stage codegen.
     """
-    arr = F.array(*[F.struct(F.lit(i).alias("_pair"), F.col(a).cast("double").alias("_x"),
-                             F.col(b).cast("double").alias("_y")) for i, (a, b) in enumerate(pairs)])
-    x, y = F.col("_x"), F.col("_y")
-    xm = F.when(y.isNotNull() & ~F.isnan(y), x)
-    ym = F.when(x.isNotNull() & ~F.isnan(x), y)
-    agg = (df.select(F.inline(arr)).groupBy("_pair")
-           .agg(F.try_divide(F.covar_pop(xm, ym), F.stddev_pop(xm) * F.stddev_pop(ym)).alias("corr")))
-    spark = df.sparkSession
-    labels = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(names)], "_pair int, col_a string, col_b string")
-    return agg.join(F.broadcast(labels), "_pair").select("col_a", "col_b", "corr")  # one row per pair
+    out = None
+    for at in range(0, len(pairs), PAIR_BATCH):
+        part = list(zip(pairs[at:at + PAIR_BATCH], names[at:at + PAIR_BATCH], strict=True))
+        row = df.agg(*[safe_corr(a, b).alias(f"_c{i}") for i, ((a, b), _) in enumerate(part)])
+        rows = row.select(F.inline(F.array(*[F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), F.col(f"_c{i}").alias("corr"))
+                                             for i, (_, (a, b)) in enumerate(part)])))
+        out = rows if out is None else out.unionByName(rows)
+    return out
 
 
 def corr_pairs(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -195,8 +195,8 @@ def zero_variance(df: DataFrame, cols: list[str]) -> DataFrame:
             .withColumn("zero_variance", F.col("variance") == 0))
 
 
-def quasi_constant(df: DataFrame, cols: list[str], threshold: float, count_null: bool = False) -> DataFrame:
-    """Share of the most frequent value per column; flagged when >= 1 - threshold.
+def quasi_constant(df: DataFrame, cols: list[str], thresholds: list[float], count_null: bool = False) -> DataFrame:
+    """Share of the most frequent value per column; flagged, for each threshold, when >= 1 - threshold.
 
     One unpivot, then (column, value) counts, then the max per column.
     """
@@ -205,8 +205,8 @@ def quasi_constant(df: DataFrame, cols: list[str], threshold: float, count_null:
         long = long.where(F.col("value").isNotNull())
     vc = long.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
     per = vc.groupBy("column_name").agg(F.max("n").alias("top_count"), F.sum("n").alias("n"))
-    return (per.withColumn("top_share", F.col("top_count") / F.col("n"))
-            .withColumn("quasi_constant", F.col("top_share") >= 1 - threshold))
+    flags = F.array(*[F.struct(F.lit(float(t)).alias("threshold"), (F.col("top_share") >= 1 - t).alias("quasi_constant")) for t in thresholds])
+    return per.withColumn("top_share", F.col("top_count") / F.col("n")).select("*", F.inline(flags))
 
 
 def column_medians(df: DataFrame, cols: list[str]) -> DataFrame:

@@ -17,6 +17,9 @@ def _rides_pred(spark, sf):
     return r.withColumn("predicted", F.greatest(30 * F.col("temperature") + 400, F.lit(0.0)))
 
 
+RIDES_PRED_SQL = "p AS (SELECT date, hour, bike_count, greatest(30 * temperature + 400, 0.0) AS predicted FROM rides)"
+
+
 @query("eval_regression", """
 WITH p AS (SELECT bike_count, greatest(30 * temperature + 400, 0.0) AS predicted FROM rides)
 SELECT round(avg(abs(bike_count - predicted)), 6) AS mae,
@@ -29,7 +32,8 @@ def eval_regression(spark, sf):
     return m.select(r6("mae").alias("mae"), r6("rmse").alias("rmse"), r6("r2").alias("r2"), "n")
 
 
-@query("eval_residuals")
+@query("eval_residuals", f"""WITH {RIDES_PRED_SQL}
+SELECT date, hour, bike_count, predicted, bike_count - predicted AS residual FROM p""")
 def eval_residuals(spark, sf):
     """Actual beside predicted with the residual."""
     p = _rides_pred(spark, sf)

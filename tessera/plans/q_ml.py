@@ -21,6 +21,7 @@ from tessera.operators import stats as S
 from tessera.plans.q_stats import r6
 from tessera.plans.registry import query
 from tessera.session import cut_lineage, scratch_dir
+from tessera.sources import files as FS
 from tessera.sources.fixtures import view
 
 TXN_KEYS = ["txn_order", "txn_line", "txn_part", "txn_supp"]
@@ -28,6 +29,20 @@ RIDE_NUM_FEATURES = ["hour", "temperature", "humidity", "wind_speed", "visibilit
 RIDE_CAT = ["season", "holiday", "functioning_day"]
 
 
+def hash_sql(cols: list[str], seed: int = 42) -> str:
+    """The seeded row hash of the sampling operators in SQL."""
+    return f"CAST('0x' || substr(md5(concat_ws('|', '{seed}', {', '.join(f'CAST({c} AS VARCHAR)' for c in cols)})), 1, 15) AS BIGINT)"
+
+
+def test_share_sql(cols: list[str], share: float = 0.2) -> str:
+    return f"({hash_sql(cols)} % 1073741824) / 1073741824.0 < {share}"
+
+
+CLEAN_TXN_SQL = """cleaned AS (SELECT DISTINCT * FROM txn),
+kept AS (SELECT * FROM cleaned WHERE amount >= 0 AND amount < 'inf'::DOUBLE AND oldbalanceOrg IS NOT NULL AND abs(oldbalanceOrg) < 'inf'::DOUBLE
+         AND oldbalanceDest IS NOT NULL AND abs(oldbalanceDest) < 'inf'::DOUBLE AND type IS NOT NULL AND isFraud IS NOT NULL)"""
+
+
 # ---------------------------------------------------------------- preprocessing (O)
 @query("ml_one_hot", """
 SELECT customer_id,
@@ -63,6 +78,27 @@ def ml_standardize(spark, sf):
     return s.select("customer_id", *[r6(c).alias(c) for c in ["age", "monthly_charge", "tenure"]])
 
 
+PRE_NUM, PRE_TEXT = ["age", "monthly_charge", "tenure"], ["offer"]
+
+
+@query("ml_fit_transform", f"""
+WITH t AS (SELECT *, {test_share_sql(['customer_id'])} AS is_test FROM churn),
+train AS (SELECT * FROM t WHERE NOT is_test),
+med AS (SELECT {', '.join(f'quantile_cont({c}, 0.5) AS {c}' for c in PRE_NUM)} FROM train),
+mode AS (SELECT (SELECT offer FROM train WHERE offer IS NOT NULL GROUP BY offer ORDER BY count(*) DESC, offer LIMIT 1) AS offer),
+filled AS (SELECT {', '.join(f'coalesce(train.{c}, med.{c}) AS {c}' for c in PRE_NUM)} FROM train, med),
+st AS (SELECT {', '.join(f'avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}' for c in PRE_NUM)} FROM filled)
+SELECT customer_id, coalesce(t.offer, mode.offer) AS offer,
+       {', '.join(f'round((coalesce(t.{c}, med.{c}) - m_{c}) / s_{c}, 6) AS {c}' for c in PRE_NUM)}
+FROM t, med, mode, st WHERE is_test""")
+def ml_fit_transform(spark, sf):
+    """Imputer and scaler fitted on the training rows, applied to the others (M3-M5)."""
+    s = SM.random_split(view(spark, sf, "churn"), ["customer_id"], 0.2, 42)
+    model = M.Preprocessor(numericCols=PRE_NUM, textCols=PRE_TEXT).fit(s.where(~F.col("is_test")))
+    out = model.transform(s.where("is_test"))
+    return out.select("customer_id", "offer", *[r6(c).alias(c) for c in PRE_NUM])
+
+
 @query("ml_class_weights", """
 SELECT churn_label, count(*) AS n_c, round(sum(count(*)) OVER () / (count(*) OVER () * count(*)), 6) AS weight
 FROM churn GROUP BY churn_label""")
@@ -88,17 +124,56 @@ def sample_keep_positives(spark, sf):
     return s.groupBy("isFraud").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("split_random")
+@query("split_random", f"""SELECT {test_share_sql(TXN_KEYS)} AS is_test, count(*) AS n FROM txn GROUP BY 1""")
 def split_random(spark, sf):
     s = SM.random_split(view(spark, sf, "txn"), TXN_KEYS, 0.2, 42)
     return s.groupBy("is_test").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("sample_one_per_group")
+@query("split_stratified_rows", f"""
+SELECT customer_id, row_number() OVER (PARTITION BY churn_label ORDER BY {hash_sql(['customer_id'])}, customer_id)
+       <= ceil(count(*) OVER (PARTITION BY churn_label) * 0.2) AS is_test FROM churn""")
+def split_stratified_rows(spark, sf):
+    """The rows of the stratified split (M9)."""
+    return SM.stratified_split(view(spark, sf, "churn"), "churn_label", ["customer_id"], 0.2, 42).select("customer_id", "is_test")
+
+
+@query("sample_keep_positives_rows", f"""
+SELECT {', '.join(TXN_KEYS)}, isFraud FROM txn WHERE isFraud = 1
+UNION ALL
+SELECT * FROM (SELECT {', '.join(TXN_KEYS)}, isFraud FROM txn WHERE isFraud = 0 ORDER BY {hash_sql(TXN_KEYS)}, {', '.join(TXN_KEYS)} LIMIT 5000) n""")
+def sample_keep_positives_rows(spark, sf):
+    """The rows of the sample."""
+    return SM.keep_positives_sample_negatives(view(spark, sf, "txn"), "isFraud", TXN_KEYS, 5000, 42).select(*TXN_KEYS, "isFraud")
+
+
+@query("sample_csv", f"""
+SELECT {', '.join(TXN_KEYS)}, isFraud FROM txn WHERE isFraud = 1
+UNION ALL
+SELECT * FROM (SELECT {', '.join(TXN_KEYS)}, isFraud FROM txn WHERE isFraud = 0 ORDER BY {hash_sql(TXN_KEYS)}, {', '.join(TXN_KEYS)} LIMIT 5000) n""")
+def sample_csv(spark, sf):
+    """The sample in seeded random order, written as CSV and read back."""
+    sample = SM.seeded_shuffle(sample_keep_positives_rows(spark, sf), TXN_KEYS)
+    path = FS.write_csv(sample, scratch_dir(spark, "sample-csv"))
+    return FS.read_csv(spark, path, sample.schema)
+
+
+SCENARIO_KEYS = ["date", "hour", "bike_count", "humidity", "visibility"]
+
+
+@query("sample_one_per_group", f"""
+WITH tagged AS (
+  SELECT 'summer_evening' AS scenario, * FROM rides WHERE season = 'Summer' AND hour = 18 AND rainfall = 0
+  UNION ALL SELECT 'winter_morning', * FROM rides WHERE season = 'Winter' AND hour = 8
+  UNION ALL SELECT 'rainy', * FROM rides WHERE rainfall > 0
+  UNION ALL SELECT 'snowy', * FROM rides WHERE snowfall > 0
+  UNION ALL SELECT 'holiday_afternoon', * FROM rides WHERE holiday = 'Holiday' AND hour = 14
+  UNION ALL SELECT 'closed_day', * FROM rides WHERE functioning_day = 'No' AND season = 'Spring' AND rainfall > 5),
+best AS (SELECT *, row_number() OVER (PARTITION BY scenario ORDER BY {hash_sql(SCENARIO_KEYS)}, {', '.join(SCENARIO_KEYS)}) AS rn FROM tagged)
+SELECT scenario, {', '.join(SCENARIO_KEYS)} FROM best WHERE rn = 1""")
 def sample_one_per_group(spark, sf):
-    rides = view(spark, sf, "rides")
-    tagged = SM.scenario_filter(rides)
-    return SM.one_per_group(tagged, "scenario", rides.columns, seed=42)
+    tagged = SM.scenario_filter(view(spark, sf, "rides"))
+    return SM.one_per_group(tagged, "scenario", SCENARIO_KEYS, seed=42).select("scenario", *SCENARIO_KEYS)
 
 
 # ---------------------------------------------------------------- fraud training (R)
@@ -185,7 +260,9 @@ def sel_final_features(spark, sf):
     return M.top_features(imp, 10, ["BalanceDifference"])
 
 
-@query("ml_save_load")
+@query("ml_save_load", f"""WITH {CLEAN_TXN_SQL},
+c AS (SELECT isFraud, count(*) AS n FROM kept GROUP BY isFraud)
+SELECT CAST(sum(ceil(n * 0.2)) AS BIGINT) AS n, 0.0::DOUBLE AS max_abs_diff FROM c""")
 def ml_save_load(spark, sf):
     train, test = _fraud_split(spark, sf)
     model = M.fraud_pipeline(M.rf_classifier("isFraud", "weight", trees=10)).fit(train)

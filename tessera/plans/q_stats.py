@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tessera.functions import expr as X
 from tessera.functions.text import honorific
 from tessera.operators import quality as Q
 from tessera.operators import recommend as R
@@ -13,7 +14,7 @@ from tessera.plans.q_recommend import CLEAN_SQL, META_SQL
 from tessera.sources.fixtures import RATING_ORDER, view
 
 RIDE_NUM = ["bike_count", "temperature", "humidity", "wind_speed", "visibility",
-            "dew_point", "rainfall", "snowfall"]
+            "dew_point", "rainfall", "snowfall", "hour"]
 RIDE_TEXT = ["date", "season", "holiday", "functioning_day"]
 PASSENGER_COLS = ["PassengerId", "Survived", "Pclass", "Name", "Sex", "Age", "SibSp", "Parch",
                   "Ticket", "Fare", "Cabin", "Embarked"]
@@ -177,7 +178,7 @@ def _corr_sql(a: str, b: str) -> str:
     return f"covar_pop({xm}, {ym}) / nullif(stddev_pop({xm}) * stddev_pop({ym}), 0)"
 
 
-CORR_COLS = ["bike_count", "temperature", "humidity", "wind_speed", "visibility", "dew_point", "rainfall"]
+CORR_COLS = RIDE_NUM
 CORR_PAIRS = [(a, b) for i, a in enumerate(CORR_COLS) for b in CORR_COLS[i + 1:]]
 CORR_SQL = _union([f"SELECT '{a}' AS col_a, '{b}' AS col_b, round({_corr_sql(a, b)}, 6) AS corr FROM rides"
                    for a, b in CORR_PAIRS])
@@ -199,6 +200,31 @@ def sel_high_corr_pairs(spark, sf):
     return hi.select("col_a", "col_b", r6("corr").alias("corr"), "threshold")
 
 
+@query("sel_high_corr_pairs_inclusive", _union([f"""SELECT '{a}' AS col_a, '{b}' AS col_b, round({_corr_sql(a, b)}, 6) AS corr, CAST({t} AS DOUBLE) AS threshold
+FROM rides HAVING abs({_corr_sql(a, b)}) >= {t}""" for a, b in CORR_PAIRS for t in (0.8, 0.85, 0.9)]))
+def sel_high_corr_pairs_inclusive(spark, sf):
+    """The form that keeps pairs at the threshold."""
+    hi = S.high_corr_pairs(S.corr_pairs(view(spark, sf, "rides"), CORR_COLS), [0.8, 0.85, 0.9], inclusive=True)
+    return hi.select("col_a", "col_b", r6("corr").alias("corr"), "threshold")
+
+
+@query("stat_corr_target", _union([f"SELECT '{a}' AS column_name, round({_corr_sql(a, 'bike_count')}, 6) AS corr FROM rides" for a in RIDE_NUM[1:]]))
+def stat_corr_target(spark, sf):
+    """Correlation of every numeric column with the target, strongest first."""
+    c = S.corr_with_target(view(spark, sf, "rides"), RIDE_NUM[1:], "bike_count")
+    return c.withColumn("corr", r6("corr")).orderBy(F.desc("corr"), "column_name")
+
+
+@query("stat_describe_by_class", _union([f"""SELECT churn_label, '{c}' AS column_name, count({c}) AS count, round(avg({c}), 6) AS mean,
+       round(stddev_samp({c}), 6) AS std, round(min({c}), 6) AS min, round(quantile_cont({c}, 0.25), 6) AS q25,
+       round(quantile_cont({c}, 0.5), 6) AS q50, round(quantile_cont({c}, 0.75), 6) AS q75, round(max({c}), 6) AS max
+FROM churn GROUP BY churn_label""" for c in ("age", "monthly_charge", "tenure")]))
+def stat_describe_by_class(spark, sf):
+    """``describe()`` within each class."""
+    d = S.describe_numeric(view(spark, sf, "churn"), ["age", "monthly_charge", "tenure"], ["churn_label"])
+    return d.select("churn_label", "column_name", "count", *[r6(c).alias(c) for c in ["mean", "std", "min", "q25", "q50", "q75", "max"]])
+
+
 ZV_COLS = ["age", "monthly_charge", "tenure", "country_us", "contract_two_year"]
 
 
@@ -218,15 +244,25 @@ def sel_zero_variance(spark, sf):
     return z.select("column_name", r6("variance").alias("variance"), "zero_variance")
 
 
-QC_COLS = ["Pclass", "Sex", "SibSp", "Parch", "Cabin", "Embarked"]
+@query("sel_zero_variance_filled", _union([f"SELECT '{c}' AS column_name, round(var_pop(coalesce({c}, 0)), 6) AS variance, "
+                                           f"var_pop(coalesce({c}, 0)) = 0 AS zero_variance FROM passengers" for c in ("Age", "Fare", "SibSp", "Parch")]))
+def sel_zero_variance_filled(spark, sf):
+    """The form that fills nulls with 0 first."""
+    cols = ["Age", "Fare", "SibSp", "Parch"]
+    z = S.zero_variance(view(spark, sf, "passengers").select(*cols).fillna(0), cols)
+    return z.select("column_name", r6("variance").alias("variance"), "zero_variance")
+
+
+QC_COLS = PASSENGER_COLS
+QC_THRESHOLDS = [0.01, 0.02, 0.05]
 
 
-@query("sel_quasi_constant", _union([f"""SELECT '{c}' AS column_name, max(n) AS top_count, CAST(sum(n) AS BIGINT) AS n,
-       round(max(n) / sum(n), 6) AS top_share, max(n) / sum(n) >= 0.95 AS quasi_constant
-FROM (SELECT CAST({c} AS VARCHAR) AS v, count(*) AS n FROM passengers GROUP BY 1) g""" for c in QC_COLS]))
+@query("sel_quasi_constant", _union([f"""SELECT '{c}' AS column_name, CAST({t} AS DOUBLE) AS threshold, max(n) AS top_count, CAST(sum(n) AS BIGINT) AS n,
+       round(max(n) / sum(n), 6) AS top_share, max(n) / sum(n) >= 1 - {t} AS quasi_constant
+FROM (SELECT {c} AS v, count(*) AS n FROM passengers GROUP BY 1) g""" for c in QC_COLS for t in QC_THRESHOLDS]))
 def sel_quasi_constant(spark, sf):
-    q = S.quasi_constant(view(spark, sf, "passengers"), QC_COLS, 0.05, count_null=True)
-    return q.select("column_name", "top_count", F.col("n").cast("long").alias("n"), r6("top_share").alias("top_share"),
+    q = S.quasi_constant(view(spark, sf, "passengers"), QC_COLS, QC_THRESHOLDS, count_null=True)
+    return q.select("column_name", "threshold", "top_count", F.col("n").cast("long").alias("n"), r6("top_share").alias("top_share"),
                     "quasi_constant")
 
 
@@ -331,7 +367,7 @@ def stat_histogram(spark, sf):
 
 
 @query("stat_histogram_log_by_class", """
-WITH x AS (SELECT isFraud, ln(1 + amount) AS v FROM txn WHERE amount IS NOT NULL AND amount > -1),
+WITH x AS (SELECT isFraud, ln(1 + greatest(amount, 0)) AS v FROM txn WHERE amount IS NOT NULL),
 r AS (SELECT min(v) AS lo, max(v) AS hi FROM x),
 b AS (SELECT isFraud, CAST(least(floor((v - lo) / ((hi - lo) / 40.0)), 39) AS INT) AS bin, count(*) AS n
       FROM x, r GROUP BY 1, 2),
@@ -340,7 +376,7 @@ SELECT g.isFraud, g.bin, round(lo + g.bin * ((hi - lo) / 40.0), 6) AS bin_start,
        round(lo + (g.bin + 1) * ((hi - lo) / 40.0), 6) AS bin_end, coalesce(n, 0) AS count
 FROM g CROSS JOIN r LEFT JOIN b ON g.isFraud = b.isFraud AND g.bin = b.bin""")
 def stat_histogram_log_by_class(spark, sf):
-    t = view(spark, sf, "txn").where(F.col("amount").isNotNull() & (F.col("amount") > -1))
+    t = view(spark, sf, "txn").where(F.col("amount").isNotNull()).withColumn("amount", X.clip("amount", lower=0.0))  # as the features do (X3)
     h = S.histogram(t, "amount", 40, groups=["isFraud"], log1p=True)
     return h.select("isFraud", "bin", r6("bin_start").alias("bin_start"), r6("bin_end").alias("bin_end"), "count")
 
