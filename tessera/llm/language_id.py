@@ -67,16 +67,17 @@ class Model:
             self.tables[kind] = {f: base + k for k, f in enumerate(own)}
             logs.append(np.log((counts + 0.5) / (counts.sum(axis=0) + 0.5 * (len(own) + 1))))
         self.logs = np.concatenate(logs) if logs else np.zeros((0, len(langs)))
-        self.unseen: dict[str, np.ndarray] = {}
+        self.unseen: dict[str, list[int]] = {}
 
-    def back_off(self, word: str) -> np.ndarray:
+    def back_off(self, word: str) -> list[int]:
+        """The known n-grams of the greatest length that has any."""
         got = self.unseen.get(word)
         if got is None:
-            got = np.zeros(len(self.langs))
+            got = []
             for n in LENGTHS:
-                known = [k for k in map(self.tables[n].get, grams(word, n)) if k is not None]
-                if known:
-                    got = self.logs[known].mean(axis=0)
+                get = self.tables[n].get
+                got = [k for k in map(get, grams(word, n)) if k is not None]
+                if got:
                     break
             if len(self.unseen) >= CACHE:
                 self.unseen.clear()
@@ -87,15 +88,14 @@ class Model:
         words = LETTERS.findall(text.lower()) if text else []
         if not words or not self.langs:
             return "und", 0.0
-        get = self.tables[0].get
-        known, total = [], np.zeros(len(self.langs))
-        for w in words:
-            k = get(w)
-            if k is None:
-                total += self.back_off(w)
-            else:
-                known.append(k)
-        total += np.bincount(known, minlength=len(self.logs))[:len(self.logs)] @ self.logs if len(known) > 4 * len(self.logs) else self.logs[known].sum(axis=0)
+        places = list(map(self.tables[0].get, words))
+        known = [k for k in places if k is not None]
+        total = self.logs[known].sum(axis=0)
+        if len(known) < len(words):
+            found = [g for g in (self.back_off(w) for w, k in zip(words, places, strict=True) if k is None) if g]
+            sizes = np.fromiter(map(len, found), np.int64, len(found))
+            flat = [k for g in found for k in g]
+            total = total + np.repeat(1.0 / sizes, sizes) @ self.logs[flat]
         best = int(total.argmax())
         share = np.exp((total - total[best]) * min(1.0, SCORE_WORDS / len(words)))
         return self.langs[best], float(1.0 / share.sum())
@@ -112,9 +112,12 @@ def fit(docs: DataFrame, max_rows: int = MAX_ROWS) -> Model:
             for at in range(0, batch.num_rows, STEP):
                 part = batch.slice(at, STEP)
                 seen: Counter = Counter()
+                words: dict[str, Counter] = {}
                 for lang, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                    for w, n in Counter(LETTERS.findall(text.lower())).items():
-                        seen[0, w, lang] += n
+                    words.setdefault(lang, Counter()).update(LETTERS.findall(text.lower()))
+                for lang, own in words.items():
+                    for w, n in own.items():
+                        seen[0, w, lang] = n
                         for size in LENGTHS:
                             for g in grams(w, size):
                                 seen[size, g, lang] += n
