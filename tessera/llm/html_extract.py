@@ -19,7 +19,10 @@ gives no rows; other columns are ignored.
 from __future__ import annotations
 
 import html
+import json
 import re
+import zlib
+from hashlib import blake2b
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -44,6 +47,7 @@ BLOCK = {
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 NESTING = (BLOCK - {"p", "h1", "h2", "h3", "h4", "h5", "h6", "hr"}) | {"span", "td", "th"}
 
+STEP = 64  # pages whose lines are Python objects at one time
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)""", re.S)
 NAMED = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 URL = re.compile(r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)(?::\d*)?([^?#]*)")
@@ -137,70 +141,98 @@ def _common_prefix(a: str, b: str) -> int:
     return next((k for k in range(n) if a[k] != b[k]), n)
 
 
-def _read(pages: DataFrame) -> DataFrame:
-    """(row, page_id, url, host, path, texts, drop, inside, marks) of every page; ``marks`` are line hashes."""
-    from hashlib import blake2b
+#: Identity of a page's row; equal rows share it and have equal lines.
+KEY = ["key", "key2"]
+
+
+def _keyed(pages: DataFrame) -> DataFrame:
+    own = ["page_id", "url", "html"]
+    return pages.select(F.xxhash64(*own).alias("key"), F.hash(*own).alias("key2"), *own)
+
+
+def _marks(pages: DataFrame) -> DataFrame:
+    """(key, key2, host, path, marks) of every page with a host; ``marks`` are line hashes."""
+    def mark(text):
+        return int.from_bytes(blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
 
     def read(batches):
         for batch in batches:
-            for at in range(0, batch.num_rows, 64):
-                part = batch.slice(at, 64)
-                got = [lines(x) for x in part.column(3).to_pylist()]
-                where = [URL.match(x or "") for x in part.column(2).to_pylist()]
-                mark = lambda t: int.from_bytes(blake2b(t.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
+            for at in range(0, batch.num_rows, STEP):
+                part = batch.slice(at, STEP)
+                where = [URL.match(x or "") for x in part.column(3).to_pylist()]
+                marks = [[mark(x[0]) for x in lines(page)] if m else [] for page, m in zip(part.column(4).to_pylist(), where, strict=True)]
                 yield pa.RecordBatch.from_arrays([
-                    part.column(0), part.column(1), part.column(2),
-                    pa.array([m[1].lower() if m else None for m in where], pa.string()), pa.array([m[2] if m else None for m in where], pa.string()),
-                    pa.array([[x[0] for x in g] for g in got], pa.list_(pa.string())), pa.array([[x[1] for x in g] for g in got], pa.list_(pa.bool_())),
-                    pa.array([[x[2] for x in g] for g in got], pa.list_(pa.bool_())), pa.array([[mark(x[0]) for x in g] for g in got], pa.list_(pa.int64()))],
-                    names=["row", "page_id", "url", "host", "path", "texts", "drop", "inside", "marks"])
+                    part.column(0), part.column(1), pa.array([m[1].lower() if m else None for m in where], pa.string()),
+                    pa.array([m[2] if m else None for m in where], pa.string()), pa.array(marks, pa.list_(pa.int64()))],
+                    names=[*KEY, "host", "path", "marks"])
 
-    kind = pages.schema["page_id"].dataType.simpleString()
-    return pages.select(F.monotonically_increasing_id().alias("row"), "page_id", "url", "html").mapInArrow(
-        read, f"row long, page_id {kind}, url string, host string, path string, texts array<string>, drop array<boolean>, inside array<boolean>, marks array<long>")
+    return _keyed(pages).mapInArrow(read, "key long, key2 int, host string, path string, marks array<long>").where("host is not null")
 
 
-def _shared(read: DataFrame) -> DataFrame:
-    """(row, shared): positions of the lines that a page shares with its nearest page.
+def _shared(pages: DataFrame) -> DataFrame:
+    """(key, key2, shared): positions of the lines that a page shares with its nearest page.
 
     Pages are sorted by range partitions, so a host with a third of all pages spreads over
     many tasks; the first and last page of every partition are handed to its neighbours.
     """
-    at = ["host", "path", "row"]
-    keyed = read.where("host is not null").select(*at, "marks").repartitionByRange(*at)
-    keyed = stored(keyed.withColumn("part", F.spark_partition_id()), "page-order")
+    at = ["host", "path", *KEY]
+    keyed = stored(_marks(pages).repartitionByRange(*at).withColumn("part", F.spark_partition_id()), "page-order")
     page = F.struct(*at, "marks")
     in_part, over_parts = Window.partitionBy("part").orderBy(*at), Window.orderBy("part")
     ends = keyed.groupBy("part").agg(F.min(page).alias("first"), F.max(page).alias("last"))  # one row per partition
     ends = ends.select("part", F.lag("last").over(over_parts).alias("above"), F.lead("first").over(over_parts).alias("below"))
     near = (keyed.withColumn("before", F.lag(page).over(in_part)).withColumn("after", F.lead(page).over(in_part)).join(ends, "part")
-            .select("row", "host", "path", "marks", F.coalesce("before", "above").alias("before"), F.coalesce("after", "below").alias("after")))
+            .select(*at, "marks", F.coalesce("before", "above").alias("before"), F.coalesce("after", "below").alias("after")))
 
     def align(batches):
         for batch in batches:
             out = []
-            for host, path, marks, *two in zip(*(batch.column(k).to_pylist() for k in range(1, 6)), strict=True):
+            for host, path, marks, *two in zip(*(batch.column(x).to_pylist() for x in ("host", "path", "marks", "before", "after")), strict=True):
                 two = [x for x in two if x and x["host"] == host]
                 best = max(two, key=lambda x: _common_prefix(path, x["path"]), default=None)
                 out.append(shared_lines(marks, best["marks"]) if best else [])
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.list_(pa.int32()))], names=["row", "shared"])
+            yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("key2"), pa.array(out, pa.list_(pa.int32()))], names=[*KEY, "shared"])
 
-    return near.mapInArrow(align, "row long, shared array<int>")
+    return near.mapInArrow(align, "key long, key2 int, shared array<int>").dropDuplicates(KEY)
+
+
+def main_text(page: list, shared: list[int]) -> str:
+    """The text of a page's (text, in boilerplate, in article) lines without boilerplate and shared lines."""
+    gone = set(shared)
+    article = [t for t, drop, inside in page if inside and not drop]
+    fresh = [t for k, (t, drop, _) in enumerate(page) if not drop and k not in gone]
+    return "\n\n".join(article or fresh or [t for t, drop, _ in page if not drop])
 
 
 def extract(pages: DataFrame) -> DataFrame:
-    """Per page: page_id, url, text, n_chars, n_lines, n_shared (lines shared with the nearest page)."""
-    read = stored(_read(pages), "page-lines")
-    every = F.transform("texts", lambda t, i: F.struct(t.alias("t"), F.get("drop", i).alias("drop"), F.get("inside", i).alias("inside"),
-                                                       F.array_contains("shared", i).alias("shared")))
-    both = read.join(_shared(read), "row", "left").withColumn("shared", F.coalesce("shared", F.array().cast("array<int>"))).withColumn("lines", every)
-    article = F.filter("lines", lambda x: x["inside"] & ~x["drop"])
-    loose = F.filter("lines", lambda x: ~x["drop"])
-    fresh = F.filter("lines", lambda x: ~x["drop"] & ~x["shared"])
-    kept = F.when(F.size(article) > 0, article).when(F.size(fresh) > 0, fresh).otherwise(loose)
-    text = F.array_join(F.transform(kept, lambda x: x["t"]), "\n\n")
-    return both.select("page_id", "url", text.alias("text"), F.size("lines").cast("long").alias("n_lines"), F.size("shared").cast("long").alias("n_shared")).select(
-        "page_id", "url", "text", F.length("text").cast("long").alias("n_chars"), "n_lines", "n_shared")
+    """Per page: page_id, url, text, n_chars, n_lines, n_shared (lines shared with the nearest page).
+
+    The lines travel to the join compressed; they are read from the pages a second time instead of being stored.
+    """
+    kind = pages.schema["page_id"].dataType.simpleString()
+
+    def read(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, STEP):
+                part = batch.slice(at, STEP)
+                got = [zlib.compress(json.dumps(lines(x)).encode(), 3) for x in part.column(4).to_pylist()]
+                yield pa.RecordBatch.from_arrays([*(part.column(k) for k in range(4)), pa.array(got, pa.binary())], names=[*KEY, "page_id", "url", "lines"])
+
+    def write(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, STEP):
+                part = batch.slice(at, STEP)
+                got = [json.loads(zlib.decompress(x)) for x in part.column("lines").to_pylist()]
+                shared = [x or [] for x in part.column("shared").to_pylist()]
+                text = [main_text(page, gone) for page, gone in zip(got, shared, strict=True)]
+                yield pa.RecordBatch.from_arrays([
+                    part.column("page_id"), part.column("url"), pa.array(text, pa.string()), pa.array([len(t) for t in text], pa.int64()),
+                    pa.array([len(x) for x in got], pa.int64()), pa.array([len(x) for x in shared], pa.int64())],
+                    names=["page_id", "url", "text", "n_chars", "n_lines", "n_shared"])
+
+    packed = _keyed(pages).mapInArrow(read, f"key long, key2 int, page_id {kind}, url string, lines binary")
+    both = packed.join(_shared(pages), KEY, "left").select("page_id", "url", "lines", "shared")
+    return both.mapInArrow(write, f"page_id {kind}, url string, text string, n_chars long, n_lines long, n_shared long")
 
 
 def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
