@@ -172,20 +172,20 @@ def top_features(imp: DataFrame, n: int, exclude: list[str]) -> DataFrame:
         F.col("importance").desc(), F.col("source")).limit(n)
 
 
-def rf_classifier(label: str, weight: str | None = None, trees: int = 20, depth: int = 5, seed: int = 42):
+def rf_classifier(label: str, weight: str | None = None, trees: int = 200, depth: int = 16, seed: int = 42):
     """Random forest: sqrt features per split, 30 % rows per tree."""
     rf = RandomForestClassifier(labelCol=label, featuresCol="features", numTrees=trees, maxDepth=depth,
                                 subsamplingRate=0.3, featureSubsetStrategy="sqrt", seed=seed)
     return rf.setWeightCol(weight) if weight else rf
 
 
-def rf_regressor(label: str, trees: int = 20, depth: int = 5, seed: int = 42):
+def rf_regressor(label: str, trees: int = 100, depth: int = 16, seed: int = 42):
     """Random forest regression with all features per split, as sklearn's default."""
     return RandomForestRegressor(labelCol=label, featuresCol="features", numTrees=trees, maxDepth=depth,
                                  featureSubsetStrategy="all", seed=seed)
 
 
-def logistic(label: str, n_rows: int, c: float = 1.0, weight: str | None = None, max_iter: int = 100):
+def logistic(label: str, n_rows: int, c: float = 1.0, weight: str | None = None, max_iter: int = 1000):
     """L2 logistic regression; sklearn's C maps to regParam = 1 / (C * n)."""
     lr = LogisticRegression(labelCol=label, featuresCol="features", regParam=1.0 / (c * max(n_rows, 1)),
                             elasticNetParam=0.0, standardization=False, maxIter=max_iter)
@@ -205,10 +205,10 @@ def tree_classifier(label: str, depth: int = 5, weight: str | None = None):
     return t.setWeightCol(weight) if weight else t
 
 
-def gbt(label: str, iters: int = 20, depth: int = 4, step: float = 0.1, subsample: float = 0.8, weight: str | None = None):
+def gbt(label: str, iters: int = 300, depth: int = 6, step: float = 0.1, subsample: float = 1.0, weight: str | None = None, columns: str = "all"):
     """Gradient-boosted trees in place of XGBoost."""
     g = GBTClassifier(labelCol=label, featuresCol="features", maxIter=iters, maxDepth=depth, stepSize=step,
-                      subsamplingRate=subsample, featureSubsetStrategy="0.8", seed=42)
+                      subsamplingRate=subsample, featureSubsetStrategy=columns, seed=42)
     return g.setWeightCol(weight) if weight else g
 
 

@@ -152,3 +152,10 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
     tot = counts.agg(F.sum("n_c").alias("n"), F.count(F.lit(1)).alias("k"))
     return counts.crossJoin(F.broadcast(tot)).select(
         label, "n_c", (F.col("n") / (F.col("k") * F.col("n_c"))).alias("weight"))
+
+
+def scale_pos_weight(df: DataFrame, label: str) -> DataFrame:
+    """One row: negatives / positives, the weight of a positive row."""
+    pos = F.sum((F.col(label) == 1).cast("long"))
+    return df.agg(pos.alias("positives"), (F.count(F.lit(1)) - pos).alias("negatives")).withColumn(
+        "scale_pos_weight", F.try_divide(F.col("negatives"), F.col("positives").cast("double")))

@@ -18,6 +18,8 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # checkpoints go when nothing refers to them any more
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -31,7 +33,7 @@ def get_spark(master: str | None = None, shuffle_partitions: int = 8,
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     if master and master.startswith("local"):
         # local mode: the driver JVM is the only executor
-        conf["spark.driver.memory"] = "16g"
+        conf["spark.driver.memory"] = "8g"
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
