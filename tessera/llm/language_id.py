@@ -105,7 +105,7 @@ def fit(docs: DataFrame, max_rows: int = MAX_ROWS) -> Model:
     """Model of the labelled rows that are not held out; what reaches the driver is bounded by the limits above."""
     labelled = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~held_out())
     ids = labelled.select(F.col("doc_id").alias("id")).distinct().orderBy(F.xxhash64("id"), "id").limit(max_rows)
-    sample = labelled.join(F.broadcast(ids), F.col("doc_id") == F.col("id")).select("lang", "text")
+    sample = labelled.join(F.broadcast(ids), F.col("doc_id") == F.col("id")).repartition(F.xxhash64("id")).select("lang", "text")
 
     def count(batches):
         for batch in batches:
@@ -125,7 +125,7 @@ def fit(docs: DataFrame, max_rows: int = MAX_ROWS) -> Model:
                 yield pa.RecordBatch.from_arrays([pa.array(kind, pa.int32()), pa.array(feature, pa.string()), pa.array(lang, pa.string()),
                                                   pa.array(list(seen.values()), pa.int64())], names=["kind", "feature", "lang", "n"])
 
-    counts = stored(sample.repartition(F.xxhash64("text")).mapInArrow(count, "kind int, feature string, lang string, n long")
+    counts = stored(sample.mapInArrow(count, "kind int, feature string, lang string, n long")
                     .groupBy("kind", "feature", "lang").agg(F.sum("n").alias("n")), "langid-counts")
     rows = []
     for kind in (0, *LENGTHS):
