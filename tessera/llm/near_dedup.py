@@ -36,7 +36,7 @@ from tessera.sources.tables import table
 
 BINS = 128
 SHINGLE, MIN_PERCENT, ROWS = 3, 85, 5
-HUBS = 8  # per bucket in each round after the first
+HUBS = 6  # per bucket in each round after the first
 NODE_BITS = 1 << 24
 STAND_IN = 1 << 62
 
@@ -212,12 +212,16 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = MIN_PER
     pairs = members.where("id <> hub").select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct()
     edges = stored(_confirmed(pairs, known, sets, percent), "dedup-links")
     comp = components(edges)
+    used = first.select("key", F.col("hub").alias("id"))
     for turn in ("all", "others"):
         labelled = members.join(comp, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
         mixed = labelled.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y"),
                                             F.max(F.when(F.col("id") == F.col("hub"), F.col("comp"))).alias("hub_comp")).where("x < y").select("key", "hub_comp")
         open_ = stored(labelled.join(mixed, "key"), "dedup-open")
-        chosen = hubs(open_.where("id <> hub" if turn == "all" else "comp <> hub_comp"), HUBS).select("key", F.col("id").alias("own"), F.col("comp").alias("own_comp"))
+        fresh = open_.join(used, ["key", "id"], "left_anti")
+        chosen = stored(hubs(fresh if turn == "all" else fresh.where("comp <> hub_comp"), HUBS)
+                        .select("key", F.col("id").alias("own"), F.col("comp").alias("own_comp")), "dedup-hubs")
+        used = used.union(chosen.select("key", "own"))
         pairs = open_.join(chosen, "key").where("id <> own and comp <> own_comp").select(F.least("id", "own").alias("a"), F.greatest("id", "own").alias("b")).distinct()
         edges = stored(edges.union(_confirmed(pairs, known, sets, percent)).distinct(), "dedup-links")
         comp = components(edges)
