@@ -81,11 +81,6 @@ def pct(x, digits: int = 2) -> Column:
     return F.round(_c(x) * 100, digits)
 
 
-def py_round(x, digits: int) -> Column:
-    """Python's round() is half-to-even: ``bround``."""
-    return F.bround(_c(x), digits)
-
-
 # Fixed values of the scoring service.
 RISK_LEVEL_LOW_RATIO = 0.5
 HIGH_BALANCE_USAGE_RATIO = 0.9

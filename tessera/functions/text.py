@@ -34,12 +34,3 @@ def honorific(col: str = "Name") -> Column:
         out = F.when(merged == k, F.lit(v)).otherwise(out)
     return out
 
-
-def contains_ci(col: str, query: str) -> Column:
-    """Literal, case-insensitive substring test (X17); null -> false."""
-    return F.coalesce(F.lower(F.col(col)).contains(F.lit(query.strip().lower())), F.lit(False))
-
-
-def equals_ci(col: str, value: str) -> Column:
-    """Case-insensitive equality."""
-    return F.lower(F.col(col)) == F.lit(value.lower())

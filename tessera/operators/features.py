@@ -45,6 +45,21 @@ AGE_LABELS = ["Child", "Teen", "YoungAdult", "Adult", "Senior"]
 FARE_LABELS = ["Low", "MidLow", "MidHigh", "High"]
 
 
+REQUEST_TO_MODEL = {
+    "transaction_type": "type", "sender_old_balance": "oldbalanceOrg", "receiver_old_balance": "oldbalanceDest", "transaction_hour": "Hour",
+}
+
+
+def drop_leakage(txn: DataFrame) -> DataFrame:
+    """Without the columns that are known only after the event and those that name a party."""
+    return txn.drop(*LEAKAGE_COLUMNS, *IDENTIFIER_COLUMNS)
+
+
+def request_to_model(requests: DataFrame) -> DataFrame:
+    """Request fields under the model's column names; other columns stay."""
+    return requests.withColumnsRenamed(REQUEST_TO_MODEL)
+
+
 def with_hour(txn: DataFrame) -> DataFrame:
     """Hour of day from the simulation step."""
     return txn.withColumn("Hour", X.hour_of_step("step"))

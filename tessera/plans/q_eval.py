@@ -40,6 +40,13 @@ def eval_residuals(spark, sf):
     return p.select("date", "hour", "bike_count", "predicted", (F.col("bike_count") - F.col("predicted")).alias("residual"))
 
 
+@query("eval_residuals_head", f"""WITH {RIDES_PRED_SQL}
+SELECT date, hour, bike_count, predicted, bike_count - predicted AS residual FROM p ORDER BY date, hour, bike_count, predicted LIMIT 20""")
+def eval_residuals_head(spark, sf):
+    """The first rows of actual beside predicted."""
+    return eval_residuals(spark, sf).orderBy("date", "hour", "bike_count", "predicted").limit(20)
+
+
 CELLS = """count(*) FILTER (WHERE isFraud = 1 AND score >= {t}) AS tp, count(*) FILTER (WHERE isFraud = 0 AND score >= {t}) AS fp,
        count(*) FILTER (WHERE isFraud = 1 AND score < {t}) AS fn, count(*) FILTER (WHERE isFraud = 0 AND score < {t}) AS tn"""
 RATES = """round(coalesce(tp / nullif(tp + fp, 0), 0), 6) AS precision, round(coalesce(tp / nullif(tp + fn, 0), 0), 6) AS recall,

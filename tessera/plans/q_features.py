@@ -325,6 +325,26 @@ def prj_drop_leakage(spark, sf):
     return view(spark, sf, "churn").drop("customer_id")
 
 
+@query("prj_drop_leakage_txn", "SELECT * FROM txn")
+def prj_drop_leakage_txn(spark, sf):
+    """Balances after the event, the flag and the party names go."""
+    t = view(spark, sf, "txn")
+    full = t.withColumns({"newbalanceOrig": F.col("oldbalanceOrg") - F.col("amount"), "newbalanceDest": F.col("oldbalanceDest") + F.col("amount"),
+                          "isFlaggedFraud": F.lit(0), "nameOrig": F.concat(F.lit("C"), "txn_order"), "nameDest": F.concat(F.lit("M"), "txn_supp")})
+    return FE.drop_leakage(full)
+
+
+@query("request_rename", f"""
+SELECT {TK}, type, amount, oldbalanceOrg, oldbalanceDest, CAST(((step - 1) % 24 + 24) % 24 AS INT) AS Hour FROM txn""")
+def request_rename(spark, sf):
+    return FE.request_to_model(_requests(spark, sf)).select(*TXN_KEYS, "type", "amount", "oldbalanceOrg", "oldbalanceDest", F.col("Hour").cast("int").alias("Hour"))
+
+
+@query("fmt_percent", f"SELECT {TK}, round(score * 100, 2) AS score_pct FROM txn")
+def fmt_percent(spark, sf):
+    return view(spark, sf, "txn").select(*TXN_KEYS, X.pct("score").alias("score_pct"))
+
+
 @query("prj_map_label", """
 SELECT customer_id, CASE churn_label WHEN 'Yes' THEN 1 WHEN 'No' THEN 0 END AS churn,
        CASE WHEN (CASE churn_label WHEN 'Yes' THEN 1 WHEN 'No' THEN 0 END) = 1 THEN 'Yes' ELSE 'No' END AS churn_text

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators import quality as Q
 from tessera.operators import recommend as R
-from tessera.plans.q_recommend import CF_SQL
+from tessera.plans.q_recommend import CF_SQL, META_SQL
 from tessera.plans.registry import query
 from tessera.session import scratch_dir
 from tessera.sources import files as FS
@@ -110,3 +110,29 @@ def sim_table_roundtrip(spark, sf):
     path = FS.write_parquet_partitioned(sims, scratch_dir(spark, "item-sim"), "item_i")
     back = spark.read.parquet(path)
     return back.select("item_i", "item_j", F.round("similarity", 6).alias("similarity"))
+
+
+@query("metadata_roundtrip", f"""
+WITH {META_SQL}
+SELECT item_id, title, clean_title, release_year, rating_count, round(rating_mean, 6) AS rating_mean,
+       list_sort(genres) AS genres_sorted FROM meta""")
+def metadata_roundtrip(spark, sf):
+    """Item metadata saved as Parquet and loaded back."""
+    meta = R.item_metadata(view(spark, sf, "items"), Q.clean_ratings(view(spark, sf, "ratings"), RATING_ORDER))
+    path = scratch_dir(spark, "item-metadata")
+    meta.write.parquet(path)
+    m = spark.read.schema(meta.schema).parquet(path)
+    return m.select("item_id", "title", "clean_title", "release_year", "rating_count", F.round("rating_mean", 6).alias("rating_mean"),
+                    F.array_sort("genres").alias("genres_sorted"))
+
+
+@query("features_roundtrip", """
+SELECT date, hour, bike_count, CAST(hour IN (7, 8, 17, 18, 19, 20) AS INT) AS IsRushHour,
+       CAST(coalesce(rainfall > 0, false) OR coalesce(snowfall > 0, false) AS INT) AS IsPrecipitation FROM rides""")
+def features_roundtrip(spark, sf):
+    """Ride features saved as Parquet and loaded back."""
+    from tessera.operators.features import ride_features
+    feats = ride_features(view(spark, sf, "rides"), severity=False)
+    path = scratch_dir(spark, "ride-features")
+    feats.write.parquet(path)
+    return spark.read.schema(feats.schema).parquet(path).select("date", "hour", "bike_count", "IsRushHour", "IsPrecipitation")
