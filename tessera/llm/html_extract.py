@@ -196,12 +196,16 @@ def _shared(pages: DataFrame) -> DataFrame:
     return near.mapInArrow(align, "key long, key2 int, shared array<int>").dropDuplicates(KEY)
 
 
-def main_text(page: list, shared: list[int]) -> str:
-    """The text of a page's (text, in boilerplate, in article) lines without boilerplate and shared lines."""
+def candidates(page: list) -> list[tuple[int, str]]:
+    """(position, text) of the lines that may be main text; lines of an article have position -1, as sharing does not remove them."""
+    article = [(-1, t) for t, drop, inside in page if inside and not drop]
+    return article or [(k, t) for k, (t, drop, _) in enumerate(page) if not drop]
+
+
+def main_text(found: list, shared: list[int]) -> str:
+    """The candidate lines that are not shared, or all of them if none is left."""
     gone = set(shared)
-    article = [t for t, drop, inside in page if inside and not drop]
-    fresh = [t for k, (t, drop, _) in enumerate(page) if not drop and k not in gone]
-    return "\n\n".join(article or fresh or [t for t, drop, _ in page if not drop])
+    return "\n\n".join([t for k, t in found if k not in gone] or [t for _, t in found])
 
 
 def extract(pages: DataFrame) -> DataFrame:
@@ -215,23 +219,25 @@ def extract(pages: DataFrame) -> DataFrame:
         for batch in batches:
             for at in range(0, batch.num_rows, STEP):
                 part = batch.slice(at, STEP)
-                got = [zlib.compress(json.dumps(lines(x)).encode(), 3) for x in part.column(4).to_pylist()]
-                yield pa.RecordBatch.from_arrays([*(part.column(k) for k in range(4)), pa.array(got, pa.binary())], names=[*KEY, "page_id", "url", "lines"])
+                read_lines = [lines(x) for x in part.column(4).to_pylist()]
+                got = [zlib.compress(json.dumps(candidates(x), ensure_ascii=False).encode("utf-8", "surrogatepass"), 6) for x in read_lines]
+                yield pa.RecordBatch.from_arrays([*(part.column(k) for k in range(4)), pa.array(got, pa.binary()), pa.array([len(x) for x in read_lines], pa.int64())],
+                                                 names=[*KEY, "page_id", "url", "lines", "n_lines"])
 
     def write(batches):
         for batch in batches:
             for at in range(0, batch.num_rows, STEP):
                 part = batch.slice(at, STEP)
-                got = [json.loads(zlib.decompress(x)) for x in part.column("lines").to_pylist()]
+                got = [json.loads(zlib.decompress(x).decode("utf-8", "surrogatepass")) for x in part.column("lines").to_pylist()]
                 shared = [x or [] for x in part.column("shared").to_pylist()]
-                text = [main_text(page, gone) for page, gone in zip(got, shared, strict=True)]
+                text = [main_text(found, gone) for found, gone in zip(got, shared, strict=True)]
                 yield pa.RecordBatch.from_arrays([
                     part.column("page_id"), part.column("url"), pa.array(text, pa.string()), pa.array([len(t) for t in text], pa.int64()),
-                    pa.array([len(x) for x in got], pa.int64()), pa.array([len(x) for x in shared], pa.int64())],
+                    part.column("n_lines"), pa.array([len(x) for x in shared], pa.int64())],
                     names=["page_id", "url", "text", "n_chars", "n_lines", "n_shared"])
 
-    packed = _keyed(pages).mapInArrow(read, f"key long, key2 int, page_id {kind}, url string, lines binary")
-    both = packed.join(_shared(pages), KEY, "left").select("page_id", "url", "lines", "shared")
+    packed = _keyed(pages).mapInArrow(read, f"key long, key2 int, page_id {kind}, url string, lines binary, n_lines long")
+    both = packed.join(_shared(pages), KEY, "left").select("page_id", "url", "lines", "n_lines", "shared")
     return both.mapInArrow(write, f"page_id {kind}, url string, text string, n_chars long, n_lines long, n_shared long")
 
 
