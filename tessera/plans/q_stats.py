@@ -465,7 +465,7 @@ def user_stats(spark, sf):
     return c.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_ratings"), r6(F.avg("rating")).alias("mean_rating"))
 
 
-@query("prj_select_dtypes", f"SELECT {', '.join(RIDE_NUM + ['hour'])} FROM rides")
+@query("prj_select_dtypes", f"SELECT {', '.join(RIDE_NUM)} FROM rides")
 def prj_select_dtypes(spark, sf):
     r = view(spark, sf, "rides")
     return r.select(*S.numeric_columns(r))
