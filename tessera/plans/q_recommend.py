@@ -316,7 +316,7 @@ SELECT user_id, item_id, rating FROM clean
 WHERE item_id IN (SELECT item_id FROM clean GROUP BY item_id HAVING count(*) >= 30)""")
 def semi_eligible(spark, sf):
     c = _clean(spark, sf)
-    return c.select("user_id", "item_id", "rating").join(R.eligible_items(c), "item_id", "left_semi")
+    return c.select("user_id", "item_id", "rating").join(R.eligible_items(c, HYBRID_MIN), "item_id", "left_semi")
 
 
 @query("anti_seen", f"""
