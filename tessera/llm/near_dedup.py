@@ -10,9 +10,10 @@ never meet as pairs.  In a bucket, members are compared with hubs (a star), not
 other.  A member's degree is the sum of the sizes of its buckets, so the text closest to all others of a
 group, such as the one they were copied from, has the largest degree and is the first hub.
 Components are formed from the links found; buckets that still hold several components get ``HUBS``
-more hubs, first of all members, then of those outside the first hub's component.  So the pairs
-grow with the members of the buckets, not with their square, and buckets of up to ``HUBS`` + 1 members
-are compared in full.  A pair whose signatures rule out the threshold by five standard errors, or whose
+more hubs, first of all members, then of those outside the first hub's component.  Members that were no hub
+of a bucket in which they still face another component are then joined exactly: pairs that share a rare
+shingle within the prefixes that the threshold and the set sizes allow.  So the pairs of the hubs grow with the
+members of the buckets, not with their square, and no pair of a bucket is left out.  A pair whose signatures rule out the threshold by five standard errors, or whose
 set sizes do, is not a link; all other pairs are confirmed on their full sets.
 
 Defined cases: documents without words have an empty set and are linked with nothing; fewer
@@ -39,6 +40,9 @@ SHINGLE, MIN_PERCENT, ROWS = 3, 85, 5
 HUBS = 6  # per bucket in each round after the first
 NODE_BITS = 1 << 24
 STAND_IN = 1 << 62
+COUNTERS = 1 << 20  # counts of shingles of the exact join, shared by hash: they only set an order and a number of blocks
+BLOCK = 2000  # rows of a shingle that meet in one block
+STEP = 512  # sets whose prefixes are made at one time
 
 _rng = np.random.default_rng(7)
 _ORDER = np.argsort(_rng.random((BINS, BINS)), axis=1)
@@ -165,6 +169,59 @@ def _confirmed(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int
     return full.select("a", "b", "seta", "setb").mapInArrow(link, "a long, b long").distinct()
 
 
+def _prefix_pairs(rest: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of ``rest`` (id, comp) that differ in ``comp`` and whose shared prefix shingle allows a link.
+
+    Shingles are ordered by rarity.  Of two sets that are a link, the larger one's first n - ceil(t n) + 1 and the
+    smaller one's first n - ceil(2 t n / (1 + t)) + 1 shingles have one in common, at places that leave room for the
+    overlap needed.  A shingle's rows are dealt over blocks, so that no task gets all of a common one.
+    """
+    own = stored(sets.join(rest, "id").dropDuplicates(["id", "set"]), "dedup-rest-sets")
+    mask = W.U(COUNTERS - 1)
+
+    def slots(batches):
+        for batch in batches:
+            slot, n = np.unique(np.frombuffer(b"".join(batch.column(0).to_pylist()), "<u8") & mask, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(slot.astype(np.int32)), pa.array(n.astype(np.int64))], names=["slot", "n"])
+
+    got = own.select("set").mapInArrow(slots, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()  # at most COUNTERS rows
+    counts = np.zeros(COUNTERS, np.int64)
+    counts[got.column("slot").to_numpy()] = got.column("n").to_numpy()
+    shared = rest.sparkSession.sparkContext.broadcast(counts)
+
+    def prefixes(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, STEP):
+                part = batch.slice(at, STEP)
+                ids = part.column("id").to_numpy()
+                out = []
+                for k, x in enumerate(part.column("set").to_pylist()):
+                    u = np.frombuffer(x, "<u8")
+                    n, c = len(u), shared.value[u & mask]
+                    first = np.lexsort((u, c))[:n + (-percent * n) // 100 + 1]
+                    pos = np.flatnonzero(c[first] > 1)
+                    blocks = -(-c[first[pos]] // BLOCK)
+                    out.append((u[first[pos]].view(np.int64), np.full(len(pos), k), np.full(len(pos), n), pos,
+                                pos <= n + (-2 * percent * n) // (100 + percent), blocks))
+                shingle, row, n, pos, short, blocks = (np.concatenate(x) for x in zip(*out, strict=True))
+                block = (W.mix(ids[row].view(np.uint64)) % blocks.astype(np.uint64)).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(shingle), pa.array(ids[row]), part.column("comp").take(pa.array(row)),
+                                                  *(pa.array(x) for x in (n, pos, short, blocks, block))],
+                                                 names=["shingle", "id", "comp", "n", "pos", "short", "blocks", "block"])
+
+    kept = stored(own.select("id", "comp", "set").mapInArrow(
+        prefixes, "shingle long, id long, comp long, n long, pos long, short boolean, blocks long, block long"), "dedup-prefixes")
+
+    def side(rows, s, here, other):
+        named = [F.col(x).alias(x + s) for x in ("id", "comp", "n", "pos")]
+        return rows.select("shingle", *named, F.col("block").alias(here), F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias(other))
+
+    room = F.expr(f"least(nx - posx, ny - posy) * {100 + percent} >= {percent} * (nx + ny)")
+    both = side(kept.where("short"), "x", "bx", "by").join(side(kept, "y", "by", "bx"), ["shingle", "bx", "by"])
+    both = both.where(F.expr(f"compx <> compy and (nx < ny or nx = ny and idx < idy) and nx * 100 >= ny * {percent}") & room)
+    return both.select(F.least("idx", "idy").alias("a"), F.greatest("idx", "idy").alias("b")).distinct()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(id, comp) of every node of ``edges`` (a, b): the smallest id of its component, by alternating star contractions.
 
@@ -225,6 +282,11 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = MIN_PER
         pairs = open_.join(chosen, "key").where("id <> own and comp <> own_comp").select(F.least("id", "own").alias("a"), F.greatest("id", "own").alias("b")).distinct()
         edges = stored(edges.union(_confirmed(pairs, known, sets, percent)).distinct(), "dedup-links")
         comp = components(edges)
+    labelled = members.select("key", "id").join(used, ["key", "id"], "left_anti").join(comp, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
+    mixed = labelled.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x < y").select("key")
+    rest = stored(labelled.join(mixed, "key", "left_semi").select("id", "comp").distinct(), "dedup-rest")
+    pairs = _prefix_pairs(rest, sets, percent)
+    comp = components(stored(edges.union(_confirmed(pairs, known, sets, percent)).distinct(), "dedup-links"))
 
     class_comp = classes.select("n", "h1", "h2", F.col("id").alias("rep")).join(comp.select(F.col("id").alias("rep"), "comp"), "rep", "left").select(
         "n", "h1", "h2", F.coalesce("comp", "rep").alias("comp"))

@@ -116,6 +116,41 @@ def test_small_buckets_are_compared_in_full(spark):
     assert [got[i] for i in ids] == want
 
 
+def test_many_groups_in_common_buckets(spark):
+    """More groups than the hubs of a bucket can reach."""
+    rng = random.Random(4)
+    common = [f"c{i}" for i in range(120)]
+    texts = [" ".join(common + [f"u{g}_{i}" for i in range(30)] + ([f"v{k}"] if k else [])) for g in range(8) for k in range(3)]
+    ids = list(range(len(texts)))
+    rng.shuffle(ids)
+    want, _ = brute_components(texts, ids)
+    got = {r.doc_id: r.component_id for r in near_dedup.near_duplicates(table(spark, texts, ids)).collect()}
+    assert [got[i] for i in ids] == want
+
+
+@pytest.mark.parametrize("block", [2000, 7])
+def test_pairs_inside_a_crowd_below_the_threshold(spark, monkeypatch, block):
+    """Hundreds of edits of one template, most of similarity 0.8, of which some have a near copy."""
+    monkeypatch.setattr(near_dedup, "BLOCK", block)
+    rng = random.Random(6)
+    base = [f"w{i}" for i in range(200)]
+    texts = []
+    for k in range(300):
+        edit = list(base)
+        for j in rng.sample(range(200), 4):
+            edit[j] = f"x{k}_{j}"
+        texts.append(" ".join(edit))
+        if k % 3 == 0:
+            edit[rng.randrange(200)] = f"y{k}"
+            texts.append(" ".join(edit[rng.randint(0, 1):]))
+    ids = list(range(len(texts)))
+    rng.shuffle(ids)
+    want, _ = brute_components(texts, ids)
+    assert 250 <= len(set(want)) <= 300
+    got = {r.doc_id: r.component_id for r in near_dedup.near_duplicates(table(spark, texts, ids)).collect()}
+    assert [got[i] for i in ids] == want
+
+
 def test_large_group_of_near_copies(spark):
     """Copies with a few changed words link to their source, not to each other."""
     rng = random.Random(12)
