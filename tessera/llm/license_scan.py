@@ -6,8 +6,11 @@ matches consumes its identifiers, so a longer rule goes before the rules it cont
 identifiers that no rule takes count as unmatched.
 
 Normalised: lower case, every run of characters other than a-z, 0-9, ``.`` and ``-`` is one
-space, no ``.`` or space at either end.  Sentences end at a line break, or at
-``. ! ? ;`` before white space.
+space, no ``.`` or space at either end.  Sentences end at ``. ! ? ;`` before white space (not inside
+``v. 2.0``), at ``:`` before a line break, at a blank line and after a copyright line; single line breaks and
+comment leaders are white space.  A sentence that is not known as a whole is read line by line, so one-line
+notices need no punctuation around them.
+The SQL reads one-line sentences only: the same result on texts without wrapped notices.
 
 Defined cases: null and empty texts have no sentences; every row of the input gives one row
 (equal rows too); other columns are ignored; an empty table gives no rows.
@@ -49,6 +52,15 @@ SENTENCES = {
     "spdx-apache": "spdx-license-identifier apache-2.0",
     "spdx-gpl3": "spdx-license-identifier gpl-3.0-or-later",
 }
+# Other published spellings, normalised, of the same sentences.
+_GPL = "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation "
+PUBLISHED = {
+    "licensed under the apache license version 2.0 the license": "apache-short",
+    **{start + _GPL + SENTENCES[name]: name for name in ("gpl2-or-later", "gpl3-or-later") for start in ("", "this program is free software ")},
+    **{"this work is " + SENTENCES[name]: name for name in ("cc-by-4", "cc-by-nc-4", "cc-by-sa-4")},
+    **{f"this work is licensed under {a} creative commons {said} 4.0 international license": name for a in ("a", "the") for said, name in
+       (("attribution", "cc-by-4"), ("attribution-noncommercial", "cc-by-nc-4"), ("attribution-sharealike", "cc-by-sa-4"))},
+}
 # Licence rules in the order of matching.
 RULES = [
     ("Apache-2.0", ["apache-short", "apache-notice", "apache-copy", "apache-as-is", "apache-limits"]),
@@ -71,6 +83,9 @@ RULES = [
 #: Every known sentence holds one of these, so a text without any of them has no known sentence.
 MARKERS = ("licens", "permission", "copyright", "warrant", "compliance", "redistribution")
 
+LEADER = r"(?m)^[ \t]*(?:<!--|/\*+|\*+/?|//+|#+|--+>?|-(?=[ \t])|;+|%+|(?:dnl|rem)(?=[ \t]|$))[ \t]*"
+COPYRIGHT = r"(?m)^([ \t]*copyright[ \t]+(?:\(c\)|©|[\[<]|[0-9]).*)$"
+
 
 def sentence_ids(docs: DataFrame, text_col: str = "text") -> F.Column:
     """Identifiers of the known sentences of a text, in order."""
@@ -78,11 +93,17 @@ def sentence_ids(docs: DataFrame, text_col: str = "text") -> F.Column:
     marked = None
     for m in MARKERS:
         marked = low.contains(m) if marked is None else marked | low.contains(m)
-    lines = F.regexp_replace(low, r"([.!?;])[ \t\n\x0B\f\r]+", "$1\n")
-    sentences = F.filter(F.split(lines, "[\n\r]+"), lambda x: F.greatest(*[x.contains(m) for m in MARKERS]))
-    plain = F.transform(sentences, lambda x: F.regexp_replace(F.regexp_replace(x, "[^a-z0-9.-]+", " "), "^[. ]+|[. ]+$", ""))
-    known = F.create_map(*[F.lit(x) for name, said in SENTENCES.items() for x in (said, name)])
-    ids = F.filter(F.transform(plain, lambda x: F.try_element_at(known, x)), lambda x: x.isNotNull())
+    bare = F.regexp_replace(F.regexp_replace(low, "\r\n?", "\n"), LEADER, "")
+    whole = F.regexp_replace(F.regexp_replace(bare, r"\bv\.[ \t\n\x0B\f]+([0-9])", "v.\t$1"), COPYRIGHT, "$1\n\n")
+    ended = F.regexp_replace(F.regexp_replace(whole, r":[ \t]*\n", ":\n\n"), r"([!?;]|(?<!\bv)\.|(?<=\bv)\.(?!\t[0-9]))[ \t\n\x0B\f]+", "$1\n\n")
+    said_as = {said: name for name, said in SENTENCES.items()} | PUBLISHED
+    known = F.create_map(*[F.lit(x) for pair in said_as.items() for x in pair])
+    has_marker = lambda x: F.greatest(*[x.contains(m) for m in MARKERS])
+    named = lambda x: F.try_element_at(known, F.regexp_replace(F.regexp_replace(x, "[^a-z0-9.-]+", " "), "^[. ]+|[. ]+$", ""))
+    by_line = lambda x: F.transform(F.filter(F.split(x, "\n"), has_marker), named)
+    sentences = F.filter(F.split(ended, r"\n[ \t\x0B\f]*\n[ \t\n\x0B\f]*"), has_marker)
+    found = F.flatten(F.transform(sentences, lambda x: F.when(named(x).isNotNull(), F.array(named(x))).otherwise(by_line(x))))
+    ids = F.filter(found, lambda x: x.isNotNull())
     return F.when(marked, ids).otherwise(F.array().cast("array<string>"))
 
 

@@ -49,6 +49,73 @@ def test_license_longer_rule_first(spark):
     assert out[2].licenses == "MIT;MIT;MIT"
 
 
+PUBLISHED = {
+    "Apache-2.0": """Copyright 2020 Some Body
+Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License.""",
+    "MIT": """The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE.""",
+    "GPL-3.0-or-later": """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details.
+
+You should have received a copy of the GNU General Public License
+along with this program.  If not, see <https://www.gnu.org/licenses/>.""",
+    "BSD-3-Clause": """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.""",
+    "MPL-2.0": """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/.""",
+    "CC-BY-NC-4.0": "This work is licensed under a Creative Commons\nAttribution-NonCommercial 4.0 International License.",
+    "CC-BY-4.0": "This work is licensed under\nCC BY 4.0.",
+    "CC-BY-SA-4.0": "Licensed under\nCC BY-SA 4.0",
+    "GPL-3.0-only": "This work is licensed under the GNU General\nPublic License, version 3.",
+}
+PUBLISHED["GPL-2.0-or-later"] = (PUBLISHED["GPL-3.0-or-later"].replace("software:", "software;").replace("version 3", "version 2")
+                                 .replace("program.  If not, see", "program; if not, write to"))
+PUBLISHED["BSD-2-Clause"] = PUBLISHED["BSD-3-Clause"].split("3. ")[0]
+
+
+@pytest.mark.parametrize("leader", ["", " * ", "// ", "# ", "-- ", ";; "])
+def test_wrapped_published_notices(spark, leader):
+    names = list(PUBLISHED)
+    texts = ["\r\n".join(leader + x for x in PUBLISHED[n].split("\n")) for n in names]
+    texts += ["\n".join(leader + x for x in ("A title", "SPDX-License-Identifier: MIT", "Released under the MIT License", "more"))]
+    out = {r.doc_id: r for r in license_scan.scan(docs(spark, texts)).collect()}
+    assert [(out[i].licenses, out[i].n_unmatched) for i in range(len(texts))] == [*((n, 0) for n in names), ("MIT;MIT", 0)]
+
+
 def test_empty_tables(spark):
     none = docs(spark, [])
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
