@@ -9,7 +9,8 @@ Two rules keep the result right where the difference alone is wrong.  Lines in e
 tag, role, class or id says what they are (menus, headers, footers, sidebars, notices, adverts, forms,
 scripts, styles, comments) go even if the pair does not share them.  Lines inside an
 article element (or ``main`` without one) stay even if the pair shares them, as two pages may carry one
-article; lines outside it go.  A page of which nothing would be left keeps its lines.
+article; lines outside it go.  What an article stands in says nothing about it, unless the page has another one
+outside all such elements (teasers in a sidebar).  A page of which nothing would be left keeps its lines.
 
 Defined cases: null and empty html give an empty text; a null or relative URL has no neighbour; equal
 rows and null ids are ordinary rows; broken or cut-off markup is closed as it ends; an empty table
@@ -39,6 +40,8 @@ BOILERPLATE_WORDS = {
     "disqus", "footer", "header", "masthead", "menu", "modal", "nav", "navbar", "navigation", "newsletter", "notice", "notices", "popup", "promo",
     "related", "search", "share", "sharing", "sidebar", "skip", "social", "sponsor", "sponsored", "subscribe", "toolbar", "widget",
 }
+STATES = {"has", "no", "with", "without", "is", "not"}  # "has-sidebar" is no sidebar
+CONTENTS = {"layout", "page", "result", "results"}  # "search-results" are no search form
 BLOCK = {
     "address", "article", "aside", "blockquote", "body", "caption", "center", "dd", "details", "dialog", "div", "dl", "dt", "fieldset", "figcaption",
     "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "head", "header", "hr", "html", "legend", "li", "main", "menu", "nav", "ol", "p",
@@ -47,23 +50,29 @@ BLOCK = {
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 NESTING = (BLOCK - {"p", "h1", "h2", "h3", "h4", "h5", "h6", "hr"}) | {"span", "td", "th"}
 
+MAY_STAY_OPEN = {"noscript", "svg", "select", "button"}  # without an end of their own they hold nothing
+UNCLOSED = re.compile(r"<(?:article|main|section|h[1-6]|select|button|/?body)\b", re.I)
+
 STEP = 64  # pages whose lines are Python objects at one time
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)""", re.S)
 NAMED = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 URL = re.compile(r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)(?::\d*)?([^?#]*)")
 
 
-def _marked(attributes: str) -> bool:
+def _marked(attributes: str, inside: bool) -> bool:
+    """Whether a name in class, id or role starts or ends with a listed word; a header inside an article belongs to it."""
+    words = BOILERPLATE_WORDS - {"header"} if inside else BOILERPLATE_WORDS
     for m in NAMED.finditer(attributes):
-        value = next(x for x in m.groups("") if x) if any(m.groups("")) else ""
-        if BOILERPLATE_WORDS & set(re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", value).lower())):
-            return True
+        for name in "".join(m.groups("")).split():
+            parts = [x for x in re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", name).lower()) if x]
+            if parts and parts[0] not in STATES and parts[-1] not in CONTENTS and (parts[0] in words or parts[-1] in words):
+                return True
     return False
 
 
 def lines(page: str | None) -> list[tuple[str, bool, bool]]:
     """(text, in boilerplate, in article or main) of every non-empty block, in page order."""
-    out: list[tuple[str, bool, str]] = []
+    out: list[tuple[str, bool, bool, str]] = []  # text, in boilerplate, in boilerplate of its own article, container
     text: list[str] = []
     open_: list[tuple[str, bool]] = []  # element, boilerplate
     at = 0
@@ -74,7 +83,8 @@ def lines(page: str | None) -> list[tuple[str, bool, bool]]:
         text.clear()
         if said:
             names = [x[0] for x in open_]
-            out.append((said, any(x[1] for x in open_), "article" if "article" in names else "main" if "main" in names else ""))
+            own = max((k for k, x in enumerate(names) if x in ("article", "main")), default=0)
+            out.append((said, any(x[1] for x in open_), any(x[1] for x in open_[own:]), "article" if "article" in names else "main" if "main" in names else ""))
 
     while m := TOKEN.search(page, at):
         text.append(page[at:m.start()])
@@ -96,7 +106,10 @@ def lines(page: str | None) -> list[tuple[str, bool, bool]]:
         if name in RAW:
             if not attributes.endswith("/"):
                 end = re.compile(rf"</{name}\b[^>]*(?:>|\Z)", re.I).search(page, at)
-                at = end.end() if end else len(page)
+                if name not in MAY_STAY_OPEN:
+                    at = end.end() if end else len(page)
+                elif end and not UNCLOSED.search(page, at, end.start()):
+                    at = end.end()
             text.append(" ")
             continue
         if name in BLOCK:
@@ -105,11 +118,14 @@ def lines(page: str | None) -> list[tuple[str, bool, bool]]:
             text.append(" ")
         if name in NESTING and not attributes.endswith("/"):
             inside = any(x[0] in ("article", "main") for x in open_)
-            open_.append((name, name in BOILERPLATE_TAGS or name == "header" and not inside or bool(attributes) and name not in ("html", "body") and _marked(attributes)))
+            open_.append((name, name in BOILERPLATE_TAGS or name == "header" and not inside or bool(attributes) and name not in ("html", "body") and _marked(attributes, inside)))
     text.append(page[at:])
     flush()
-    container = "article" if any(x[2] == "article" and not x[1] for x in out) else "main"
-    return [(t, dropped, where == container) for t, dropped, where in out]
+    for mark in (1, 2):
+        for container in ("article", "main"):
+            if any(x[3] == container and not x[mark] for x in out):
+                return [(x[0], x[mark] if x[3] == container else x[1], x[3] == container) for x in out]
+    return [(x[0], x[1], x[3] == "main") for x in out]
 
 
 def shared_lines(a: list, b: list) -> list[int]:
@@ -199,7 +215,8 @@ def _shared(pages: DataFrame) -> DataFrame:
 def candidates(page: list) -> list[tuple[int, str]]:
     """(position, text) of the lines that may be main text; lines of an article have position -1, as sharing does not remove them."""
     article = [(-1, t) for t, drop, inside in page if inside and not drop]
-    return article or [(k, t) for k, (t, drop, _) in enumerate(page) if not drop]
+    kept = article or [(k, t) for k, (t, drop, _) in enumerate(page) if not drop]
+    return kept or [(k, t) for k, (t, _, _) in enumerate(page)]
 
 
 def main_text(found: list, shared: list[int]) -> str:

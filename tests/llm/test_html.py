@@ -43,6 +43,17 @@ def test_lines_of_broken_markup():
     assert [x[0] for x in H.lines("a < b <3 x<p>y</p")] == ["a < b <3 x", "y"]
 
 
+@pytest.mark.parametrize("page", [
+    '<div class="layout has-sidebar"><article><p>one</article></div>', '<main class="no-sidebar"><p>one</main>', '<div id="search-results"><p>one</div>',
+    '<article class="post has-comments"><p>one</article>', '<form><nav>menu</nav><article><p>one</article></form>', '<form><p>one</form>',
+    '<article><div class="entry-header"><h1>one</h1></div></article>', '<div class="sidebar-wrap widget"><main>one</main></div>',
+    '<aside><article>teaser</article></aside><article>one</article>', '<article>one<div class="site-nav">x</div><div id="adSlot">y</div></article>',
+    *[f"<{x}><article><p>one</article>" for x in ("button", "select", "svg", "noscript")],
+    *[f"<{x}>menu<article><p>one</article><{x}>menu</{x}>" for x in ("button", "select")], "<button>menu</button><article>one</article>"])
+def test_wrappers_do_not_empty_a_page(page):
+    assert H.main_text(H.candidates(H.lines(page)), []) == "one"
+
+
 def test_differencing_without_article(spark):
     head, foot = "<div>Site name</div><div>All rights</div>", "<div>Contact</div>"
     rows = [(k, f"http://h.example/a/{k}", f"{head}<p>body {k} first</p><p>body {k} second</p>{foot}") for k in range(12)]
