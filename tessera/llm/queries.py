@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tessera.llm.bm25 import op10_bm25_search
 from tessera.llm.decontaminate import op8_decontamination
+from tessera.llm.divergence import divergence_sql, op12_source_divergence
 from tessera.llm.html_extract import op5_html_extraction
 from tessera.llm.language_id import op6_language_id
 from tessera.llm.license_scan import license_sql, op1_license_scan
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_near_dedup": op9_near_dedup,
     "op10_bm25_search": op10_bm25_search,
+    "op12_source_divergence": op12_source_divergence,
 }
 
 
@@ -34,4 +36,4 @@ def pipeline(spark, sf_dir):
 
 
 QUERIES["pipeline"] = pipeline
-ORACLE = {"op1_license_scan": license_sql()}
+ORACLE = {"op1_license_scan": license_sql(), "op12_source_divergence": divergence_sql()}
