@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tessera.llm.bm25 import op10_bm25_search
+from tessera.llm.conversation_trie import op13_conversation_trie, trie_sql
 from tessera.llm.decontaminate import op8_decontamination
 from tessera.llm.divergence import divergence_sql, op12_source_divergence
 from tessera.llm.html_extract import op5_html_extraction
@@ -26,6 +27,7 @@ QUERIES = {
     "op9_near_dedup": op9_near_dedup,
     "op10_bm25_search": op10_bm25_search,
     "op12_source_divergence": op12_source_divergence,
+    "op13_conversation_trie": op13_conversation_trie,
 }
 
 
@@ -36,4 +38,5 @@ def pipeline(spark, sf_dir):
 
 
 QUERIES["pipeline"] = pipeline
-ORACLE = {"op1_license_scan": license_sql(), "op12_source_divergence": divergence_sql()}
+ORACLE = {"op1_license_scan": license_sql(), "op12_source_divergence": divergence_sql(),
+          "op13_conversation_trie": trie_sql()}
