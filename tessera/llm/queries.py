@@ -14,6 +14,7 @@ from tessera.llm.mixing import op4_mixing
 from tessera.llm.near_dedup import op9_near_dedup
 from tessera.llm.secret_scan import op3_secret_scan
 from tessera.llm.sharding import op2_sharding
+from tessera.llm.token_counts import op11_token_counts
 
 QUERIES = {
     "op1_license_scan": op1_license_scan,
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_near_dedup": op9_near_dedup,
     "op10_bm25_search": op10_bm25_search,
+    "op11_token_counts": op11_token_counts,
     "op12_source_divergence": op12_source_divergence,
     "op13_conversation_trie": op13_conversation_trie,
 }
