@@ -14,7 +14,7 @@ Only what the chunks share is shuffled: no text and no row per document and pre-
 of every document has one row per chunk.
 
 Texts are normalised and cut by the tokenizer's own parts.  Where these are the ones in ``KNOWN`` and a
-text holds nothing beyond U+024F, one regular expression does the same faster: such characters have
+text holds nothing beyond U+017F, one regular expression does the same faster: such characters have
 no compositions, lower-case alone, and are letters, digits or neither since Unicode 6.1.
 
 Defined cases: null text is the empty text, of no bytes and no tokens; special strings inside texts are one token
@@ -44,9 +44,9 @@ TOKENIZER, LIMIT = "word_bpe_49k.json", 2048
 CHUNK_BYTES = 16 << 20
 # The normaliser and the pattern of the tokenizer whose texts are cut by PLAIN
 KNOWN = (["NFC", ("Replace", r"\s+", " "), "Lowercase"], r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
-_LETTERS, _DIGITS, _WHITE = "a-zªµºß-öø-ɏ", "0-9²³¹¼-¾", "\t-\r \x85\xa0"
+_LETTERS, _DIGITS, _WHITE = "a-zªµºß-öø-ſ", "0-9²³¹¼-¾", "\t-\r \x85\xa0"
 PLAIN = re.compile(rf"'(?:s|t|re|ve|m|ll|d)|[{_LETTERS}]+|[{_DIGITS}]|[^{_WHITE}{_DIGITS}{_LETTERS}]+")
-BEYOND = re.compile("[^\x00-ɏ]")
+BEYOND = re.compile("[^\x00-ſ]")
 _CHUNK = "chunk long, ids array<{}>, n_bytes array<long>, extra array<long>, tokens array<string>, sizes binary, places binary, counts binary"
 
 
