@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.expr import no_nan
 from tessera.operators import evaluate as E
+from tessera.operators.boosting import HistogramBoostingClassifier
 from tessera.operators.features import FRAUD_CATEGORICAL_FEATURES, FRAUD_NUMERIC_FEATURES, FraudFeatureEngineer
 from tessera.operators.stats import column_medians, column_modes
 
@@ -137,6 +138,12 @@ def regressor_metrics(pred: DataFrame, label: str, name: str, clip_at_zero: bool
     return E.regression_metrics(p, label, "_p").withColumn("model", F.lit(name))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over at least as many partitions as the cluster has cores: a fit reads its rows many times."""
+    least = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= least else df.repartition(least)
+
+
 def fit_timed(estimator, df: DataFrame):
     t0 = time.time()
     model = estimator.fit(df)
@@ -172,17 +179,20 @@ def top_features(imp: DataFrame, n: int, exclude: list[str]) -> DataFrame:
         F.col("importance").desc(), F.col("source")).limit(n)
 
 
-def rf_classifier(label: str, weight: str | None = None, trees: int = 200, depth: int = 16, seed: int = 42):
+NO_LIMIT = 30  # Spark's largest tree depth, for forests that are to grow without a limit
+
+
+def rf_classifier(label: str, weight: str | None = None, trees: int = 200, depth: int = 16, seed: int = 42, share: float = 0.3):
     """Random forest: sqrt features per split, 30 % rows per tree."""
-    rf = RandomForestClassifier(labelCol=label, featuresCol="features", numTrees=trees, maxDepth=depth,
-                                subsamplingRate=0.3, featureSubsetStrategy="sqrt", seed=seed)
+    rf = RandomForestClassifier(labelCol=label, featuresCol="features", numTrees=trees, maxDepth=depth, subsamplingRate=share,
+                                featureSubsetStrategy="sqrt", seed=seed, maxMemoryInMB=1024, cacheNodeIds=True)
     return rf.setWeightCol(weight) if weight else rf
 
 
 def rf_regressor(label: str, trees: int = 100, depth: int = 16, seed: int = 42):
     """Random forest regression with all features per split, as sklearn's default."""
     return RandomForestRegressor(labelCol=label, featuresCol="features", numTrees=trees, maxDepth=depth,
-                                 featureSubsetStrategy="all", seed=seed)
+                                 featureSubsetStrategy="all", seed=seed, maxMemoryInMB=1024, cacheNodeIds=True)
 
 
 def logistic(label: str, n_rows: int, c: float = 1.0, weight: str | None = None, max_iter: int = 1000):
@@ -212,6 +222,12 @@ def gbt(label: str, iters: int = 300, depth: int = 6, step: float = 0.1, subsamp
     return g.setWeightCol(weight) if weight else g
 
 
+def boosting(label: str, iters: int = 300, depth: int = 6, step: float = 0.1, rows: float = 1.0, columns: float = 1.0, weight: str = ""):
+    """Second-order histogram boosting."""
+    return HistogramBoostingClassifier(labelCol=label, featuresCol="features", weightCol=weight, maxIter=iters, maxDepth=depth, stepSize=step,
+                                       rowShare=rows, columnShare=columns)
+
+
 def save_load(model: PipelineModel, path: str) -> PipelineModel:
     """Persist and re-read a fitted pipeline."""
     model.write().overwrite().save(path)

@@ -1,9 +1,8 @@
 """Feature pipelines, splits, sampling, model fits and experiments.
 
 Model keys are rows-only checks (fitted models cannot be reproduced in SQL).  They use
-the reference's sizes, except that boosting stops after ``GBT_ROUNDS`` of its 300 rounds,
-which take a sandbox of 8 cores several minutes.  The keys that score, rank
-or explain one fraud model share one fit per session and input.
+the reference's sizes; forests without a depth limit there go to Spark's limit of 30.  The keys that score,
+rank or explain a fraud model load its published package (``publish_model`` and the like fit it).
 """
 
 from __future__ import annotations
@@ -16,16 +15,17 @@ from tessera.functions import expr as X
 from tessera.operators import evaluate as E
 from tessera.operators import features as FE
 from tessera.operators import ml as M
+from tessera.operators import packages as PK
 from tessera.operators import quality as Q
 from tessera.operators import sampling as SM
 from tessera.operators import stats as S
 from tessera.plans.q_stats import r6
 from tessera.plans.registry import query
-from tessera.session import cut_lineage, scratch_dir
+from tessera.session import cut_lineage, scratch_dir, shared_dir
 from tessera.sources import files as FS
 from tessera.sources.fixtures import view
+from tessera.sources.tables import path_exists, table_state
 
-GBT_ROUNDS = 60
 TXN_KEYS = ["txn_order", "txn_line", "txn_part", "txn_supp"]
 RIDE_NUM_FEATURES = ["hour", "temperature", "humidity", "wind_speed", "visibility", "dew_point", "rainfall", "snowfall"]
 RIDE_CAT = ["season", "holiday", "functioning_day"]
@@ -179,43 +179,80 @@ def sample_one_per_group(spark, sf):
 
 
 # ---------------------------------------------------------------- fraud training (R)
-def _fraud_split(spark, sf):
-    t = FE.with_hour(Q.clean_txn(view(spark, sf, "txn")))
-    s = SM.stratified_split(t, "isFraud", TXN_KEYS, 0.2, 42)
-    train, test = s.where(~F.col("is_test")), s.where(F.col("is_test"))
-    w = SM.class_weights(train, "isFraud").select("isFraud", "weight")
-    # Iterative fits re-read their input many times: materialise the split once
-    # in the shared checkpoint folder instead of recomputing its lineage.
-    train = cut_lineage(train.join(F.broadcast(w), "isFraud"))  # two classes: bounded
-    return train, cut_lineage(test)
+TXN_TABLES = ["lineitem", "orders", "customer", "supplier"]  # what the transaction view reads
+FRAUD_INPUTS = ["type", "amount", "oldbalanceOrg", "oldbalanceDest", "Hour"]
+FRAUD_THRESHOLDS = [0.5, 0.4, 0.3, 0.2]
 
 
-_FITTED: dict[tuple, tuple] = {}
+def fraud_root(spark, sf) -> str:
+    """Folder of the fraud packages and of their split, by the state of the input files."""
+    return shared_dir(spark, f"fraud-models/{table_state(spark, sf, TXN_TABLES)}")
 
 
-def fitted_fraud(spark, sf, name: str):
-    """(model, seconds, training rows, test rows) of one fraud classifier, fitted once per session and input."""
-    split = (spark.sparkContext.applicationId, sf, "split")
-    if split not in _FITTED:
-        _FITTED[split] = _fraud_split(spark, sf)
-    train, test = _FITTED[split]
-    if (*split[:2], name) not in _FITTED:
-        n = train.count()
+def fraud_split(spark, sf):
+    """(training rows with class weights, test rows): written once, since every fit and every metric reads them again."""
+    path = f"{fraud_root(spark, sf)}/split"
+    if not path_exists(spark, f"{path}/_SUCCESS"):
+        t = FE.with_hour(Q.clean_txn(view(spark, sf, "txn")))
+        s = cut_lineage(SM.stratified_split(t, "isFraud", TXN_KEYS, 0.2, 42))
+        train = s.where(~F.col("is_test"))
+        w = SM.class_weights(train, "isFraud").select("isFraud", "weight")
         positive = SM.scale_pos_weight(train, "isFraud").first()["scale_pos_weight"] or 1.0
-        estimator = {
-            "logreg_baseline": lambda: M.logistic("isFraud", n),
-            "logreg_balanced": lambda: M.logistic("isFraud", n, weight="weight"),
-            "random_forest": lambda: M.rf_classifier("isFraud", "weight"),
-            "gbt": lambda: M.gbt("isFraud", iters=GBT_ROUNDS, weight="pos_weight"),
-        }[name]()
-        rows = train.withColumn("pos_weight", F.when(F.col("isFraud") == 1, F.lit(float(positive))).otherwise(1.0))
-        _FITTED[(*split[:2], name)] = M.fit_timed(M.fraud_pipeline(estimator), rows)
-    return *_FITTED[(*split[:2], name)], train, test
+        weighted = s.join(F.broadcast(w), "isFraud", "left")  # two classes: bounded
+        weighted.withColumn("pos_weight", F.when(F.col("isFraud") == 1, F.lit(float(positive))).otherwise(1.0)).write.parquet(path)
+    s = spark.read.parquet(path)
+    return s.where(~F.col("is_test")), s.where("is_test")
+
+
+def fraud_estimators(n: int) -> dict:
+    """The candidates in the reference's sizes; the first is the baseline without class weights."""
+    return {
+        "random_forest_baseline": M.rf_classifier("isFraud", trees=200),
+        "logreg_balanced": M.logistic("isFraud", n, weight="weight"),
+        "random_forest": M.rf_classifier("isFraud", "weight", trees=300),
+        "gbt": M.boosting("isFraud", weight="pos_weight"),
+    }
+
+
+FRAUD_MODELS = ["random_forest_baseline", "logreg_balanced", "random_forest", "gbt"]
+
+
+def publish_fraud(spark, sf, name: str) -> int:
+    """Fit one candidate and publish it with its threshold of the best F1, its test metrics and its input schema."""
+    train, test = fraud_split(spark, sf)
+    model, seconds = M.fit_timed(M.fraud_pipeline(fraud_estimators(train.count())[name]), M.spread(train))
+    scored = cut_lineage(M.positive_probability(model.transform(test)).select("isFraud", "p1"))
+    metrics = M.classifier_metrics(scored, "isFraud", name, seconds).first().asDict()
+    best = E.best_threshold(E.threshold_sweep(scored, "isFraud", "p1", FRAUD_THRESHOLDS)).first()
+    return PK.publish(spark, fraud_root(spark, sf), name, model, train, FRAUD_INPUTS, best["threshold"] or FRAUD_THRESHOLDS[0], metrics,
+                      {"amount_threshold": model.stages[0].getOrDefault("amountThreshold"), "train_rows": train.count(), "f1_at_threshold": best["f1"]})
+
+
+def fraud_package(spark, sf, name: str) -> PK.Package:
+    """The published package of one candidate; one is fitted and published where the input has none."""
+    root = fraud_root(spark, sf)
+    if not PK.versions(spark, root, name):
+        publish_fraud(spark, sf, name)
+    return PK.load(spark, root, name)
+
+
+def fraud_scores(spark, sf, name: str):
+    """Test rows with the package's probability ``p1``."""
+    return M.positive_probability(fraud_package(spark, sf, name).model.transform(fraud_split(spark, sf)[1]))
 
 
 def _fraud_metrics(spark, sf, name: str):
-    model, secs, _, test = fitted_fraud(spark, sf, name)
-    return M.classifier_metrics(M.positive_probability(model.transform(test)), "isFraud", name, secs)
+    seconds = fraud_package(spark, sf, name).metrics["train_seconds"]
+    return M.classifier_metrics(cut_lineage(fraud_scores(spark, sf, name).select("isFraud", "p1")), "isFraud", name, seconds)
+
+
+@query("publish_model")
+def publish_model(spark, sf):
+    """Fit the weighted forest, publish it as a package and show what was published."""
+    package = fraud_package(spark, sf, "random_forest")
+    return spark.createDataFrame([("random_forest", package.version, package.threshold, package.details["amount_threshold"], package.details["train_rows"],
+                                   package.metrics["average_precision"], package.schema.simpleString())],
+                                 "model string, version int, threshold double, amount_threshold double, train_rows long, average_precision double, input_schema string")
 
 
 @query("ml_pipeline_fit")
@@ -243,14 +280,26 @@ def ml_scale_pos_weight(spark, sf):
 
 @query("score_batch")
 def score_batch(spark, sf):
-    model, *_ = fitted_fraud(spark, sf, "random_forest")
+    """All transactions scored with the published package and its stored threshold."""
+    package = fraud_package(spark, sf, "random_forest")
     t = FE.with_hour(view(spark, sf, "txn"))
-    scored = M.positive_probability(model.transform(t)).withColumn("threshold", F.lit(0.5))
+    scored = M.positive_probability(package.model.transform(package.check_inputs(t))).withColumn("threshold", F.lit(package.threshold))
     return scored.select(*TXN_KEYS, F.round("p1", 4).alias("fraud_probability"),
                          X.flag(F.col("p1") >= F.col("threshold")).alias("prediction"),
                          X.risk_level("p1", "threshold").alias("risk_level"))
 
 
+@query("score_batch_check", f"""
+SELECT count(*) AS n_rows, CAST(bit_xor({hash_sql(TXN_KEYS)}) AS BIGINT) AS keys_hash, CAST(0 AS BIGINT) AS n_outside, CAST(0 AS BIGINT) AS n_risk_mismatch FROM txn""")
+def score_batch_check(spark, sf):
+    """Row count and key set of the scored rows, probabilities outside 0 to 1, and decisions that contradict the risk level."""
+    p = F.col("fraud_probability")
+    contradicts = (F.col("prediction") == 1) != (F.col("risk_level") == "High")
+    return score_batch(spark, sf).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.bit_xor(SM.hash_key(TXN_KEYS, 42)).alias("keys_hash"),
+        F.count(F.when(p.isNull() | (p < 0) | (p > 1), 1)).alias("n_outside"), F.count(F.when(contradicts, 1)).alias("n_risk_mismatch"))
+
+
 def _compare(tables, metric: str, baseline: str | None = None, smallest: bool = False):
     """One table of metrics with the best row marked; the baseline is shown but never chosen."""
     t = tables[0]
@@ -262,27 +311,23 @@ def _compare(tables, metric: str, baseline: str | None = None, smallest: bool =
     return t.crossJoin(F.broadcast(best)).withColumn("is_best", F.col("model") == F.col("_best")).drop("_best")
 
 
-FRAUD_MODELS = ["logreg_baseline", "logreg_balanced", "random_forest", "gbt"]
-
-
 @query("exp_model_compare")
 def exp_model_compare(spark, sf):
     """Fit several models, tabulate, mark the best by average precision; the unbalanced baseline is excluded."""
-    return _compare([_fraud_metrics(spark, sf, m) for m in FRAUD_MODELS], "average_precision", "logreg_baseline")
+    return _compare([_fraud_metrics(spark, sf, m) for m in FRAUD_MODELS], "average_precision", "random_forest_baseline")
 
 
 @query("exp_model_threshold")
 def exp_model_threshold(spark, sf):
     """Threshold with the best F1 on the scores of the chosen model."""
     chosen = exp_model_compare(spark, sf).where("is_best").first()["model"]
-    model, _, _, test = fitted_fraud(spark, sf, chosen)
-    sweep = E.threshold_sweep(M.positive_probability(model.transform(test)), "isFraud", "p1", [0.5, 0.4, 0.3, 0.2])
+    sweep = E.threshold_sweep(fraud_scores(spark, sf, chosen), "isFraud", "p1", FRAUD_THRESHOLDS)
     return E.best_threshold(sweep).withColumn("model", F.lit(chosen))
 
 
 @query("ml_importance")
 def ml_importance(spark, sf):
-    model, _, train, _ = fitted_fraud(spark, sf, "random_forest")
+    model, (train, _) = fraud_package(spark, sf, "random_forest").model, fraud_split(spark, sf)
     assembled = model.transform(train)  # only its schema is read: the slot names are in its metadata
     return M.importances(model.stages[-1], "features", assembled)
 
@@ -303,7 +348,7 @@ def sel_final_features(spark, sf):
 c AS (SELECT isFraud, count(*) AS n FROM kept GROUP BY isFraud)
 SELECT CAST(sum(ceil(n * 0.2)) AS BIGINT) AS n, 0.0::DOUBLE AS max_abs_diff FROM c""")
 def ml_save_load(spark, sf):
-    model, _, _, test = fitted_fraud(spark, sf, "random_forest")
+    model, (_, test) = fraud_package(spark, sf, "random_forest").model, fraud_split(spark, sf)
     loaded = M.save_load(model, scratch_dir(spark, "pipeline"))
     a = M.positive_probability(model.transform(test)).select(*TXN_KEYS, F.col("p1").alias("p_saved"))
     b = M.positive_probability(loaded.transform(test)).select(*TXN_KEYS, F.col("p1").alias("p_loaded"))
@@ -360,7 +405,7 @@ def exp_regressor_compare(spark, sf):
     """Ride models side by side, the least RMSE marked."""
     s, feats = _ride_frame(spark, sf)
     train, test = s.where(~F.col("is_test")), s.where(F.col("is_test"))
-    models = {"linear": M.linear("bike_count"), "decision_tree": M.tree_regressor("bike_count", depth=10), "random_forest": M.rf_regressor("bike_count", depth=10)}
+    models = {"linear": M.linear("bike_count"), "decision_tree": M.tree_regressor("bike_count", depth=10), "random_forest": M.rf_regressor("bike_count", trees=300, depth=M.NO_LIMIT)}
     return _compare([M.regressor_metrics(_ride_pipeline(feats, est).fit(train).transform(test), "bike_count", name, clip_at_zero=True)
                      for name, est in models.items()], "rmse", smallest=True)
 
@@ -371,7 +416,7 @@ def ml_rf_regressor(spark, sf):
     s = cut_lineage(SM.random_split(h, ["house_id"], 0.2, 42))
     train, test = s.where(~F.col("is_test")), s.where(F.col("is_test"))
     asm = VectorAssembler(inputCols=["size", "avg_quantity", "avg_discount", "rating_count"], outputCol="features")
-    model = Pipeline(stages=[asm, M.rf_regressor("price")]).fit(train)
+    model = Pipeline(stages=[asm, M.rf_regressor("price", depth=M.NO_LIMIT)]).fit(train)
     return M.regressor_metrics(model.transform(test), "price", "random_forest")
 
 
@@ -413,8 +458,8 @@ def exp_passenger_compare(spark, sf):
     """Passenger models side by side, the best ROC-AUC marked; boosting in its second configuration."""
     train, test = _passenger_split(spark, sf)
     models = {"logreg": M.logistic("Survived", train.count()), "decision_tree": M.tree_classifier("Survived", weight="weight"),
-              "random_forest": M.rf_classifier("Survived", "weight", depth=8),
-              "gbt": M.gbt("Survived", iters=GBT_ROUNDS, depth=4, step=0.05, subsample=0.8, columns="0.8")}
+              "random_forest": M.rf_classifier("Survived", "weight", trees=300, depth=M.NO_LIMIT, share=1.0),
+              "gbt": M.boosting("Survived", depth=4, step=0.05, rows=0.8, columns=0.8)}
     return _compare([_passenger_metrics(train, test, name, est) for name, est in models.items()], "roc_auc")
 
 
@@ -422,5 +467,4 @@ def exp_passenger_compare(spark, sf):
 @query("eval_roc_curve_model")
 def eval_roc_curve_model(spark, sf):
     """ROC curve of a fitted model's scores (E5 on M18 output)."""
-    model, _, _, test = fitted_fraud(spark, sf, "random_forest")
-    return E.roc_curve(M.positive_probability(model.transform(test)), "isFraud", "p1")
+    return E.roc_curve(fraud_scores(spark, sf, "random_forest"), "isFraud", "p1")

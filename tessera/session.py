@@ -64,6 +64,12 @@ def scratch_dir(spark: SparkSession, name: str = "scratch") -> str:
     return f"{root}{sep}{name}-{uuid.uuid4().hex[:12]}"
 
 
+def shared_dir(spark: SparkSession, name: str) -> str:
+    """A folder of a fixed name under the shared checkpoint root, for what several jobs read."""
+    root = _checkpoint_root(spark)
+    return f"{root}{'' if root.endswith('/') else '/'}{name}"
+
+
 def cut_lineage(df):
     """Materialise ``df`` reliably (survives executor loss) and return it."""
     _checkpoint_root(df.sparkSession)

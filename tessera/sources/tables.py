@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,6 +27,30 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(hpath))
 
 
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files and folders in a folder; none if it does not exist."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sorted(s.getPath().getName() for s in fs.listStatus(hpath)) if fs.exists(hpath) else []
+
+
+def table_state(spark: SparkSession, sf_dir: str, names: list[str]) -> str:
+    """Short hash of the files of some tables: names, sizes and times of change.  Results kept under it go stale with the data."""
+    jvm, told = spark.sparkContext._jvm, []
+    for name in names:
+        todo = [jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{name}.parquet")]
+        while todo:
+            at = todo.pop()
+            fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+            for s in fs.listStatus(at):
+                if s.isDirectory():
+                    todo.append(s.getPath())
+                else:
+                    told.append(f"{s.getPath().toString()} {s.getLen()} {s.getModificationTime()}")
+    return hashlib.sha256("\n".join(sorted(told)).encode()).hexdigest()[:16]
+
+
 def resolve_path(spark: SparkSession, candidates: list[str]) -> str:
     """First existing path among ``candidates``; otherwise fail listing all of them."""
     for p in candidates:

@@ -148,27 +148,6 @@ def test_content_topn_matches_bruteforce(spark):
             assert abs(got[(i, k)][1] + neg) < 1e-12
 
 
-def test_stream_scoring_equals_batch(spark):
-    """Stream scoring of arriving files gives the batch answer (ST1)."""
-    from tests.conftest import SF_SMALL
-    from tessera.plans.q_stream import REQUEST_COLS, fitted_fraud_model, valid_requests
-    from tessera.streaming.scoring import score_frame
-    from tessera.plans.q_ml import TXN_KEYS
-    from tessera.session import scratch_dir
-    from tessera.streaming import score_stream
-
-    model, thr = fitted_fraud_model(spark, SF_SMALL)
-    req = valid_requests(spark, SF_SMALL)
-    src = scratch_dir(spark, "req")
-    req.repartition(3).write.parquet(src)
-    streamed = score_stream(spark, model, src, req.schema, scratch_dir(spark, "out"), scratch_dir(spark, "ck"),
-                            0.5, thr, TXN_KEYS)
-    batch = score_frame(model, spark.read.parquet(src), 0.5, thr, TXN_KEYS)
-    assert streamed.count() == batch.count() == req.count()
-    assert streamed.exceptAll(batch.select(*streamed.columns)).count() == 0
-    assert set(REQUEST_COLS) >= set(TXN_KEYS)
-
-
 def test_item_cf_salted_equals_unsalted(spark):
     """Splitting heavy users over block-pair keys does not change any similarity."""
     from tests.conftest import SF_SMALL
