@@ -29,6 +29,7 @@ from tessera.sources.tables import path_exists, table_state
 TXN_KEYS = ["txn_order", "txn_line", "txn_part", "txn_supp"]
 RIDE_NUM_FEATURES = ["hour", "temperature", "humidity", "wind_speed", "visibility", "dew_point", "rainfall", "snowfall"]
 RIDE_CAT = ["season", "holiday", "functioning_day"]
+RIDE_DEPTH = 10  # of the ride forests; without a limit they have millions of nodes, which Spark ML keeps on the driver (README)
 
 
 def hash_sql(cols: list[str], seed: int = 42) -> str:
@@ -360,7 +361,7 @@ def ml_save_load(spark, sf):
 def _ride_frame(spark, sf, extra: list[str] | None = None):
     r = FE.ride_features(view(spark, sf, "rides"), severity=False)
     s = SM.random_split(r, ["date", "hour", "bike_count", "temperature", "humidity", "visibility"], 0.2, 42)
-    return cut_lineage(s), RIDE_NUM_FEATURES + (extra or [])
+    return M.spread(cut_lineage(s)), RIDE_NUM_FEATURES + (extra or [])
 
 
 def _ride_pipeline(features: list[str], est):
@@ -379,14 +380,14 @@ def ml_linreg(spark, sf):
 
 @query("exp_ablation")
 def exp_ablation(spark, sf):
-    """Refit with one more feature at a time and tabulate the metric change."""
+    """Refit a forest of 200 trees with one more feature at a time and tabulate the metric change."""
     s, base = _ride_frame(spark, sf)
     train, test = s.where(~F.col("is_test")), s.where(F.col("is_test"))
     steps = [("base", []), ("+IsRushHour", ["IsRushHour"]), ("+IsCommuteTime", ["IsRushHour", "IsCommuteTime"]),
              ("+DiscomfortIndex", ["IsRushHour", "IsCommuteTime", "DiscomfortIndex"])]
     out = None
     for i, (name, extra) in enumerate(steps):
-        model = _ride_pipeline(base + extra, M.linear("bike_count")).fit(train)
+        model = _ride_pipeline(base + extra, M.rf_regressor("bike_count", trees=200, depth=RIDE_DEPTH)).fit(train)
         m = M.regressor_metrics(model.transform(test), "bike_count", name).withColumn("step", F.lit(i))
         out = m if out is None else out.unionByName(m)
     return out
@@ -405,7 +406,7 @@ def exp_regressor_compare(spark, sf):
     """Ride models side by side, the least RMSE marked."""
     s, feats = _ride_frame(spark, sf)
     train, test = s.where(~F.col("is_test")), s.where(F.col("is_test"))
-    models = {"linear": M.linear("bike_count"), "decision_tree": M.tree_regressor("bike_count", depth=10), "random_forest": M.rf_regressor("bike_count", trees=300, depth=M.NO_LIMIT)}
+    models = {"linear": M.linear("bike_count"), "decision_tree": M.tree_regressor("bike_count", depth=10), "random_forest": M.rf_regressor("bike_count", trees=300, depth=RIDE_DEPTH)}
     return _compare([M.regressor_metrics(_ride_pipeline(feats, est).fit(train).transform(test), "bike_count", name, clip_at_zero=True)
                      for name, est in models.items()], "rmse", smallest=True)
 
@@ -413,7 +414,7 @@ def exp_regressor_compare(spark, sf):
 @query("ml_rf_regressor")
 def ml_rf_regressor(spark, sf):
     h = view(spark, sf, "houses")
-    s = cut_lineage(SM.random_split(h, ["house_id"], 0.2, 42))
+    s = M.spread(cut_lineage(SM.random_split(h, ["house_id"], 0.2, 42)))
     train, test = s.where(~F.col("is_test")), s.where(F.col("is_test"))
     asm = VectorAssembler(inputCols=["size", "avg_quantity", "avg_discount", "rating_count"], outputCol="features")
     model = Pipeline(stages=[asm, M.rf_regressor("price", depth=M.NO_LIMIT)]).fit(train)
@@ -429,7 +430,7 @@ def _passenger_split(spark, sf):
     p = S.fill_group_median(p, "Age", "Title", "AgeFilled").fillna({"Embarked": "S"})
     s = SM.stratified_split(p, "Survived", ["PassengerId"], 0.2, 42)
     w = SM.class_weights(s.where(~F.col("is_test")), "Survived").select("Survived", "weight")
-    s = cut_lineage(s.join(F.broadcast(w), "Survived"))  # two classes
+    s = M.spread(cut_lineage(s.join(F.broadcast(w), "Survived")))  # two classes
     return s.where(~F.col("is_test")), s.where(F.col("is_test"))
 
 
@@ -463,6 +464,21 @@ def exp_passenger_compare(spark, sf):
     return _compare([_passenger_metrics(train, test, name, est) for name, est in models.items()], "roc_auc")
 
 
+# ---------------------------------------------------------------- churn (R)
+CHURN_NUM, CHURN_TEXT = ["age", "monthly_charge", "tenure"], ["offer", "contract", "country"]
+
+
+@query("ml_churn_forest")
+def ml_churn_forest(spark, sf):
+    """Forest of 100 trees without a depth limit on the churn table, text columns one-hot."""
+    c = view(spark, sf, "churn").withColumn("label", F.when(F.col("churn_label") == "Yes", 1).otherwise(0))
+    s = M.spread(cut_lineage(SM.stratified_split(c, "label", ["customer_id"], 0.2, 42)))
+    asm = VectorAssembler(inputCols=CHURN_NUM + [f"{x}__ohe" for x in CHURN_TEXT], outputCol="features")
+    forest = M.rf_classifier("label", trees=100, depth=M.NO_LIMIT, share=1.0)
+    model = Pipeline(stages=[*M.one_hot_stages(CHURN_TEXT), asm, forest]).fit(s.where(~F.col("is_test")))
+    return M.classifier_metrics(cut_lineage(M.positive_probability(model.transform(s.where("is_test"))).select("label", "p1")), "label", "random_forest")
+
+
 # ---------------------------------------------------------------- evaluation of a fitted ranking
 @query("eval_roc_curve_model")
 def eval_roc_curve_model(spark, sf):
