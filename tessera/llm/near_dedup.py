@@ -6,14 +6,13 @@ of the first non-empty bin in an order of its own (optimal densification).  Band
 give bucket keys.
 
 Documents with equal shingle sets form one class, represented by the smallest id, so copies
-never meet as pairs.  In a bucket, members are compared with hubs (a star), not with each
+never meet as pairs.  In a bucket, members are compared with its hub (a star), not with each
 other.  A member's degree is the sum of the sizes of its buckets, so the text closest to all others of a
-group, such as the one they were copied from, has the largest degree and is the first hub.
-Components are formed from the links found; buckets that still hold several components get ``HUBS``
-more hubs, first of all members, then of those outside the first hub's component.  Members that were no hub
-of a bucket in which they still face another component are then joined exactly: pairs that share a rare
-shingle within the prefixes that the threshold and the set sizes allow.  So the pairs of the hubs grow with the
-members of the buckets, not with their square, and no pair of a bucket is left out.  A pair whose signatures rule out the threshold by five standard errors, or whose
+group, such as the one they were copied from, has the largest degree and is the hub.
+Components are formed from the links found.  Members of buckets whose other members lie in several components are then
+joined exactly: pairs of different components that share a rare shingle, one that several components hold, within the
+prefixes that the threshold and the set sizes allow.  So the pairs of the hubs grow with the members of the
+buckets, not with their square, and no pair of a bucket is left out.  A pair whose signatures rule out the threshold by five standard errors, or whose
 set sizes do, is not a link; all other pairs are confirmed on their full sets.
 
 Defined cases: documents without words have an empty set and are linked with nothing; fewer
@@ -37,7 +36,6 @@ from tessera.sources.tables import table
 
 BINS = 128
 SHINGLE, MIN_PERCENT, ROWS = 3, 85, 5
-HUBS = 6  # per bucket in each round after the first
 NODE_BITS = 1 << 24
 STAND_IN = 1 << 62
 COUNTERS = 1 << 20  # counts of shingles of the exact join, shared by hash: they only set an order and a number of blocks
@@ -211,6 +209,8 @@ def _prefix_pairs(rest: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     kept = stored(own.select("id", "comp", "set").mapInArrow(
         prefixes, "shingle long, id long, comp long, n long, pos long, short boolean, blocks long, block long"), "dedup-prefixes")
+    several = kept.groupBy("shingle").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x < y").select(F.col("shingle").alias("of"))
+    kept = stored(kept.join(several, F.col("shingle") == F.col("of"), "left_semi"), "dedup-shared-prefixes")  # one component's shingles join nothing
 
     def side(rows, s, here, other):
         named = [F.col(x).alias(x + s) for x in ("id", "comp", "n", "pos")]
@@ -259,30 +259,13 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = MIN_PER
     sets = stored(_node_sets(docs, nodes, size), "dedup-node-sets")
     known = stored(classes.select("id", "n", "sig").join(nodes, "id", "left_semi"), "dedup-signatures")
 
-    def hubs(members: DataFrame, number: int) -> DataFrame:
-        nth = F.row_number().over(Window.partitionBy("key").orderBy(F.desc("degree"), "id"))
-        return members.withColumn("nth", nth).where(F.col("nth") <= number).drop("nth")
-
     members = found.select("key", "id").join(degree, "id")
-    first = hubs(members, 1).select("key", F.col("id").alias("hub"))
-    members = stored(members.join(first, "key"), "dedup-members")
-    pairs = members.where("id <> hub").select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct()
+    nth = F.row_number().over(Window.partitionBy("key").orderBy(F.desc("degree"), "id"))
+    first = members.withColumn("nth", nth).where("nth = 1").select("key", F.col("id").alias("hub"))
+    members = stored(members.join(first, "key").where("id <> hub"), "dedup-members")
+    pairs = members.select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct()
     edges = stored(_confirmed(pairs, known, sets, percent), "dedup-links")
-    comp = components(edges)
-    used = first.select("key", F.col("hub").alias("id"))
-    for turn in ("all", "others"):
-        labelled = members.join(comp, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
-        mixed = labelled.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y"),
-                                            F.max(F.when(F.col("id") == F.col("hub"), F.col("comp"))).alias("hub_comp")).where("x < y").select("key", "hub_comp")
-        open_ = stored(labelled.join(mixed, "key"), "dedup-open")
-        fresh = open_.join(used, ["key", "id"], "left_anti")
-        chosen = stored(hubs(fresh if turn == "all" else fresh.where("comp <> hub_comp"), HUBS)
-                        .select("key", F.col("id").alias("own"), F.col("comp").alias("own_comp")), "dedup-hubs")
-        used = used.union(chosen.select("key", "own"))
-        pairs = open_.join(chosen, "key").where("id <> own and comp <> own_comp").select(F.least("id", "own").alias("a"), F.greatest("id", "own").alias("b")).distinct()
-        edges = stored(edges.union(_confirmed(pairs, known, sets, percent)).distinct(), "dedup-links")
-        comp = components(edges)
-    labelled = members.select("key", "id").join(used, ["key", "id"], "left_anti").join(comp, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
+    labelled = members.select("key", "id").join(components(edges), "id", "left").withColumn("comp", F.coalesce("comp", "id"))
     mixed = labelled.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x < y").select("key")
     rest = stored(labelled.join(mixed, "key", "left_semi").select("id", "comp").distinct(), "dedup-rest")
     pairs = _prefix_pairs(rest, sets, percent)
