@@ -34,7 +34,7 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.session import scratch_dir
+from tessera.session import written
 
 CHECKPOINT = 25
 MIN_GAIN = 1e-6
@@ -199,7 +199,7 @@ class HistogramBoostingClassifier(Estimator, _BoostingParams, DefaultParamsReada
         cuts = cut_points(rows, x, size, get("maxBins"))
         start = binned(rows, x, cuts, keep).withColumn("rid", F.monotonically_increasing_id()).withColumn("margin", F.lit(0.0))
         rng, trees = np.random.default_rng(get("seed")), []
-        now = _written(start).persist(StorageLevel.MEMORY_AND_DISK)
+        now = written(start, "boosting").persist(StorageLevel.MEMORY_AND_DISK)
         held = [now]
         for number in range(get("maxIter")):
             allowed = np.zeros(size, bool)
@@ -211,7 +211,7 @@ class HistogramBoostingClassifier(Estimator, _BoostingParams, DefaultParamsReada
                 break
             moved = now.withColumn("margin", F.expr(f"margin + get({_array(tree.value, 'double')}, {tree.reached(get('maxDepth'), _missing(cuts))})"))
             again = (number + 1) % CHECKPOINT == 0
-            now = (_written(moved) if again else moved).persist(StorageLevel.MEMORY_AND_DISK)
+            now = (written(moved, "boosting") if again else moved).persist(StorageLevel.MEMORY_AND_DISK)
             while len(held) > (0 if again else 1):  # the table before the last is no longer read
                 held.pop(0).unpersist()
             held.append(now)
@@ -274,9 +274,3 @@ class HistogramBoostingClassifier(Estimator, _BoostingParams, DefaultParamsReada
 def _missing(cuts: list[list[float]]) -> list[int]:
     """The bin of missing values of each feature."""
     return [len(own) + 1 for own in cuts]
-
-
-def _written(df: DataFrame) -> DataFrame:
-    path = scratch_dir(df.sparkSession, "boosting")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)

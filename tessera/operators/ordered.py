@@ -1,7 +1,7 @@
 """Order-dependent aggregates without a single-task window.
 
 A window with no ``partitionBy`` moves every row into one task.  Running totals and ranks
-over an order (ROC curves, average precision, exact quantiles, popularity ranks) are
+over an order (ROC curves, average precision, popularity ranks) are
 instead computed in three distributed steps, one plan at every size:
 
 1. sort the rows into range partitions by ``(groups, value)`` and write them with the
@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.session import cut_lineage
+from tessera.session import cut_lineage, written
 
 
 def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
@@ -83,29 +83,69 @@ def distinct_counts(df: DataFrame, value: str, groups: list[str] | None = None)
     return cut_lineage(counts)
 
 
-def exact_quantiles(df: DataFrame, value: str, probs: list[float], groups: list[str] | None = None,
-                    counts: DataFrame | None = None) -> DataFrame:
-    """Linear-interpolated quantiles (pandas / ``quantile_cont`` definition).
+ACCURACY = 10_000  # of the sketches: a rank is off by n / ACCURACY at most
+TAIL = 3.0 / ACCURACY  # half width, in ranks, of the interval whose values are read
+
+
+def quantile_bounds(df: DataFrame, value: str, probs: list[float], groups: list[str], more: list | None = None, tail: float = TAIL) -> DataFrame:
+    """Per group: ``_n`` rows and, for each probability, the interval [a, b] that holds its two ranks; one pass, bounded sketches.
 
-    Returns ``groups..., p, q``.  Exact at any scale: the two ranks around each position are
-    picked from the running counts by a map-side combined aggregate, so no group's values
-    are gathered.  ``counts`` may be a :func:`distinct_counts` table built by the caller.
+    ``more`` are aggregates over the column ``_x`` that the same pass computes.
     """
-    groups = list(groups or [])
-    if counts is None:
-        counts = distinct_counts(df, value, groups)
-    cum = running_totals(counts, value, ["_cnt"], groups)
-    v, upto = F.col(value).cast("double"), F.col("_cnt_incl")
-    picks = []
+    rows = _numbers(df, value, groups)
+    shares = [min(max(p + s * tail, 0.0), 1.0) for p in probs for s in (-1, 1)]
+    low, high = F.min("_x"), F.max("_x")
+    sketch = F.percentile_approx("_x", shares, ACCURACY)
+    ends = []
     for k, p in enumerate(probs):
-        pos = (F.col("_cnt_total") - 1) * F.lit(float(p))
-        for side, at in (("lo", F.floor(pos)), ("hi", F.ceil(pos))):
-            picks.append(F.max(F.when((upto - F.col("_cnt") <= at) & (at < upto), v)).alias(f"_{side}{k}"))
-        picks.append(F.max(pos - F.floor(pos)).alias(f"_f{k}"))
-    row = cum.groupBy(*groups).agg(*picks, F.count(F.lit(1)).alias("_rows")).where("_rows > 0")
-    out = F.array(*[F.struct(F.lit(float(p)).alias("p"), (F.col(f"_lo{k}") + F.col(f"_f{k}") * (F.col(f"_hi{k}") - F.col(f"_lo{k}"))).alias("q"))
-                    for k, p in enumerate(probs)])
-    return row.select(*groups, F.inline(out))
+        a = low if shares[2 * k] <= 0 else sketch[2 * k]
+        b = high if shares[2 * k + 1] >= 1 else sketch[2 * k + 1]
+        ends += [a.alias(f"_a{k}"), b.alias(f"_b{k}")]
+    return written(rows.groupBy(*groups).agg(F.count(F.lit(1)).alias("_n"), *ends, *(more or [])), "quantile-bounds")
+
+
+def _numbers(df: DataFrame, value: str, groups: list[str]) -> DataFrame:
+    x = F.col(value).cast("double")
+    return df.where(x.isNotNull() & ~F.isnan(x)).select(*groups, x.alias("_x"))
+
+
+def exact_quantiles(df: DataFrame, value: str, probs: list[float], groups: list[str] | None = None,
+                    bounds: DataFrame | None = None) -> DataFrame:
+    """Linear-interpolated quantiles (pandas / ``quantile_cont`` definition): ``groups..., p, q``.
+
+    Exact in two passes over ``df``, at any scale.  The first takes bounded sketches, which put the two ranks
+    around each position into an interval of a few ten-thousandths of the rows.  The second counts the rows
+    below each interval and the distinct values inside; only those are shuffled, never all values.  A rank that a
+    sketch misplaced is seen by the counts and looked up again in a wider interval.
+    ``bounds`` may be a :func:`quantile_bounds` table of the same arguments.
+    """
+    groups, probs = list(groups or []), [float(p) for p in probs]
+    tail, bounds = TAIL, quantile_bounds(df, value, probs, groups) if bounds is None else bounds
+    while True:
+        out = written(_within(_numbers(df, value, groups), probs, groups, bounds), "quantiles")
+        if tail >= 1 or out.where("q is null").isEmpty():
+            return out
+        tail = min(1.0, 32 * tail)
+        bounds = quantile_bounds(df, value, probs, groups, tail=tail)
+
+
+def _within(rows: DataFrame, probs: list[float], groups: list[str], bounds: DataFrame) -> DataFrame:
+    keys = [*groups, "_k"]
+    wide = join_null_safe(rows, bounds.select(*groups, "_n", *[f"_{s}{k}" for k in range(len(probs)) for s in "ab"]), groups)
+    x = F.col("_x")
+    # rows below an interval count as one value below all others
+    entry = [F.when(x <= F.col(f"_b{k}"), F.struct(F.lit(k).alias("_k"), F.when(x < F.col(f"_a{k}"), F.lit(float("-inf"))).otherwise(x).alias("_v")))
+             for k in range(len(probs))]
+    one = wide.select(*groups, "_n", F.explode(F.array(*entry)).alias("_e")).where("_e is not null")
+    counts = written(one.groupBy(*groups, F.col("_e._k").alias("_k"), F.col("_e._v").alias("_v")).agg(
+        F.count(F.lit(1)).alias("_cnt"), F.max("_n").alias("_n")), "quantile-counts")
+    cum = join_null_safe(running_totals(counts.select(*keys, "_v", "_cnt"), "_v", ["_cnt"], keys), counts.select(*keys, "_n").groupBy(*keys).agg(F.max("_n").alias("_n")), keys)
+    p = F.get(F.array(*[F.lit(x) for x in probs]), F.col("_k"))
+    pos = (F.col("_n") - 1) * p
+    at = lambda rank: F.max(F.when((F.col("_cnt_incl") - F.col("_cnt") <= rank) & (rank < F.col("_cnt_incl")), F.col("_v")))
+    picked = cum.groupBy(*keys).agg(at(F.floor(pos)).alias("_lo"), at(F.ceil(pos)).alias("_hi"), F.max(pos - F.floor(pos)).alias("_f"))
+    between = F.when(F.col("_lo") == F.col("_hi"), F.col("_lo")).otherwise(F.col("_lo") + F.col("_f") * (F.col("_hi") - F.col("_lo")))
+    return picked.select(*groups, p.alias("p"), between.alias("q"))
 
 
 def quantile_row(df: DataFrame, value: str, probs: list[float], names: list[str]) -> DataFrame:

@@ -13,7 +13,7 @@ from tessera.operators.sampling import align_to_schema, first_per_class, min_pos
 from tessera.plans.q_recommend import META_SQL
 from tessera.plans.q_stats import TITLE_CTE, r6
 from tessera.plans.registry import query
-from tessera.session import cut_lineage
+from tessera.session import cut_lineage, scratch_dir
 from tessera.sources.fixtures import RATING_ORDER, view
 
 TXN_KEYS = ["txn_order", "txn_line", "txn_part", "txn_supp"]
@@ -452,5 +452,5 @@ SELECT (SELECT count(*) FROM txn) AS rows_before, (SELECT count(*) FROM clean_tx
        (SELECT count(*) FROM txn) - (SELECT count(*) FROM clean_txn) AS rows_removed""")
 def clean_txn_summary(spark, sf):
     """Rows removed by the cleaning job (the reference prints this count)."""
-    t = view(spark, sf, "txn")
-    return Q.clean_summary(t, Q.clean_txn(t))
+    _, summary = Q.clean_observed(view(spark, sf, "txn"), Q.clean_txn, scratch_dir(spark, "clean-txn"))
+    return summary

@@ -75,3 +75,10 @@ def cut_lineage(df):
     _checkpoint_root(df.sparkSession)
     return df.checkpoint(eager=True)
 
+
+def written(df, name: str = "scratch"):
+    """``df`` written as Parquet under the shared scratch folder and read back: cuts the lineage like a
+    checkpoint, and the planner knows the size of what it reads, so small tables are broadcast."""
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
