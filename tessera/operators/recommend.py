@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from tessera.functions.text import split_title_year_cols
 from tessera.operators.ordered import global_rank, quantile_row
 from tessera.operators.quality import clean_ratings  # noqa: F401  (re-export)
-from tessera.session import cut_lineage
+from tessera.session import cut_lineage, written
 
 # Fixed values of the reference recommender.
 POPULARITY_QUANTILE = 0.6
@@ -99,6 +99,59 @@ def with_rank(df: DataFrame, order: list, name: str = "rank") -> DataFrame:
 # Content similarity
 # --------------------------------------------------------------------------
 
+GENRE_BLOCK = 1000  # classes of one genre that meet in one join key
+SLACK = 1e-12
+
+
+def _ranked_genres(keyed: DataFrame) -> DataFrame:
+    """(gk, gs, size): the genre sets, each ordered from its rarest genre among the sets to its commonest."""
+    sets = keyed.select("gk", "gs").distinct()
+    flat = sets.select("gk", F.explode("gs").alias("g"))
+    held = flat.groupBy("g").agg(F.count(F.lit(1)).alias("n"))
+    order = F.transform(F.array_sort(F.collect_list(F.struct("n", "g"))), lambda x: x["g"])
+    return flat.join(held, "g").groupBy("gk").agg(order.alias("gs")).withColumn("size", F.size("gs"))
+
+
+def _overlap_score(q: str, c: str) -> F.Column:
+    return F.size(F.array_intersect(q, c)) / F.sqrt((F.size(q) * F.size(c)).cast("double"))
+
+
+def _meet(asking: DataFrame, offered: DataFrame) -> DataFrame:
+    """Join on ``g``; the offered classes of a genre are dealt over blocks, and an asking class goes to each block."""
+    sizes = offered.groupBy("g").agg(F.ceil(F.count(F.lit(1)) / GENRE_BLOCK).cast("int").alias("blocks"))
+    dealt = offered.join(sizes, "g").withColumn("block", F.pmod(F.xxhash64("c"), F.col("blocks")).cast("int")).drop("blocks")
+    sent = asking.join(sizes, "g").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
+    return sent.join(dealt, ["g", "block"])
+
+
+def genre_matches(classes: DataFrame) -> DataFrame:
+    """(q, m, c, score): for each asking class, the offered classes that can enter a list of ``m`` items.
+
+    ``classes``: gk, gs (rarest genre first), size, m (null: does not ask), held (its candidates; null: offers none).
+    A class first meets those that share its rarest genre, which gives a lower bound of its m-th best score.  A
+    class of ``nc`` genres reaches the bound t only with ceil(t sqrt(nq nc)) common genres, of which the first lies among
+    the nq - that + 1 rarest of the one and the nc - that + 1 rarest of the other.  So a class asks by its rare genres
+    only, for each size that may reach the bound, and common genres are keys for the classes that have no rarer ones.
+    """
+    asking = classes.where("m is not null").select(F.col("gk").alias("q"), "m", F.col("gs").alias("qs"), F.col("size").alias("nq"))
+    offered = classes.where("held is not null").select(F.col("gk").alias("c"), "held", F.col("gs").alias("cs"), F.col("size").alias("nc"))
+    by_genre = offered.select("c", "held", "cs", "nc", F.posexplode("cs").alias("pc", "g"))
+    first = _meet(asking.where("nq > 0").withColumn("g", F.get("qs", F.lit(0))), by_genre).select("q", "m", "c", "held", _overlap_score("qs", "cs").alias("score"))
+    # the score at which the candidates of the better classes reach m; sums of a class's scores, not its rows
+    tallied = first.groupBy("q", "m", "score").agg(F.sum("held").alias("held"))
+    upto = F.sum("held").over(Window.partitionBy("q").orderBy(F.desc("score")))  # one row per possible score
+    bound = tallied.withColumn("upto", upto).where("upto >= m").groupBy("q").agg(F.max("score").alias("t"))
+    asked = asking.join(bound, "q", "left").withColumn("t", F.coalesce("t", F.lit(0.0)) * (1 - SLACK))
+    sizes = offered.agg(F.collect_set("nc").alias("sizes"))  # the few sizes that sets have
+    need = F.greatest(F.ceil(F.col("t") * F.sqrt((F.col("nq") * F.col("want")).cast("double")) - SLACK), F.lit(1))
+    sent = (asked.crossJoin(F.broadcast(sizes)).withColumn("want", F.explode("sizes")).withColumn("need", need.cast("int"))
+            .where("need <= nq and need <= want").select("q", "m", "qs", "want", "need", F.posexplode(F.expr("slice(qs, 1, nq - need + 1)")).alias("pq", "g")))
+    # one row per genre asked for, with the sizes asked of it
+    wants = sent.groupBy("q", "m", "qs", "g").agg(F.map_from_entries(F.collect_list(F.struct("want", "need"))).alias("wants"))
+    met = _meet(wants, by_genre.drop("held")).where(F.col("pc") <= F.col("nc") - F.try_element_at("wants", F.col("nc")))
+    return met.select("q", "m", "c", _overlap_score("qs", "cs").alias("score")).distinct()
+
+
 def content_lists(items: DataFrame, need: DataFrame) -> DataFrame:
     """Genre-cosine neighbours: item_id, similar_item_id, score, rank, self excluded.
 
@@ -113,11 +166,9 @@ def content_lists(items: DataFrame, need: DataFrame) -> DataFrame:
     in_class = F.row_number().over(Window.partitionBy("gk").orderBy("item_id"))
     members = cut_lineage(keyed.where("is_candidate").select("gk", "item_id", in_class.alias("pos")).where(F.col("pos") <= most))
 
-    flat = keyed.select("gk", "gs").distinct().select("gk", F.size("gs").alias("size"), F.explode("gs").alias("g"))
-    asking = flat.join(need_class, "gk").select(F.col("gk").alias("q"), "m", F.col("size").alias("nq"), "g")
-    offered = flat.join(members.select("gk").distinct(), "gk").select(F.col("gk").alias("c"), F.col("size").alias("nc"), "g")
-    scored = (asking.join(offered, "g").groupBy("q", "m", "nq", "c", "nc").agg(F.count(F.lit(1)).alias("k"))
-              .select("q", "m", "c", (F.col("k") / F.sqrt((F.col("nq") * F.col("nc")).cast("double"))).alias("score")))
+    size_of = members.groupBy("gk").agg(F.count(F.lit(1)).alias("held"))  # at most `most`, which no list exceeds
+    classes = written(_ranked_genres(keyed).join(need_class, "gk", "left").join(size_of, "gk", "left"), "genre-classes")
+    scored = genre_matches(classes)
     rows = scored.join(members.select(F.col("gk").alias("c"), F.col("item_id").alias("similar_item_id"), "pos"), "c").where("pos <= m")
     best = F.row_number().over(Window.partitionBy("q").orderBy(F.col("score").desc(), "similar_item_id"))
     ranked = cut_lineage(rows.withColumn("rank", best).where((F.col("rank") <= most) & (F.col("rank") <= F.col("m")))
@@ -205,22 +256,80 @@ def item_cf_similarity(ratings: DataFrame, min_ratings: int = CF_MIN_RATINGS,
     return dots.join(ni, "item_i").join(nj, "item_j").select("item_i", "item_j", sim.alias("similarity"))
 
 
-def cf_lists(elig: DataFrame, sims: DataFrame, need: DataFrame) -> DataFrame:
+def cf_candidates(ratings: DataFrame, need: DataFrame, elig: DataFrame, user_limit: int = CF_PAIRS_USER_LIMIT) -> DataFrame:
+    """(item_id, similar_item_id, score, n): every co-rated pair that can enter the list of ``item_id``.
+
+    ``need``: item_id, n (its list length).  Users with at most ``user_limit`` eligible ratings give partial dot
+    products.  What the few users above add to a pair is at most S_i S_j, the norms of the two items over those users.
+    So the n-th best of (partial - S_i S_j) is a lower bound of an item's n-th best score, and a pair
+    whose (partial + S_i S_j) stays below it is dropped before the heavy users' products are made.  An item meets all
+    items of its heavy users only if S_i max(S) reaches its bound, or if its bound is not above 0: then zeros and
+    negative scores can enter its list, and all its pairs are made.
+    """
+    r = ratings.select("user_id", "item_id", "rating").join(elig, "item_id", "left_semi")
+    rows = center_ratings(r).select("user_id", "item_id", "centered")
+    deg = r.groupBy("user_id").agg((F.count(F.lit(1)) > user_limit).alias("heavy"))
+    c = written(rows.join(deg, "user_id"), "cf-ratings")
+    norms = c.groupBy("item_id").agg(F.sqrt(F.sum(F.col("centered") * F.col("centered"))).alias("norm"),
+                                     F.sqrt(F.sum(F.when(F.col("heavy"), F.col("centered") * F.col("centered")).otherwise(0.0))).alias("hnorm"))
+    norms = written(norms.where("norm > 0"), "cf-norms")
+    light, heavy = c.where("not heavy").drop("heavy"), c.where("heavy").drop("heavy")
+    side = lambda df, item, w: df.select("user_id", F.col("item_id").alias(item), F.col("centered").alias(w))
+    norm_of = lambda item, x: norms.select(F.col("item_id").alias(item), F.col("norm").alias(f"n{x}"), F.col("hnorm").alias(f"h{x}"))
+    dots = (side(light, "a", "ca").join(side(light, "b", "cb"), "user_id").where("a < b").groupBy("a", "b")
+            .agg(F.sum(F.col("ca") * F.col("cb")).alias("dot")))
+    dots = written(dots.join(norm_of("a", "i"), "a").join(norm_of("b", "j"), "b"), "cf-light-dots")  # one direction, read in both
+    pairs = dots.select("a", "b", "dot", "ni", "hi", "nj", "hj").union(dots.select("b", "a", "dot", "nj", "hj", "ni", "hi"))
+    scored = pairs.toDF("item_id", "similar_item_id", "dot", "ni", "hi", "nj", "hj").join(need, "item_id")
+    mine, theirs = need.join(norm_of("item_id", "i"), "item_id"), norm_of("similar_item_id", "j")
+    score = F.col("dot") / (F.col("ni") * F.col("nj"))
+    if heavy.isEmpty():
+        return scored.select("item_id", "similar_item_id", score.alias("score"), "n")
+
+    spread = F.col("hi") * F.col("hj") / (F.col("ni") * F.col("nj")) + SLACK
+    low = F.row_number().over(Window.partitionBy("item_id").orderBy(F.desc("low")))
+    most = need.agg(F.max("n")).first()[0] or 0
+    bound = (scored.withColumn("low", score - spread).withColumn("nth", low).where((F.col("nth") <= most) & (F.col("nth") == F.col("n")) & (F.col("low") > 0))
+             .select("item_id", F.col("low").alias("t")))
+    reach = norms.agg(F.max(F.col("hnorm") / F.col("norm")).alias("far"))
+    items = mine.join(bound, "item_id", "left").crossJoin(F.broadcast(reach))  # one row
+    items = written(items.withColumn("open", F.col("t").isNull() | (F.col("hi") / F.col("ni") * F.col("far") + SLACK >= F.col("t"))).drop("far"), "cf-bounds")
+    near = scored.join(items.select("item_id", "t", "open"), "item_id").where(F.col("open") | (score + spread >= F.col("t")))
+    near = written(near.select("item_id", "similar_item_id", "dot", "open"), "cf-near")
+
+    # heavy products of the open items: with every item of their users, which are dealt over blocks of items
+    blocks = heavy.groupBy("user_id").agg(F.ceil(F.count(F.lit(1)) / user_limit).cast("int").alias("blocks"))
+    dealt = side(heavy, "b", "cb").join(blocks, "user_id").withColumn("block", F.pmod(F.xxhash64("b"), F.col("blocks")).cast("int")).drop("blocks")
+    asked = side(heavy, "a", "ca").join(items.where("open").select(F.col("item_id").alias("a")), "a", "left_semi").join(blocks, "user_id")
+    asked = asked.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
+    product = F.sum(F.col("ca") * F.col("cb")).alias("more")
+    wide = asked.join(dealt, ["user_id", "block"]).where("a <> b").groupBy("a", "b").agg(product)
+    # of the others: only with the items that are left
+    left = near.where("not open").select(F.col("item_id").alias("a"), F.col("similar_item_id").alias("b"))
+    narrow = left.join(side(heavy, "a", "ca"), "a").join(side(heavy, "b", "cb"), ["user_id", "b"]).groupBy("a", "b").agg(product)
+    more = wide.unionByName(narrow).select(F.col("a").alias("item_id"), F.col("b").alias("similar_item_id"), "more")
+    whole = near.select("item_id", "similar_item_id", "dot").join(more, ["item_id", "similar_item_id"], "full")
+    whole = whole.withColumn("dot", F.coalesce("dot", F.lit(0.0)) + F.coalesce("more", F.lit(0.0)))
+    return written(whole.join(mine, "item_id").join(theirs, "similar_item_id").select("item_id", "similar_item_id", score.alias("score"), "n"), "cf-candidates")
+
+
+def cf_lists(elig: DataFrame, both: DataFrame, need: DataFrame) -> DataFrame:
     """CF neighbours over all eligible items: item_id, similar_item_id, score, rank.
 
-    ``need``: item_id, n (its list length).  Pairs without a common user score 0 and rank,
+    ``both``: item_id, similar_item_id, score, n, as of :func:`cf_candidates`; ``need``: item_id, n (its list
+    length).  Pairs without a common user score 0 and rank,
     in id order, above negative pairs.  The work is linear in the pairs and the lists.
     """
-    one = sims.where("similarity <> 0").select("item_i", "item_j", F.col("similarity").alias("score"))
-    both = cut_lineage(one.union(one.select("item_j", "item_i", "score")).toDF("item_id", "similar_item_id", "score").join(need, "item_id"))
+    both = both.where("score <> 0")
     most = need.agg(F.max("n")).first()[0] or 0
     have = both.groupBy("item_id").agg(F.count(F.lit(1)).alias("pairs"), F.sum((F.col("score") > 0).cast("long")).alias("above"))
-    short = need.join(have, "item_id", "left").fillna(0, ["pairs", "above"]).where("above < n")
+    short = written(need.join(have, "item_id", "left").fillna(0, ["pairs", "above"]).where("above < n"), "cf-short")
     # of the first n + pairs + 1 ids at most `pairs` have a score and one is the item itself
     tries = _chunked_ranks(short, "item_id", F.col("n") + F.col("pairs") + 1, ["n"])
     by_id = global_rank(elig.select(F.col("item_id").alias("similar_item_id")), [F.col("similar_item_id")])
+    taken = both.join(short.select("item_id"), "item_id", "left_semi").select("item_id", "similar_item_id")
     zeros = (tries.join(by_id, "rank").where("similar_item_id <> item_id")
-             .join(both.select("item_id", "similar_item_id"), ["item_id", "similar_item_id"], "left_anti")
+             .join(taken, ["item_id", "similar_item_id"], "left_anti")
              .withColumn("nth", F.row_number().over(Window.partitionBy("item_id").orderBy("similar_item_id")))
              .where((F.col("nth") <= most) & (F.col("nth") <= F.col("n"))).select("item_id", "similar_item_id", F.lit(0.0).alias("score"), "n"))
     best = F.row_number().over(Window.partitionBy("item_id").orderBy(F.col("score").desc(), "similar_item_id"))
@@ -228,12 +337,14 @@ def cf_lists(elig: DataFrame, sims: DataFrame, need: DataFrame) -> DataFrame:
     return rows.where((F.col("rank") <= most) & (F.col("rank") <= F.col("n"))).drop("n")
 
 
-def item_cf_topn(ratings: DataFrame, n: int = DEFAULT_TOP_N, min_ratings: int = CF_MIN_RATINGS, elig: DataFrame | None = None) -> DataFrame:
+def item_cf_topn(ratings: DataFrame, n: int = DEFAULT_TOP_N, min_ratings: int = CF_MIN_RATINGS, elig: DataFrame | None = None,
+                 user_limit: int = CF_PAIRS_USER_LIMIT) -> DataFrame:
     """Top-n CF neighbours of every eligible item over all eligible items."""
     check_limit(n, hi=TOP_N_MAX)
     if elig is None:
         elig = eligible_items(ratings, min_ratings, materialise=True)  # read twice below
-    return cf_lists(elig, item_cf_similarity(ratings, min_ratings, elig=elig), elig.select("item_id", F.lit(n).alias("n")))
+    need = elig.select("item_id", F.lit(n).alias("n"))
+    return cf_lists(elig, cf_candidates(ratings, need, elig, user_limit), need)
 
 
 def common_genres(cand: str = "cand_genres", base: str = "base_genres") -> F.Column:
@@ -435,9 +546,9 @@ def eval_topk(items: DataFrame, ratings: DataFrame, k: int = DEFAULT_TOP_N, like
     content = _per_user_topk(users, content_lists(everything, need), seen, k)
 
     elig = eligible_items(train, min_ratings, materialise=True)
-    sims = item_cf_similarity(train, min_ratings, elig=elig)
     cf_users = users.join(elig.select(F.col("item_id").alias("seed_item_id")), "seed_item_id", "left_semi")
-    cf = _per_user_topk(cf_users, cf_lists(elig, sims, need.join(elig, "item_id", "left_semi")), seen, k)
+    cf_need = need.join(elig, "item_id", "left_semi")
+    cf = _per_user_topk(cf_users, cf_lists(elig, cf_candidates(train, cf_need, elig), cf_need), seen, k)
 
     recs = (pop.withColumn("algorithm", F.lit("popularity"))
             .unionByName(content.withColumn("algorithm", F.lit("content_based")))

@@ -138,10 +138,11 @@ def test_cf_lists_equal_the_dense_matrix(spark):
         for j in rnd.sample(range(i + 1, n), min(n - i - 1, rnd.choice([0, 1, 8]))):
             score[i, j] = rnd.choice([-0.5, -0.25, 0.0, 0.25, 0.5])
     elig = spark.range(n).select(F.col("id").alias("item_id"))
-    sims = spark.createDataFrame([(i, j, s) for (i, j), s in score.items()], "item_i long, item_j long, similarity double")
     need = elig.select("item_id", (F.col("item_id") % 29 + 1).cast("int").alias("n"))
+    both = [(a, b, s) for (i, j), s in score.items() for a, b in ((i, j), (j, i))]
+    both = spark.createDataFrame(both, "item_id long, similar_item_id long, score double").join(need, "item_id")
     got = {}
-    for r in R.cf_lists(elig, sims, need).collect():
+    for r in R.cf_lists(elig, both, need).collect():
         got.setdefault(r.item_id, {})[r["rank"]] = (r.similar_item_id, r.score)
     for i in range(n):
         dense = sorted(((-score.get((min(i, j), max(i, j)), 0.0), j) for j in range(n) if j != i))[:i % 29 + 1]
