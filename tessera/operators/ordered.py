@@ -83,6 +83,18 @@ def distinct_counts(df: DataFrame, value: str, groups: list[str] | None = None)
     return cut_lineage(counts)
 
 
+def side_by_side(left: DataFrame, right: DataFrame, left_order: list, right_order: list, how: str = "full") -> DataFrame:
+    """Row k of ``left`` beside row k of ``right``, with the place as ``row`` from 1.
+
+    The orders must be total; the frames may not share a column name.  Places come from range partitions, so
+    neither frame passes through one task.
+    """
+    if same := set(left.columns) & set(right.columns):
+        raise ValueError(f"columns on both sides: {', '.join(sorted(same))}")
+    a, b = global_rank(left, left_order, "row"), global_rank(right, right_order, "row")
+    return a.join(b, "row", how)
+
+
 ACCURACY = 10_000  # of the sketches: a rank is off by n / ACCURACY at most
 TAIL = 3.0 / ACCURACY  # half width, in ranks, of the interval whose values are read
 

@@ -216,6 +216,18 @@ def center_ratings(ratings: DataFrame) -> DataFrame:
     return ratings.join(um, "user_id").withColumn("centered", F.col("rating") - F.col("user_mean"))
 
 
+def bucketed_dots(saved: DataFrame) -> DataFrame:
+    """(item_i, item_j, n_users, dot) of all co-rated pairs, for ratings saved in buckets by user.
+
+    Means, centring and the self join use the saved partitioning and order; only the products are shuffled, by pair.
+    """
+    means = saved.groupBy("user_id").agg(F.avg("rating").alias("user_mean"))
+    centred = lambda item, w: saved.join(means.hint("merge"), "user_id").select(
+        "user_id", F.col("item_id").alias(item), (F.col("rating") - F.col("user_mean")).alias(w))
+    pairs = centred("item_i", "wi").hint("merge").join(centred("item_j", "wj"), "user_id").where("item_i < item_j")
+    return pairs.groupBy("item_i", "item_j").agg(F.count(F.lit(1)).alias("n_users"), F.sum(F.col("wi") * F.col("wj")).alias("dot"))
+
+
 # A user with more eligible ratings than this has their co-rating pairs split
 # over several join keys (checked per user from the ratings themselves).
 CF_PAIRS_USER_LIMIT = 2000

@@ -10,8 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.operators.ordered import running_totals
-from tessera.session import cut_lineage
+from tessera.operators.ordered import join_null_safe
+from tessera.session import written
 
 
 def hash_key(cols: list[str], seed: int) -> Column:
@@ -96,46 +96,65 @@ def random_split(df: DataFrame, key_cols: list[str], test_fraction: float = 0.2,
     return df.withColumn("is_test", unit_hash(key_cols, seed) < test_fraction)
 
 
+HASH_BITS, BUCKET_BITS = 60, 16
+
+
+def hash_cuts(hashed: DataFrame, groups: list[str], wanted: Column) -> DataFrame:
+    """Per group: the hash ``_cut`` of the row that is the ``wanted``-th by ``_h`` (a Column of the group's rows ``_n``),
+    and how many rows of that hash ``_take`` belong to the first ``wanted``.
+
+    Two passes over the hashes alone: counts of 2^16 ranges find the range of that row, and the hashes of this one range
+    find the row.  A group of fewer rows has no cut.
+    """
+    part = F.shiftright("_h", HASH_BITS - BUCKET_BITS)
+    ranges = written(hashed.groupBy(*groups, part.alias("_b")).agg(F.count(F.lit(1)).alias("_c")), "hash-ranges")
+    every = Window.partitionBy(*groups)
+    upto = every.orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)  # at most 2^16 rows for a group
+    sums = ranges.select(*groups, "_b", "_c", F.sum("_c").over(upto).alias("_upto"), F.sum("_c").over(every).alias("_n"))
+    sums = sums.withColumn("_k", wanted.cast("long")).where((F.col("_upto") >= F.col("_k")) & (F.col("_upto") - F.col("_c") < F.col("_k")))
+    found = written(sums.select(*groups, "_b", (F.col("_k") - F.col("_upto") + F.col("_c")).alias("_rest")), "hash-range")  # a row for each group
+    inside = join_null_safe(hashed.select(*groups, "_h", part.alias("_b")), found, [*groups, "_b"])
+    counts = inside.groupBy(*groups, "_h").agg(F.count(F.lit(1)).alias("_c"), F.max("_rest").alias("_rest"))
+    upto = every.orderBy("_h").rowsBetween(Window.unboundedPreceding, 0)  # about 2^-16 of a group's rows
+    counts = counts.withColumn("_upto", F.sum("_c").over(upto)).where((F.col("_upto") >= F.col("_rest")) & (F.col("_upto") - F.col("_c") < F.col("_rest")))
+    return written(counts.select(*groups, F.col("_h").alias("_cut"), (F.col("_rest") - F.col("_upto") + F.col("_c")).alias("_take")), "hash-cuts")
+
+
+def _first_by_hash(hashed: DataFrame, groups: list[str], key_cols: list[str], cuts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows off the cut with ``_first``, rows on the cut with ``_first``): is a row among the first of its group?
+
+    Rows keep their place: the cuts are a row for each group.  Only rows that share the hash of a cut are ordered, by key.
+    """
+    j = join_null_safe(hashed, cuts, groups, "left") if groups else hashed.crossJoin(F.broadcast(cuts))
+    on = F.coalesce(F.col("_h") == F.col("_cut"), F.lit(False))
+    off = j.where(~on).withColumn("_first", F.coalesce(F.col("_h") < F.col("_cut"), F.lit(False)))
+    tie = F.row_number().over(Window.partitionBy(*groups, "_h").orderBy(*key_cols))
+    return off, j.where(on).withColumn("_first", tie <= F.col("_take"))
+
+
 def stratified_split(df: DataFrame, label: str, key_cols: list[str], test_fraction: float = 0.2,
                      seed: int = 42) -> DataFrame:
     """Adds ``is_test`` with exactly ceil(test_fraction * n_class) test rows per
-    class (M9).
+    class (M9); a null label is a class.
 
-    Rows are ranked within their class by a seeded hash using distributed
-    running counts, so one huge class is spread over many tasks.
+    The test rows are those with the smallest seeded hashes of their class, so a row is compared with its
+    class's cut and whole rows are not shuffled.
     """
     h = df.withColumn("_h", hash_key(key_cols, seed))
-    # read by several branches of the running totals: materialise once
-    counts = cut_lineage(h.groupBy(label, "_h").agg(F.count(F.lit(1)).alias("_c")))
-    cum = running_totals(counts, "_h", ["_c"], [label])
-    # rows sharing a hash (duplicate keys) are ordered by the key columns
-    w = Window.partitionBy(label, "_h").orderBy(*key_cols)
-    h = h.withColumn("_tie", F.row_number().over(w))
-    j = h.join(cum.select(label, "_h", "_c", "_c_incl", "_c_total"), [label, "_h"])
-    rank = F.col("_c_incl") - F.col("_c") + F.col("_tie")
-    return j.withColumn("is_test", rank <= F.ceil(F.col("_c_total") * test_fraction)).drop(
-        "_h", "_c", "_c_incl", "_c_total", "_tie")
+    cuts = hash_cuts(h, [label], F.ceil(F.col("_n") * test_fraction))
+    off, on = _first_by_hash(h, [label], key_cols, cuts)
+    return off.unionByName(on).withColumnRenamed("_first", "is_test").drop("_h", "_cut", "_take")
 
 
 def smallest_by_hash(df: DataFrame, key_cols: list[str], n: int, seed: int = 42) -> DataFrame:
     """The ``n`` rows with the smallest seeded hash (ties by key): a seeded sample
-    without replacement, exact for any n.
-
-    The n-th smallest hash is found from distributed running counts of distinct
-    hashes; rows below it are kept by a filter, plus the first rows of the boundary hash.
-    """
+    without replacement, exact for any n."""
     h = df.withColumn("_h", hash_key(key_cols, seed))
-    counts = cut_lineage(h.groupBy("_h").agg(F.count(F.lit(1)).alias("_c")))
-    cum = running_totals(counts, "_h", ["_c"])
-    cut = cum.where(F.col("_c_incl") >= n).agg(F.min_by(F.struct("_h", (F.lit(n) - F.col("_c_incl") + F.col("_c"))
-                                                                 .alias("_take")), F.col("_h")).alias("_b")).first()["_b"]
-    if cut is None:  # fewer than n rows
-        return df
-    below = h.where(F.col("_h") < F.lit(cut["_h"])).drop("_h")
-    w = Window.partitionBy("_h").orderBy(*key_cols)  # only rows sharing the boundary hash
-    edge = (h.where(F.col("_h") == F.lit(cut["_h"])).withColumn("_r", F.row_number().over(w))
-            .where(F.col("_r") <= F.lit(cut["_take"])).drop("_h", "_r"))
-    return below.unionByName(edge)
+    cuts = hash_cuts(h, [], F.lit(n))
+    if cuts.isEmpty():  # fewer than n rows
+        return df if n > 0 else df.limit(0)
+    off, on = _first_by_hash(h, [], key_cols, cuts)
+    return off.where("_first").unionByName(on.where("_first")).select(*df.columns)
 
 
 def keep_positives_sample_negatives(df: DataFrame, label: str, key_cols: list[str], n_negatives: int,

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tessera.operators import recommend as R
+from tessera.operators.ordered import side_by_side
 from tessera.operators.quality import clean_ratings
 from tessera.plans.registry import query
 from tessera.session import cut_lineage
@@ -375,6 +376,16 @@ def multi_hot(spark, sf):
     return it.withColumn("flag", F.lit(1))
 
 
+@query("concat_columns", """
+WITH a AS (SELECT item_id, title, row_number() OVER (ORDER BY item_id) AS row FROM items),
+b AS (SELECT user_id, age, row_number() OVER (ORDER BY user_id) AS row FROM users)
+SELECT row, item_id, title, user_id, age FROM a FULL JOIN b USING (row)""")
+def concat_columns(spark, sf):
+    """Two tables side by side, row by row in the order of their keys."""
+    a, b = view(spark, sf, "items").select("item_id", "title"), view(spark, sf, "users").select("user_id", "age")
+    return side_by_side(a, b, [F.col("item_id")], [F.col("user_id")]).select("row", "item_id", "title", "user_id", "age")
+
+
 @query("flags_to_array", """
 SELECT hour, bike_count, list_filter([
     CASE WHEN hour IN (7, 8, 17, 18, 19, 20) THEN 'IsRushHour' END,

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators import quality as Q
 from tessera.operators import recommend as R
-from tessera.plans.q_recommend import CF_SQL, META_SQL
+from tessera.plans.q_recommend import CF_SQL, CLEAN_SQL, META_SQL
 from tessera.plans.registry import query
 from tessera.session import scratch_dir
 from tessera.sources import files as FS
@@ -136,3 +136,16 @@ def features_roundtrip(spark, sf):
     path = scratch_dir(spark, "ride-features")
     feats.write.parquet(path)
     return spark.read.schema(feats.schema).parquet(path).select("date", "hour", "bike_count", "IsRushHour", "IsPrecipitation")
+
+
+@query("bucketed_co_ratings", f"""
+WITH {CLEAN_SQL},
+c AS (SELECT user_id, item_id, rating - avg(rating) OVER (PARTITION BY user_id) AS centered FROM clean)
+SELECT a.item_id AS item_i, b.item_id AS item_j, count(*) AS n_users, round(sum(a.centered * b.centered), 6) AS dot
+FROM c a JOIN c b ON a.user_id = b.user_id AND a.item_id < b.item_id GROUP BY 1, 2""")
+def bucketed_co_ratings(spark, sf):
+    """Centred co-rating products from ratings saved once by user: centring and self join without a shuffle."""
+    clean = Q.clean_ratings(view(spark, sf, "ratings"), RATING_ORDER).select("user_id", "item_id", "rating")
+    path = scratch_dir(spark, "ratings-by-user")
+    saved = FS.write_bucketed(clean, f"ratings_by_user_{path[-12:]}", path, "user_id", 16)
+    return R.bucketed_dots(saved).select("item_i", "item_j", "n_users", F.round("dot", 6).alias("dot"))

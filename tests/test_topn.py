@@ -100,3 +100,27 @@ def test_a_hot_genre_is_asked_only_without_rarer_ones(spark, monkeypatch):
     n = classes.count()
     together = sum(1 for a in classes.collect() for b in classes.collect() if set(a.gs) & set(b.gs))
     assert n <= pairs.count() < together / 2
+
+
+def test_bucketed_ratings_join_without_a_shuffle(spark):
+    from tessera.session import scratch_dir
+    from tessera.sources import files as FS
+    rows = ratings_of(2, items=30, users=80)
+    df = spark.createDataFrame(rows, "user_id long, item_id long, rating int")
+    saved = FS.write_bucketed(df, "ratings_by_user_test", scratch_dir(spark, "bucketed"), "user_id", 4)
+    got = {(r.item_i, r.item_j): (r.n_users, r.dot) for r in R.bucketed_dots(saved).collect()}
+    plan = R.bucketed_dots(saved)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and plan.index("Exchange") < plan.index("SortMergeJoin")  # only the sums by pair
+    by_user = {}
+    for u, i, v in rows:
+        by_user.setdefault(u, {})[i] = v
+    want = {}
+    for own in by_user.values():
+        mean = sum(own.values()) / len(own)
+        for i in own:
+            for j in own:
+                if i < j:
+                    n, d = want.get((i, j), (0, 0.0))
+                    want[i, j] = n + 1, d + (own[i] - mean) * (own[j] - mean)
+    assert set(got) == set(want)
+    assert all(got[k][0] == want[k][0] and abs(got[k][1] - want[k][1]) < 1e-9 for k in want)
