@@ -92,9 +92,8 @@ def score_counts(df: DataFrame, label: str, score: str) -> DataFrame:
 def curve(df: DataFrame, label: str, score: str) -> DataFrame:
     """Per distinct score s: tp, fp at threshold ``score >= s`` and totals.
 
-    The distinct-score table is materialised once (the running totals read it
-    from several branches), and its size picks the one-window or the bucketed
-    plan.
+    The distinct-score table is materialised once, since the running totals read it
+    from several branches.
     """
     counts = cut_lineage(score_counts(df, label, score))
     rt = running_totals(counts, "score", ["pos", "neg"])
@@ -112,19 +111,28 @@ def roc_curve(df: DataFrame, label: str, score: str) -> DataFrame:
                     F.try_divide(F.col("tp"), F.col("P")).alias("tpr"))
 
 
+def _auc():
+    return F.try_divide(F.sum(F.col("pos") * (F.col("neg_below") + 0.5 * F.col("neg"))), F.first("P").cast("double") * F.first("N")).alias("roc_auc")
+
+
+def _average_precision():
+    prec = F.col("tp") / (F.col("tp") + F.col("fp"))
+    return F.try_divide(F.sum(F.when(F.col("pos") > 0, F.col("pos") * prec).otherwise(0.0)), F.first("P").cast("double")).alias("average_precision")
+
+
 def roc_auc(df: DataFrame, label: str, score: str) -> DataFrame:
     """Exact ROC-AUC with tied scores counted as 1/2 (Mann-Whitney)."""
-    c = curve(df, label, score)
-    return c.agg(F.try_divide(F.sum(F.col("pos") * (F.col("neg_below") + 0.5 * F.col("neg"))),
-                              F.first("P").cast("double") * F.first("N")).alias("roc_auc"))
+    return curve(df, label, score).agg(_auc())
 
 
 def average_precision(df: DataFrame, label: str, score: str) -> DataFrame:
     """sum_n (R_n - R_(n-1)) P_n over distinct thresholds, descending."""
-    c = curve(df, label, score)
-    prec = F.col("tp") / (F.col("tp") + F.col("fp"))
-    return c.agg(F.try_divide(F.sum(F.when(F.col("pos") > 0, F.col("pos") * prec).otherwise(0.0)),
-                              F.first("P").cast("double")).alias("average_precision"))
+    return curve(df, label, score).agg(_average_precision())
+
+
+def ranking_metrics(df: DataFrame, label: str, score: str) -> DataFrame:
+    """ROC-AUC and average precision from one table of scores."""
+    return curve(df, label, score).agg(_auc(), _average_precision())
 
 
 def threshold_sweep(df: DataFrame, label: str, score: str, thresholds: list[float]) -> DataFrame:

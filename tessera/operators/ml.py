@@ -124,10 +124,8 @@ def positive_probability(df: DataFrame, col: str = "probability") -> DataFrame:
 
 def classifier_metrics(scored: DataFrame, label: str, name: str, seconds: float | None = None) -> DataFrame:
     """One row: ROC-AUC, average precision, and threshold-0.5 metrics."""
-    auc = E.roc_auc(scored, label, "p1")
-    ap = E.average_precision(scored, label, "p1")
     cls = E.classification_metrics(scored, label, "p1", 0.5)
-    out = auc.crossJoin(ap).crossJoin(cls).withColumn("model", F.lit(name))
+    out = E.ranking_metrics(scored, label, "p1").crossJoin(cls).withColumn("model", F.lit(name))  # one row each
     if seconds is not None:
         out = out.withColumn("train_seconds", F.lit(float(seconds)))
     return out

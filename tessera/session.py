@@ -53,21 +53,31 @@ def _checkpoint_root(spark: SparkSession) -> str:
         # local runs and tests only: one JVM, so a local folder is shared
         root = tempfile.mkdtemp(prefix="tessera-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
-    spark.sparkContext.setCheckpointDir(root)
-    return root
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(root)
+    return root.rstrip("/")
+
+
+def _run_dir(spark: SparkSession) -> str:
+    """The application's own folder under the shared checkpoint root."""
+    return f"{_checkpoint_root(spark)}/tessera-{spark.sparkContext.applicationId}"
 
 
 def scratch_dir(spark: SparkSession, name: str = "scratch") -> str:
-    """A fresh folder under the shared checkpoint root (never machine-local on a cluster)."""
-    root = _checkpoint_root(spark)
-    sep = "" if root.endswith("/") else "/"
-    return f"{root}{sep}{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh folder of this run under the shared checkpoint root (never machine-local on a cluster)."""
+    return f"{_run_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def clear_scratch(spark: SparkSession) -> bool:
+    """Delete this run's scratch tables, after its results have been written elsewhere; published models stay."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_run_dir(spark))
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.delete(path, True))
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A folder of a fixed name under the shared checkpoint root, for what several jobs read."""
-    root = _checkpoint_root(spark)
-    return f"{root}{'' if root.endswith('/') else '/'}{name}"
+    return f"{_checkpoint_root(spark)}/{name}"
 
 
 def cut_lineage(df):

@@ -206,3 +206,19 @@ def test_boosting_of_one_class_and_no_rows(spark):
     empty = HistogramBoostingClassifier(maxIter=2).fit(df.limit(0))
     assert {r.p1 for r in M.positive_probability(empty.transform(df)).collect()} == {0.5}
     assert math.isclose(HistogramBoostingClassifier().getOrDefault("stepSize"), 0.1)
+
+
+def test_scratch_tables_go_and_packages_stay(spark, monkeypatch):
+    import uuid
+
+    from tessera import session as S
+    run = f"run-{uuid.uuid4().hex}"
+    monkeypatch.setattr(S, "_run_dir", lambda spark: S.shared_dir(spark, run))
+    path = S.scratch_dir(spark, "x")
+    kept = S.shared_dir(spark, f"kept-{run}")
+    spark.range(2).write.parquet(path)
+    spark.range(2).write.parquet(kept)
+    assert S.clear_scratch(spark) and not S.clear_scratch(spark)
+    assert spark.read.parquet(kept).count() == 2
+    with pytest.raises(Exception):
+        spark.read.parquet(path)
