@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 from tessera.session import written
 
 CHECKPOINT = 25
+ROWS_PER_TASK = 20_000
 MIN_GAIN = 1e-6
 
 
@@ -199,7 +200,7 @@ class HistogramBoostingClassifier(Estimator, _BoostingParams, DefaultParamsReada
         cuts = cut_points(rows, x, size, get("maxBins"))
         start = binned(rows, x, cuts, keep).withColumn("rid", F.monotonically_increasing_id()).withColumn("margin", F.lit(0.0))
         rng, trees = np.random.default_rng(get("seed")), []
-        now = written(start, "boosting").persist(StorageLevel.MEMORY_AND_DISK)
+        now = _packed(written(start, "boosting")).persist(StorageLevel.MEMORY_AND_DISK)
         held = [now]
         for number in range(get("maxIter")):
             allowed = np.zeros(size, bool)
@@ -211,7 +212,7 @@ class HistogramBoostingClassifier(Estimator, _BoostingParams, DefaultParamsReada
                 break
             moved = now.withColumn("margin", F.expr(f"margin + get({_array(tree.value, 'double')}, {tree.reached(get('maxDepth'), _missing(cuts))})"))
             again = (number + 1) % CHECKPOINT == 0
-            now = (written(moved, "boosting") if again else moved).persist(StorageLevel.MEMORY_AND_DISK)
+            now = (_packed(written(moved, "boosting")) if again else moved).persist(StorageLevel.MEMORY_AND_DISK)
             while len(held) > (0 if again else 1):  # the table before the last is no longer read
                 held.pop(0).unpersist()
             held.append(now)
@@ -271,6 +272,11 @@ class HistogramBoostingClassifier(Estimator, _BoostingParams, DefaultParamsReada
         return dict(zip(nodes, sums, strict=True))
 
 
+def _packed(rows: DataFrame) -> DataFrame:
+    """Not more partitions than ``ROWS_PER_TASK`` asks for: a level of a small table is a job of few tasks."""
+    return rows.coalesce(max(1, min(rows.rdd.getNumPartitions(), rows.count() // ROWS_PER_TASK + 1)))
+
+
 def _missing(cuts: list[list[float]]) -> list[int]:
     """The bin of missing values of each feature."""
     return [len(own) + 1 for own in cuts]
