@@ -6,6 +6,10 @@ included) is known, and adds the mean log frequency of those.  The language with
 largest sum wins; the score is its softmax share, with sums scaled down to
 ``SCORE_WORDS`` words so that long texts do not all score 1.
 
+``keep_identified`` keeps a text only on evidence of its own: at least ``MIN_EVIDENCE`` of its words must be known or
+hold a known n-gram of ``LONG`` characters or more, and its score must exceed an even share of the languages ``MIN_LEAD`` times.
+So scripts and letter salads that were not learned go, however few languages there are.
+
 The classifier is fitted on a bounded sample of labelled rows: the ``MAX_ROWS`` rows with the
 smallest id hash, of which the ``MAX_WORDS`` most frequent words and the ``MAX_GRAMS`` most
 frequent n-grams of each length are kept.  Every text is scored whole.
@@ -32,7 +36,7 @@ MAX_ROWS = 10_000
 MAX_WORDS, MAX_GRAMS = 50_000, 20_000
 LENGTHS = (5, 4, 3, 2, 1)
 SCORE_WORDS = 10
-MIN_SCORE = 0.3  # keep_identified rejects below
+MIN_EVIDENCE, LONG, MIN_LEAD = 0.25, 3, 1.2  # of keep_identified
 CACHE = 100_000
 STEP = 256  # rows whose texts are Python strings at one time
 
@@ -68,6 +72,7 @@ class Model:
             logs.append(np.log((counts + 0.5) / (counts.sum(axis=0) + 0.5 * (len(own) + 1))))
         self.logs = np.concatenate(logs) if logs else np.zeros((0, len(langs)))
         self.unseen: dict[str, list[int]] = {}
+        self.backed: dict[str, bool] = {}
 
     def back_off(self, word: str) -> list[int]:
         """The known n-grams of the greatest length that has any."""
@@ -84,6 +89,24 @@ class Model:
             self.unseen[word] = got
         return got
 
+    def _backed(self, word: str) -> bool:
+        """Does a known n-gram of LONG characters or more stand in the word?"""
+        got = self.backed.get(word)
+        if got is None:
+            if len(self.backed) >= CACHE:
+                self.backed.clear()
+            got = self.backed[word] = any(g in self.tables[n] for n in LENGTHS if n >= LONG for g in grams(word, n))
+        return got
+
+    def recognises(self, text: str | None) -> bool:
+        """Is the language of a text told by enough of its words, and clearly enough?"""
+        lang, score = self.predict(text)
+        if lang == "und" or len(self.langs) > 1 and score * len(self.langs) < MIN_LEAD:
+            return False
+        words = LETTERS.findall(text.lower())
+        known = self.tables[0]
+        return sum(w in known or self._backed(w) for w in words) >= MIN_EVIDENCE * len(words)
+
     def predict(self, text: str | None) -> tuple[str, float]:
         words = LETTERS.findall(text.lower()) if text else []
         if not words or not self.langs:
@@ -152,7 +175,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
         read, f"doc_id {kind}, held_out boolean, lang_pred string, score double")
 
 
-def keep_identified(docs: DataFrame, model: Model, min_score: float = MIN_SCORE) -> DataFrame:
+def keep_identified(docs: DataFrame, model: Model) -> DataFrame:
     """The rows whose language is recognised, with all their columns."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     text_at = docs.columns.index("text")
@@ -161,8 +184,7 @@ def keep_identified(docs: DataFrame, model: Model, min_score: float = MIN_SCORE)
         for batch in batches:
             for at in range(0, batch.num_rows, STEP):
                 part = batch.slice(at, STEP)
-                got = [shared.value.predict(t) for t in part.column(text_at).to_pylist()]
-                yield part.filter(pa.array([x[0] != "und" and x[1] >= min_score for x in got], pa.bool_()))
+                yield part.filter(pa.array([shared.value.recognises(t) for t in part.column(text_at).to_pylist()], pa.bool_()))
 
     return docs.mapInArrow(read, docs.schema)
 

@@ -6,6 +6,7 @@ import random
 import re
 
 import numpy as np
+import pytest
 
 from tessera.llm import language_id, secret_scan
 from tests.conftest import SF_SMALL
@@ -107,6 +108,21 @@ def test_language_cases(spark):
     assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == set(range(29)) - {24, 25, 26}
 
 
+@pytest.mark.parametrize("number", [2, 3, 4])
+def test_unlearned_scripts_and_letter_salad_go(spark, number):
+    """However few languages there are; texts of the learned ones stay, with unseen words too."""
+    own = {"de": "der schnelle hund und die alte katze schlafen zusammen unter dem tisch", "en": "the quick dog and the old cat are sleeping together under the table",
+           "fr": "le chien rapide et le vieux chat dorment ensemble sous la table", "es": "el perro veloz y el gato viejo duermen juntos debajo de la mesa"}
+    langs = list(own)[:number]
+    texts = [own[k] for k in langs for _ in range(15)]
+    strange = ["собака спит под столом", "zzqq", "xkqzv wjjpq qqxz vvkj", "日本語のテキスト", "zzqq 77 xkqzv"]
+    mixed = [f"{own[k]} zzqq" for k in langs] + [own[k].split()[1] + "x " + own[k].split()[2] for k in langs]
+    docs = table(spark, texts + strange + mixed, langs=[k for k in langs for _ in range(15)] + [None] * (len(strange) + len(mixed)))
+    kept = {r.doc_id for r in language_id.keep_identified(docs, language_id.fit(docs)).collect()}
+    first = len(texts)
+    assert kept == set(range(first)) | set(range(first + len(strange), first + len(strange) + len(mixed)))
+
+
 def test_back_off_takes_the_longest_known_grams():
     rows = [{"kind": 0, "feature": "hund", "lang": "de", "n": 5}, {"kind": 3, "feature": "und", "lang": "de", "n": 5},
             {"kind": 2, "feature": "\x02t", "lang": "en", "n": 5}, {"kind": 1, "feature": "x", "lang": "en", "n": 9}]
