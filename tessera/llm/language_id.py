@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
@@ -56,23 +57,23 @@ def held_out(id_col: str = "doc_id"):
 class Model:
     """Log frequencies by feature: ``tables[0]`` of words, ``tables[n]`` of n-grams."""
 
-    def __init__(self, rows: list, langs: list[str]):
+    def __init__(self, rows: Iterable, langs: list[str]):
         self.langs = langs
         at = {x: k for k, x in enumerate(langs)}
+        seen: dict[int, dict[str, np.ndarray]] = {kind: {} for kind in (0, *LENGTHS)}
+        for r in rows:
+            seen[r["kind"]].setdefault(r["feature"], np.zeros(len(langs)))[at[r["lang"]]] += r["n"]
         self.tables: dict[int, dict[str, int]] = {}
         logs: list[np.ndarray] = []
-        for kind in (0, *LENGTHS):
-            own: dict[str, np.ndarray] = {}
-            for r in rows:
-                if r["kind"] == kind:
-                    own.setdefault(r["feature"], np.zeros(len(langs)))[at[r["lang"]]] += r["n"]
+        for kind, own in seen.items():
             counts = np.array(list(own.values())).reshape(len(own), len(langs))
             base = sum(map(len, logs))
+            if kind >= LONG:
+                self.long_end = base + len(own)  # n-grams of LONG characters or more have places below
             self.tables[kind] = {f: base + k for k, f in enumerate(own)}
             logs.append(np.log((counts + 0.5) / (counts.sum(axis=0) + 0.5 * (len(own) + 1))))
         self.logs = np.concatenate(logs) if logs else np.zeros((0, len(langs)))
         self.unseen: dict[str, list[int]] = {}
-        self.backed: dict[str, bool] = {}
 
     def back_off(self, word: str) -> list[int]:
         """The known n-grams of the greatest length that has any."""
@@ -89,15 +90,6 @@ class Model:
             self.unseen[word] = got
         return got
 
-    def _backed(self, word: str) -> bool:
-        """Does a known n-gram of LONG characters or more stand in the word?"""
-        got = self.backed.get(word)
-        if got is None:
-            if len(self.backed) >= CACHE:
-                self.backed.clear()
-            got = self.backed[word] = any(g in self.tables[n] for n in LENGTHS if n >= LONG for g in grams(word, n))
-        return got
-
     def recognises(self, text: str | None) -> bool:
         """Is the language of a text told by enough of its words, and clearly enough?"""
         lang, score = self.predict(text)
@@ -105,7 +97,8 @@ class Model:
             return False
         words = LETTERS.findall(text.lower())
         known = self.tables[0]
-        return sum(w in known or self._backed(w) for w in words) >= MIN_EVIDENCE * len(words)
+        told = sum(w in known or bool(got := self.back_off(w)) and got[0] < self.long_end for w in words)
+        return told >= MIN_EVIDENCE * len(words)
 
     def predict(self, text: str | None) -> tuple[str, float]:
         words = LETTERS.findall(text.lower()) if text else []
@@ -150,12 +143,13 @@ def fit(docs: DataFrame, max_rows: int = MAX_ROWS) -> Model:
 
     counts = stored(sample.mapInArrow(count, "kind int, feature string, lang string, n long")
                     .groupBy("kind", "feature", "lang").agg(F.sum("n").alias("n")), "langid-counts")
-    rows = []
+    kept = []
     for kind in (0, *LENGTHS):
         own = counts.where(F.col("kind") == kind)
         top = own.groupBy("feature").agg(F.sum("n").alias("all")).where("all > 1").orderBy(F.desc("all"), "feature").limit(MAX_GRAMS if kind else MAX_WORDS)
-        rows += own.join(F.broadcast(top.select("feature")), "feature").collect()
-    return Model(rows, sorted({r["lang"] for r in rows}))
+        kept += own.join(F.broadcast(top.select("feature")), "feature").toArrow().to_batches(max_chunksize=STEP)  # columns: a row object each would take far more
+    langs = {x for b in kept for x in b.column("lang").unique().to_pylist()}
+    return Model((r for b in kept for r in b.to_pylist()), sorted(langs))
 
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:
