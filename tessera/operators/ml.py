@@ -11,8 +11,7 @@ import time
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel
-from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LogisticRegression,
-                                       RandomForestClassifier)
+from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
@@ -213,13 +212,6 @@ def tree_classifier(label: str, depth: int = 5, weight: str | None = None):
     return t.setWeightCol(weight) if weight else t
 
 
-def gbt(label: str, iters: int = 300, depth: int = 6, step: float = 0.1, subsample: float = 1.0, weight: str | None = None, columns: str = "all"):
-    """Gradient-boosted trees in place of XGBoost."""
-    g = GBTClassifier(labelCol=label, featuresCol="features", maxIter=iters, maxDepth=depth, stepSize=step,
-                      subsamplingRate=subsample, featureSubsetStrategy=columns, seed=42)
-    return g.setWeightCol(weight) if weight else g
-
-
 def boosting(label: str, iters: int = 300, depth: int = 6, step: float = 0.1, rows: float = 1.0, columns: float = 1.0, weight: str = ""):
     """Second-order histogram boosting."""
     return HistogramBoostingClassifier(labelCol=label, featuresCol="features", weightCol=weight, maxIter=iters, maxDepth=depth, stepSize=step,

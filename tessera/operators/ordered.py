@@ -71,18 +71,6 @@ def global_rank(df: DataFrame, order: list, name: str = "rank") -> DataFrame:
     return inner.join(offsets, "_part").select(*df.columns, (F.col("_off") + F.col("_in")).alias(name))
 
 
-def distinct_counts(df: DataFrame, value: str, groups: list[str] | None = None) -> DataFrame:
-    """(groups..., value, _cnt) for non-null, non-NaN values, materialised once.
-
-    Several statistics read this table (quantiles, moments, min / max), so the
-    source is scanned once instead of once per statistic.
-    """
-    groups = list(groups or [])
-    counts = (df.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
-                .groupBy(*groups, value).agg(F.count(F.lit(1)).alias("_cnt")))
-    return cut_lineage(counts)
-
-
 def side_by_side(left: DataFrame, right: DataFrame, left_order: list, right_order: list, how: str = "full") -> DataFrame:
     """Row k of ``left`` beside row k of ``right``, with the place as ``row`` from 1.
 
