@@ -82,9 +82,13 @@ def test_forest_of_odd_rows(spark):
     df, *_ = table(spark, 60)
     one = M.rf_classifier("label", trees=3).fit(df.withColumn("label", F.lit(1)))
     assert {r.prediction for r in one.transform(df).collect()} == {1.0}
-    empty = M.rf_classifier("label", trees=3).fit(df.limit(0))
-    assert {r.prediction for r in empty.transform(df).collect()} == {0.0}
     assert M.rf_regressor("price", trees=3).fit(df).transform(df.limit(0)).count() == 0
-    lost = df.withColumn("label", F.when(F.col("id") < 30, F.col("label"))).withColumn("weight", F.when(F.col("id") < 10, 0.0))
-    got = M.rf_classifier("label", "weight", trees=5).fit(lost).transform(df)
+    got = M.rf_classifier("label", "weight", trees=5).fit(df.withColumn("weight", F.when(F.col("id") < 10, 0.0).otherwise(1.0))).transform(df)
     assert got.where("prediction is null").count() == 0
+    with pytest.raises(ValueError):
+        M.rf_classifier("label", trees=3).fit(df.limit(0))
+    for bad in (F.lit(None).cast("double"), F.lit(float("nan")), F.lit(2.0)):
+        with pytest.raises(Exception, match="Labels MUST"):
+            M.rf_classifier("label", trees=3).fit(df.withColumn("label", F.when(F.col("id") == 7, bad).otherwise(F.col("label"))))
+    with pytest.raises(Exception, match="Weights MUST"):
+        M.rf_classifier("label", "weight", trees=3).fit(df.withColumn("weight", F.when(F.col("id") != 7, 1.0)))
