@@ -222,3 +222,22 @@ def test_scratch_tables_go_and_packages_stay(spark, monkeypatch):
     assert spark.read.parquet(kept).count() == 2
     with pytest.raises(Exception):
         spark.read.parquet(path)
+
+
+def test_boosting_runs_at_most_a_job_a_level(spark, monkeypatch):
+    from tessera.operators import boosting as B
+    df, *_ = boosting_table(spark, 600, 7)
+    sc = spark.sparkContext
+
+    def jobs(rounds):
+        sc.setJobGroup(f"boosting-{rounds}", "")
+        model = HistogramBoostingClassifier(maxIter=rounds, maxDepth=3, rowShare=0.9).fit(df)
+        sc.setLocalProperty("spark.jobGroup.id", None)
+        return len(sc.statusTracker().getJobIdsForGroup(f"boosting-{rounds}")), model
+
+    (few, _), (more, model) = jobs(1), jobs(5)
+    assert more - few <= 4 * 3
+    monkeypatch.setattr(B, "MANY_TASKS", 0)  # sums added up on the executors
+    monkeypatch.setattr(B, "BLOCK_ROWS", 10 ** 6)
+    p = lambda m: np.array([r.p1 for r in M.positive_probability(m.transform(df)).orderBy("id").collect()])
+    assert np.abs(p(jobs(5)[1]) - p(model)).max() < 1e-9
