@@ -124,3 +124,19 @@ def test_bucketed_ratings_join_without_a_shuffle(spark):
                     want[i, j] = n + 1, d + (own[i] - mean) * (own[j] - mean)
     assert set(got) == set(want)
     assert all(got[k][0] == want[k][0] and abs(got[k][1] - want[k][1]) < 1e-9 for k in want)
+
+
+def test_only_the_heads_of_lists_leave_the_task_that_makes_the_pairs(spark, monkeypatch):
+    rows = ratings_of(4, items=40, users=120)
+    df = spark.createDataFrame(rows, "user_id long, item_id long, rating int")
+    elig = df.select("item_id").distinct()
+    need = elig.select("item_id", F.lit(3).alias("n"))
+    got = R.cf_candidates(df, need, elig)
+    pairs = 2 * R.item_cf_similarity(df, 1).count()
+    whole = {(r.item_id, r.rank): (r.similar_item_id, round(r.score, 9)) for r in R.cf_lists(elig, got, need).collect()}
+    assert got.count() <= 3 * 40 < pairs / 2
+    monkeypatch.setattr(R, "HOT_ITEM", 2)  # every item is dealt over salts, every user over blocks
+    monkeypatch.setattr(R, "PAIRS_PER_TASK", 500)
+    salted = R.cf_lists(elig, R.cf_candidates(df, need, elig), need)
+    assert whole == {(r.item_id, r.rank): (r.similar_item_id, round(r.score, 9)) for r in salted.collect()}
+    assert pairs == 2 * R.item_cf_similarity(df, 1, user_limit=3).count()
