@@ -13,7 +13,7 @@ from tessera.operators.sampling import align_to_schema, first_per_class, min_pos
 from tessera.plans.q_recommend import META_SQL
 from tessera.plans.q_stats import TITLE_CTE, r6
 from tessera.plans.registry import query
-from tessera.session import cut_lineage, scratch_dir
+from tessera.session import cut_lineage, scratch_dir, written
 from tessera.sources.fixtures import RATING_ORDER, view
 
 TXN_KEYS = ["txn_order", "txn_line", "txn_part", "txn_supp"]
@@ -117,7 +117,7 @@ WITH th AS (SELECT quantile_cont(greatest(coalesce(amount, 0), 0), 0.95) AS thr
 SELECT {TK}, round(thr, 6) AS amount_threshold,
        CAST(greatest(coalesce(amount, 0), 0) > thr AS INT) AS IsLargeTransaction FROM txn, th""")
 def feat_large_txn(spark, sf):
-    t = view(spark, sf, "txn")
+    t = written(view(spark, sf, "txn").select(*TXN_KEYS, "amount"), "txn-amounts")  # read by the passes of the quantile and by the flags
     th = F.broadcast(FE.amount_threshold(t))  # one row
     j = t.crossJoin(th)
     return j.select(*TXN_KEYS, r6("amount_threshold").alias("amount_threshold"),

@@ -21,7 +21,7 @@ from tessera.operators import sampling as SM
 from tessera.operators import stats as S
 from tessera.plans.q_stats import r6
 from tessera.plans.registry import query
-from tessera.session import cut_lineage, scratch_dir, shared_dir
+from tessera.session import cut_lineage, scratch_dir, shared_dir, written
 from tessera.sources import files as FS
 from tessera.sources.fixtures import view
 from tessera.sources.tables import path_exists, table_state
@@ -119,11 +119,16 @@ def split_stratified(spark, sf):
     return s.groupBy("churn_label", "is_test").agg(F.count(F.lit(1)).alias("n"))
 
 
+def labelled_keys(spark, sf):
+    """Keys and labels of the transactions, written once: a sample reads them in several passes, each of which would repeat the joins."""
+    return written(view(spark, sf, "txn").select(*TXN_KEYS, "isFraud"), "txn-keys")
+
+
 @query("sample_keep_positives", """
 SELECT isFraud, CAST(CASE WHEN isFraud = 1 THEN count(*) ELSE least(count(*), 5000) END AS BIGINT) AS n
 FROM txn GROUP BY isFraud""")
 def sample_keep_positives(spark, sf):
-    s = SM.keep_positives_sample_negatives(view(spark, sf, "txn"), "isFraud", TXN_KEYS, 5000, 42)
+    s = SM.keep_positives_sample_negatives(labelled_keys(spark, sf), "isFraud", TXN_KEYS, 5000, 42)
     return s.groupBy("isFraud").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -147,7 +152,7 @@ UNION ALL
 SELECT * FROM (SELECT {', '.join(TXN_KEYS)}, isFraud FROM txn WHERE isFraud = 0 ORDER BY {hash_sql(TXN_KEYS)}, {', '.join(TXN_KEYS)} LIMIT 5000) n""")
 def sample_keep_positives_rows(spark, sf):
     """The rows of the sample."""
-    return SM.keep_positives_sample_negatives(view(spark, sf, "txn"), "isFraud", TXN_KEYS, 5000, 42).select(*TXN_KEYS, "isFraud")
+    return SM.keep_positives_sample_negatives(labelled_keys(spark, sf), "isFraud", TXN_KEYS, 5000, 42).select(*TXN_KEYS, "isFraud")
 
 
 @query("sample_csv", f"""

@@ -53,3 +53,22 @@ def test_side_by_side(spark):
     assert side_by_side(a, b.limit(0), [F.col("x")], [F.col("y")], "inner").count() == 0
     with pytest.raises(ValueError):
         side_by_side(a, a, [F.col("x")], [F.col("x")])
+
+
+@pytest.mark.parametrize("key", ["sample_keep_positives", "sample_keep_positives_rows", "feat_large_txn"])
+def test_passes_do_not_repeat_the_joins(spark, tmp_path, key):
+    import __spark_entry__ as entry
+    n = 400
+    ids = spark.range(n)
+    tables = {
+        "lineitem": ids.selectExpr("id % 50 as l_orderkey", "cast(id as int) as l_linenumber", "id as l_partkey", "id % 5 as l_suppkey",
+                                   "cast(id as double) as l_extendedprice", "cast(id % 50 as double) as l_quantity"),
+        "orders": spark.range(50).selectExpr("id as o_orderkey", "id % 7 as o_custkey", "if(id % 2 = 0, '1-URGENT', '5-LOW') as o_orderpriority"),
+        "customer": spark.range(7).selectExpr("id as c_custkey", "cast(id as double) as c_acctbal"),
+        "supplier": spark.range(5).selectExpr("id as s_suppkey", "cast(id as double) as s_acctbal")}
+    for name, df in tables.items():
+        df.write.parquet(f"{tmp_path}/{name}.parquet")
+    out = entry.queries()[key](spark, str(tmp_path))
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "l_orderkey" not in plan and "o_orderkey" not in plan
+    assert len(out.collect()) == {"sample_keep_positives": out.count()}.get(key, n)
