@@ -26,6 +26,7 @@ from tessera.operators.boosting import HistogramBoostingClassifier
 from tessera.operators.features import FRAUD_CATEGORICAL_FEATURES, FRAUD_NUMERIC_FEATURES, FraudFeatureEngineer
 from tessera.operators.forest import HistogramForest
 from tessera.operators.stats import column_medians, column_modes
+from tessera.session import written
 
 
 def one_hot_stages(cols: list[str]) -> list:
@@ -117,6 +118,22 @@ def fraud_pipeline(classifier) -> Pipeline:
     return Pipeline(stages=stages + [assembler, classifier])
 
 
+class FraudFit:
+    """Fits ``fraud_pipeline``: its engineered features are written once, since each later stage and pass reads them."""
+
+    def __init__(self, classifier):
+        self.stages = fraud_pipeline(classifier).getStages()
+
+    def fit(self, df: DataFrame) -> PipelineModel:
+        engineer, *rest = self.stages
+        model = engineer.fit(df)
+        last = rest[-1]
+        named = [last.getOrDefault(p) for p in last.params if p.name in ("labelCol", "weightCol") and last.isDefined(p)]
+        kept = [*FRAUD_NUMERIC_FEATURES, *FRAUD_CATEGORICAL_FEATURES, *(c for c in named if c)]
+        features = written(model.transform(df).select(*kept), "fraud-features")
+        return PipelineModel([model, *Pipeline(stages=rest).fit(features).stages])
+
+
 def positive_probability(df: DataFrame, col: str = "probability") -> DataFrame:
     """Class-1 probability as a plain double column."""
     return df.withColumn("p1", vector_to_array(F.col(col))[1])

@@ -138,9 +138,9 @@ def stratified_split(df: DataFrame, label: str, key_cols: list[str], test_fracti
     class (M9); a null label is a class.
 
     The test rows are those with the smallest seeded hashes of their class, so a row is compared with its
-    class's cut and whole rows are not shuffled.
+    class's cut and whole rows are not shuffled.  Rows and hashes are written first: four passes read them.
     """
-    h = df.withColumn("_h", hash_key(key_cols, seed))
+    h = written(df.withColumn("_h", hash_key(key_cols, seed)), "split-rows")
     cuts = hash_cuts(h, [label], F.ceil(F.col("_n") * test_fraction))
     off, on = _first_by_hash(h, [label], key_cols, cuts)
     return off.unionByName(on).withColumnRenamed("_first", "is_test").drop("_h", "_cut", "_take")
