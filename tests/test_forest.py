@@ -92,3 +92,27 @@ def test_forest_of_odd_rows(spark):
             M.rf_classifier("label", trees=3).fit(df.withColumn("label", F.when(F.col("id") == 7, bad).otherwise(F.col("label"))))
     with pytest.raises(Exception, match="Weights MUST"):
         M.rf_classifier("label", "weight", trees=3).fit(df.withColumn("weight", F.when(F.col("id") != 7, 1.0)))
+
+
+def test_only_smaller_children_are_summed_again(monkeypatch):
+    """A node that takes all features gets its larger child's sums from its own; features of few values share a column."""
+    rng = np.random.default_rng(3)
+    kind = rng.integers(0, 4, 3000)
+    bins = np.stack([rng.integers(0, 20, 3000), *(kind == i for i in range(4)), rng.integers(0, 9, 3000)], 1).astype(np.uint8)
+    y, w = bins[:, 0] * (1.0 + bins[:, 2]) + rng.normal(size=3000), rng.integers(1, 4, 3000).astype(float)
+    seen, sums = [], T._sums
+    monkeypatch.setattr(T, "CACHED_ROWS", 256)
+    monkeypatch.setattr(T, "_sums", lambda bundles, rows, *x: seen.append((len(rows), len(bundles))) or sums(bundles, rows, *x))
+    nodes, gains = T.grow(bins, y, w, 6, 6, rng)
+    assert len(seen) == 6 and seen[0][0] == 3000 and max(n for n, _ in seen[1:]) <= 1500 and max(b for _, b in seen) < 6
+    assert np.abs(nodes["value"][T.reached(nodes, bins, 6)] - plain_tree(bins, y, w, 6)).max() < 1e-9 and gains[0] > 0
+
+
+def test_folded_bins_and_narrow_numbers_come_back():
+    rng = np.random.default_rng(5)
+    cuts = [[0.0] * n for n in (1, 31, 0, 1, 2, 3, 32, 1, 1, 255, 4, 15, 16)]
+    groups = T.byte_groups(cuts)
+    bins = np.stack([rng.integers(0, len(c) + 1, 500) for c in cuts], 1).astype(np.uint8)
+    assert len(groups) < len(cuts) and np.array_equal(T.unfolded(T.folded(bins, groups), groups, len(cuts)), bins)
+    for x, size in (([1.0, 255.0], 1), ([300.0, 0.0], 2), ([70000.0, 0.5], 4), ([0.1, -1.0], 8), ([-1.0, 2.0], 4)):
+        assert len(T._narrow(np.array(x)).tobytes()) == 2 * size and T._widened(T._narrow(np.array(x)).tobytes(), 2).tolist() == x
