@@ -140,3 +140,18 @@ def test_only_the_heads_of_lists_leave_the_task_that_makes_the_pairs(spark, monk
     salted = R.cf_lists(elig, R.cf_candidates(df, need, elig), need)
     assert whole == {(r.item_id, r.rank): (r.similar_item_id, round(r.score, 9)) for r in salted.collect()}
     assert pairs == 2 * R.item_cf_similarity(df, 1, user_limit=3).count()
+
+
+def test_similarity_takes_all_items_of_twenty_ratings(spark):
+    """The key's floor is the reference's 20 ratings, not the hybrid's 30."""
+    import datetime
+
+    from tessera.plans import QUERIES
+    from tessera.session import scratch_dir
+    path, day = scratch_dir(spark, "floor-tables"), datetime.datetime(1997, 5, 1)
+    raters = {1: range(20), 2: range(5, 30), 3: range(31), 4: range(19)}  # 20, 25, 31 and 19 ratings
+    lines = [(u, i, 1, 1, float((u * i + i) % 5), 10.0) for i, us in raters.items() for u in us]
+    spark.createDataFrame([(u, u, day) for u in range(31)], "o_orderkey long, o_custkey long, o_orderdate timestamp_ntz").write.parquet(f"{path}/orders.parquet")
+    spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_linenumber int, l_suppkey long, l_quantity double, l_extendedprice double").write.parquet(f"{path}/lineitem.parquet")
+    got = {(r.item_i, r.item_j) for r in QUERIES["item_cf_similarity"](spark, path).collect()}
+    assert got == {(1, 2), (1, 3), (2, 3)}
