@@ -116,3 +116,39 @@ def test_folded_bins_and_narrow_numbers_come_back():
     assert len(groups) < len(cuts) and np.array_equal(T.unfolded(T.folded(bins, groups), groups, len(cuts)), bins)
     for x, size in (([1.0, 255.0], 1), ([300.0, 0.0], 2), ([70000.0, 0.5], 4), ([0.1, -1.0], 8), ([-1.0, 2.0], 4)):
         assert len(T._narrow(np.array(x)).tobytes()) == 2 * size and T._widened(T._narrow(np.array(x)).tobytes(), 2).tolist() == x
+
+
+def test_trees_are_gathered_in_lots(spark, monkeypatch):
+    """Lots of a few trees give the same forest; each lot is a write of its own."""
+    df, *_ = table(spark, 300)
+    df = df.withColumn("weight", F.when(F.col("label") > 0, 2.7).otherwise(0.3)).repartition(2).checkpoint()
+    fit = lambda: M.rf_classifier("label", "weight", trees=7, depth=6, share=1.0).fit(df)
+    whole, lots, written = fit(), [], T.written
+    monkeypatch.setattr(T, "DEALT_ROWS", 500, raising=False)
+    monkeypatch.setattr(T, "written", lambda rows, name: lots.append(name) or written(rows, name))
+    cut = fit()
+    assert lots.count("forest-trees") == 4 and whole.trees == cut.trees
+    assert whole.featureImportances == cut.featureImportances
+
+
+def test_weights_of_few_values_are_sent_as_bytes():
+    for x, size in (([0.3, 2.7] * 100, 1), ([0.5] * 3, 1), (list(np.linspace(0.1, 1, 300)), 8)):
+        values, places = T._coded(np.array(x))
+        assert len(places.tobytes()) == size * len(x)
+        assert (values[places] if len(values) else places).tolist() == x
+
+
+def test_shuffle_files_go_with_the_write(spark):
+    import time
+
+    from tessera.session import SHUFFLE_CLEANUP, written
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    kept = lambda: {f for f in manager.getAllFiles().mkString(" ").split() if "shuffle_" in f}
+    before = kept()
+    got = written(spark.range(1000).repartition(5, "id"), "cleanup")
+    for _ in range(50):
+        if not (left := kept() - before):
+            break
+        time.sleep(0.1)
+    assert not left and got.count() == 1000
+    assert spark.conf.get(SHUFFLE_CLEANUP, None) is None
