@@ -155,3 +155,39 @@ def test_similarity_takes_all_items_of_twenty_ratings(spark):
     spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_linenumber int, l_suppkey long, l_quantity double, l_extendedprice double").write.parquet(f"{path}/lineitem.parquet")
     got = {(r.item_i, r.item_j) for r in QUERIES["item_cf_similarity"](spark, path).collect()}
     assert got == {(1, 2), (1, 3), (2, 3)}
+
+
+def test_heads_are_made_in_lots(spark, monkeypatch):
+    """Lots of items give the same lists; each lot is a write of its own."""
+    rows = ratings_of(6, items=40, users=120, heavy=0)
+    df = spark.createDataFrame(rows, "user_id long, item_id long, rating int")
+    lists = lambda: {(r.item_id, r["rank"]): (r.similar_item_id, round(r.score, 9)) for r in R.item_cf_topn(df, 3, 1).collect()}
+    whole, names, written = lists(), [], R.written
+    monkeypatch.setattr(R, "PAIRS_PER_TASK", 100)
+    monkeypatch.setattr(R, "PARTS_AT_ONCE", 10, raising=False)
+    monkeypatch.setattr(R, "written", lambda rows, name: names.append(name) or written(rows, name))
+    assert lists() == whole and names.count("cf-heads") > 1
+
+
+@pytest.mark.parametrize("shift, kind", [(0, "int"), (1 << 40, "int"), (0, "double")])
+def test_pairs_of_narrow_and_wide_numbers(spark, tmp_path, shift, kind):
+    """Ids and ratings are shuffled in the narrowest type; what comes back has the ids' own type."""
+    rows = ratings_of(7, items=20, users=40, heavy=0)
+    df = spark.createDataFrame([(u, i + shift, v + (0.25 if kind == "double" else 0)) for u, i, v in rows], f"user_id long, item_id long, rating {kind}")
+    narrow = R._narrowed(df, "item_id", "rating").dtypes
+    assert dict(narrow) == {"user_id": "bigint", "item_id": "bigint" if shift else "tinyint", "rating": "tinyint" if kind == "int" else "double"}
+    _, sim, _ = dense_lists(rows, 3)
+    got = R.item_cf_similarity(df, 1)
+    assert [t for _, t in got.dtypes] == ["bigint", "bigint", "double"]
+    items = sorted({r[1] for r in rows})
+    for r in got.collect():
+        assert abs(sim[items.index(r.item_i - shift), items.index(r.item_j - shift)] - r.similarity) < 1e-9
+
+
+def test_partitioned_tables_are_written_in_lots(spark, monkeypatch):
+    from tessera.session import scratch_dir
+    from tessera.sources import files as FS
+    monkeypatch.setattr(FS, "FILES_AT_ONCE", 3, raising=False)
+    df = spark.range(1000).withColumn("k", F.col("id") % 70)
+    back = spark.read.parquet(FS.write_parquet_partitioned(df, scratch_dir(spark, "lots"), "k", rows_per_file=100))
+    assert sorted(r.id for r in back.collect()) == list(range(1000)) and back.select("_bucket").distinct().count() == 10
