@@ -241,3 +241,28 @@ def test_boosting_runs_at_most_a_job_a_level(spark, monkeypatch):
     monkeypatch.setattr(B, "BLOCK_ROWS", 10 ** 6)
     p = lambda m: np.array([r.p1 for r in M.positive_probability(m.transform(df)).orderBy("id").collect()])
     assert np.abs(p(jobs(5)[1]) - p(model)).max() < 1e-9
+
+
+def test_rows_are_routed_by_a_table():
+    """The table of a tree's splits sends each row as the splits do, missing values and closed nodes included."""
+    from tessera.operators.boosting import _Tree
+    rng, missing, n = np.random.default_rng(8), np.array([6, 3, 10]), 400
+    bins = np.stack([rng.integers(0, m + 1, n) for m in missing]).astype(np.int16)
+    tree = _Tree(4)
+    for node in range(15):
+        if (node == 0 or tree.feature[(node - 1) // 2] >= 0) and rng.random() < 0.8:
+            f = int(rng.integers(0, 3))
+            tree.feature[node], tree.bin[node], tree.missing_left[node] = f, rng.integers(0, missing[f]), rng.random() < 0.5
+    table = tree._below(7, missing, 11)
+    assert table.shape == (15, 11) and all((table[k] == k).all() for k in range(15) if k > 6 or tree.feature[k] < 0)
+    for levels in range(5):
+        want = []
+        for i in range(n):
+            node = 0
+            for _ in range(levels):
+                f = tree.feature[node]
+                if f >= 0:
+                    v = bins[f, i]
+                    node = 2 * node + 1 + int(not tree.missing_left[node] if v == missing[f] else v > tree.bin[node])
+            want.append(node)
+        assert tree.reached(bins, levels, missing).tolist() == want
